@@ -353,13 +353,13 @@ ORACLE = {name: sql(text) for name, text in {
     "scan_poi": "SELECT cell, " + comma(
         f"p{j} AS {n.lower()}" for j, n in enumerate(POI_FIELDS)) + " FROM poi",
     "scan_weather": """SELECT airport, obs_date, obs_hour, temp, wind_chill, precipitation,
-        events AS events_tag, conditions AS conditions_tag
+        nullif(events, '') AS events_tag, nullif(conditions, '') AS conditions_tag
         FROM obs_text WHERE airport IN (SELECT airport FROM zones)""",
     "scan_daylight": """SELECT place, strftime(day, '%Y-%m-%d') AS day, sunrise::BIGINT AS sunrise,
         (5 * 60 + day(day) + 720)::BIGINT AS sunset FROM sun""",
     "sink_roundtrip_vectors": f"SELECT cell, pos, {r6('value', 'value')} FROM cell_text",
     "sink_roundtrip_grid": "SELECT city, cell, count(*) AS n_rows, " + comma(
-        f"round(sum({c}), 3)::DOUBLE AS {c}" for c in RAW_GRID_COLUMNS if c != "cell"
+        r6(f"sum({c})::DOUBLE", c) for c in RAW_GRID_COLUMNS if c != "cell"
     ) + " FROM grid GROUP BY city, cell",
     "sink_roundtrip_trainset": """SELECT city, split, label, count(*) AS n_examples,
         max(width) AS width FROM example GROUP BY city, split, label""",

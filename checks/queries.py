@@ -82,8 +82,18 @@ def spans(spark, sf_dir):
     return pl.event_spans(extracted(spark, sf_dir), S)
 
 
-def local_observations(spark, sf_dir, spans_table):
-    return ob.localise(si.observations_utc(spark, sf_dir), ev.airport_zones(spans_table))
+def seen(spark, sf_dir):
+    return staged(spark, ev.seen_places(spans(spark, sf_dir)), "seen")
+
+
+def local_observations(spark, sf_dir, seen_table):
+    return ob.localise(si.observations_utc(spark, sf_dir), ev.airport_zones(seen_table))
+
+
+def set_weather(spark, sf_dir, seen_table):
+    sets = staged(spark, pl.airport_sets(seen_table, S), "sets")
+    obs = local_observations(spark, sf_dir, seen_table)
+    return sets, pl.set_weather(sets, obs, S)
 
 
 def daylight(spark, sf_dir):
@@ -97,11 +107,11 @@ def daylight(spark, sf_dir):
 
 
 def raw_grid(spark, sf_dir):
-    table = staged(spark, spans(spark, sf_dir), "spans", "city")
+    held = staged(spark, spans(spark, sf_dir), "spans", "city")
+    places = staged(spark, ev.seen_places(held), "seen")
+    sets, weather = set_weather(spark, sf_dir, places)
     codes = ft.cell_codes(ft.usable_poi(si.poi(spark, sf_dir)))
-    return pl.raw_grid(
-        table, local_observations(spark, sf_dir, table), daylight(spark, sf_dir), codes, S
-    )
+    return pl.raw_grid(held, sets, weather, daylight(spark, sf_dir), codes, S)
 
 
 def clean_grid(spark, sf_dir):
@@ -110,10 +120,10 @@ def clean_grid(spark, sf_dir):
 
 def examples(spark, sf_dir):
     clean = staged(spark, clean_grid(spark, sf_dir), "clean", "city")
-    poi = si.poi(spark, sf_dir)
+    poi = staged(spark, si.poi(spark, sf_dir), "poi")
     text = tv.cell_means(
         tv.only_known_cells(ev.locate(si.described_traffic(spark, sf_dir)), poi),
-        si.word_vectors(spark, sf_dir),
+        si.word_vectors(spark, sf_dir), si.DIMS,
     )
     per_cell = ft.cell_features(clean.select("cell"), poi, text, si.DIMS)
     return ex.training_examples(clean, per_cell, S.cities, S.seed, S.keep_share, S.lookback)
@@ -205,7 +215,7 @@ def sink_roundtrip_grid(spark, sf_dir):
     numbers = [c for c in RAW_GRID_COLUMNS if c != "cell"]
     return read.groupBy("city", "cell").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *(F.round(F.sum(c), 3).cast("double").alias(c) for c in numbers),
+        *(r6(F.sum(c).cast("double")).alias(c) for c in numbers),
     )
 
 
@@ -342,13 +352,13 @@ def airport_zone(spark, sf_dir):
 
 @query
 def nearest_cell_airports(spark, sf_dir):
-    held = spans(spark, sf_dir)
-    return nr.complete_airports(ev.registered_cells(held), ev.cell_airports(held))
+    places = seen(spark, sf_dir)
+    return nr.complete_airports(ev.registered_cells(places), ev.cell_airports(places))
 
 
 @query
 def next_obs_fill(spark, sf_dir):
-    obs = local_observations(spark, sf_dir, spans(spark, sf_dir))
+    obs = local_observations(spark, sf_dir, seen(spark, sf_dir))
     return ob.explode_fill(ob.fill_backward(obs, S.window)).select(
         "airport", "step", *(r6(F.col(m)).alias(m) for m in WEATHER_MEASURES),
         F.col("conditions").alias("conditions_tag"), F.col("events").alias("events_tag"),
@@ -356,11 +366,7 @@ def next_obs_fill(spark, sf_dir):
 
 
 def weather_of_cells(spark, sf_dir):
-    table = staged(spark, spans(spark, sf_dir), "spans", "city")
-    sets = ob.airport_sets(nr.complete_airports(ev.registered_cells(table), ev.cell_airports(table)))
-    obs = local_observations(spark, sf_dir, table)
-    filled = ob.measured_spans(ob.fill_backward(obs, S.window))
-    return ob.cell_weather(sets, ob.set_weather(sets, filled, S.window))
+    return ob.cell_weather(*set_weather(spark, sf_dir, seen(spark, sf_dir)))
 
 
 @query
@@ -427,14 +433,14 @@ def token_vector_join(spark, sf_dir):
 @query
 def doc_vector_mean(spark, sf_dir):
     documents = si.table(spark, sf_dir, "documents")
-    means = tv.text_means(documents, si.word_vectors(spark, sf_dir), "doc_id", "text")
+    means = tv.text_means(documents, si.word_vectors(spark, sf_dir), "doc_id", "text", si.DIMS)
     return long_form(means, "doc_id", "vec")
 
 
 def cell_vectors(spark, sf_dir):
     located = ev.locate(si.described_traffic(spark, sf_dir))
     known = tv.only_known_cells(located, ft.usable_poi(si.poi(spark, sf_dir)))
-    return tv.cell_means(known, si.word_vectors(spark, sf_dir))
+    return tv.cell_means(known, si.word_vectors(spark, sf_dir), si.DIMS)
 
 
 @query

@@ -32,7 +32,10 @@ SETTINGS = Settings(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    # One small file is one task; a table of many files is read as it lies.
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def token_hash(text: Column) -> Column:
@@ -183,7 +186,7 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     count = vectors.count()
     words = documents.select(
-        "doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")
+        F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")
     ).filter(~F.col("word").rlike(r"\s"))
     known = words.groupBy("word").agg(F.count(F.lit(1)).alias("documents")).filter("documents >= 2")
     return (

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # Fixed value: the geohash alphabet.
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
 
+# The digits of ``conv`` in base 32.
+CONV32 = "0123456789abcdefghijklmnopqrstuv"
+
 # Fixed value: mean earth radius in kilometres.
 EARTH_RADIUS_KM = 6371.0088
 
@@ -27,42 +30,34 @@ def lattice_index(value: Column, span: float, bits: int) -> Column:
     """Index of ``value`` in ``[-span/2, span/2]`` cut into ``2**bits`` parts."""
     size = 1 << bits
     index = F.ceil(value / F.lit(span / size)) + F.lit(size // 2 - 1)
-    # A null coordinate has no index; least/greatest alone would skip it.
-    return F.when(value.isNotNull(), F.least(F.greatest(index, F.lit(0)), F.lit(size - 1)))
+    # A null coordinate has no index; least and greatest alone would skip it.
+    inside = F.least(F.greatest(index, F.lit(0)), F.lit(size - 1))
+    return F.when(value.isNotNull(), inside)
+
+
+def _spread(index: Column) -> Column:
+    """Move bit ``i`` of an index to bit ``2i``: its binary digits in base 4."""
+    return F.conv(F.bin(index), 4, 10).cast("long")
 
 
 def cell_of(lat: Column, lng: Column, precision: int = 5) -> Column:
     """Geohash of a point. Coordinates pass through 32-bit floats."""
     lng_bits, lat_bits = lattice_bits(precision)
-    col = lattice_index(lng.cast("float").cast("double"), 360.0, lng_bits)
-    row = lattice_index(lat.cast("float").cast("double"), 180.0, lat_bits)
-    letters = []
-    for letter in range(precision):
-        code = F.lit(0)
-        for position in range(5):
-            bit = 5 * letter + position
-            if bit % 2 == 0:
-                source, shift = col, lng_bits - 1 - bit // 2
-            else:
-                source, shift = row, lat_bits - 1 - bit // 2
-            taken = F.shiftright(source, shift).bitwiseAND(F.lit(1))
-            code = code + taken * F.lit(1 << (4 - position))
-        letters.append(F.substr(F.lit(BASE32), (code + 1).cast("int"), F.lit(1)))
-    return F.concat(*letters)
+    col = _spread(lattice_index(lng.cast("float").cast("double"), 360.0, lng_bits))
+    row = _spread(lattice_index(lat.cast("float").cast("double"), 180.0, lat_bits))
+    # The last bit of a code is a longitude bit when their number is odd.
+    code = col + row * 2 if lng_bits > lat_bits else row + col * 2
+    digits = F.lower(F.conv(code.cast("string"), 10, 32))
+    return F.lpad(F.translate(digits, CONV32, BASE32), precision, BASE32[0])
 
 
 def lattice_of(cell: Column, precision: int = 5) -> tuple[Column, Column]:
     """(row, column) of a cell on the lattice: the inverse of :func:`cell_of`."""
-    row, col = F.lit(0), F.lit(0)
-    for letter in range(precision):
-        code = F.instr(F.lit(BASE32), F.substr(cell, F.lit(letter + 1), F.lit(1))) - 1
-        for position in range(5):
-            bit = F.shiftright(code, 4 - position).bitwiseAND(F.lit(1))
-            if (5 * letter + position) % 2 == 0:
-                col = col * 2 + bit
-            else:
-                row = row * 2 + bit
-    return row, col
+    pairs = F.conv(F.translate(cell, BASE32, CONV32), 32, 4)
+    low = F.conv(F.translate(pairs, "0123", "0101"), 2, 10).cast("int")
+    high = F.conv(F.translate(pairs, "0123", "0011"), 2, 10).cast("int")
+    lng_bits, lat_bits = lattice_bits(precision)
+    return (high, low) if lng_bits > lat_bits else (low, high)
 
 
 def row_latitude(row: Column, precision: int = 5) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: a spaced hyphen, or one separator character.
@@ -17,6 +17,12 @@ def tokens(text: Column) -> Column:
     )
 
 
+def token_rows(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, word): one row per token, repeats included, as :func:`tokens`."""
+    parts = texts.select(key, F.explode(F.split(F.col(text), SEPARATORS)).alias("part"))
+    return parts.select(key, F.lower("part").alias("word")).filter(F.length("word") > 0)
+
+
 def number_array(text: Column) -> Column:
     """Space-separated numbers as ``array<double>``."""
     return F.transform(F.split(text, " "), lambda t: t.try_cast("double"))

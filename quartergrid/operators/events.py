@@ -11,6 +11,7 @@ from quartergrid.config import (
     MAX_BROADCAST_REGIONS, PRECISION, TRAFFIC_COLUMNS, City, GridWindow, city_table,
 )
 from quartergrid.functions.clock import local_time, step_index
+from quartergrid.functions.columns import computed_once
 from quartergrid.functions.geohash import cell_of
 from quartergrid.functions.labels import class_indicators, event_class
 
@@ -59,7 +60,7 @@ def split_unusable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def locate(events: DataFrame, precision: int = PRECISION) -> DataFrame:
     """Add the geohash cell of each event."""
-    return events.withColumn("cell", cell_of(F.col("lat"), F.col("lng"), precision))
+    return computed_once(events, cell=cell_of(F.col("lat"), F.col("lng"), precision))
 
 
 def place_on_steps(events: DataFrame, window: GridWindow) -> DataFrame:
@@ -68,11 +69,15 @@ def place_on_steps(events: DataFrame, window: GridWindow) -> DataFrame:
     Events starting outside the window are dropped; an end outside it is moved
     to the last step.
     """
-    start = step_index(local_time(F.col("start_utc"), F.col("zone")), window)
-    end = step_index(local_time(F.col("end_utc"), F.col("zone")), window)
+    localised = computed_once(
+        events,
+        start_local=local_time(F.col("start_utc"), F.col("zone")),
+        end_local=local_time(F.col("end_utc"), F.col("zone")),
+    )
+    end = step_index(F.col("end_local"), window)
     last = F.lit(window.total_steps - 1).cast("long")
     return (
-        events.withColumn("start_step", start)
+        localised.withColumn("start_step", step_index(F.col("start_local"), window))
         .filter(F.col("start_step") >= 0)
         .withColumn("end_step", F.when(end == -1, last).otherwise(end))
     )
@@ -161,6 +166,15 @@ def cell_step_counts(spans: DataFrame, window: GridWindow) -> DataFrame:
     ).select("city", "cell", "step", *TRAFFIC_COLUMNS)
 
 
+def seen_places(spans: DataFrame) -> DataFrame:
+    """Distinct (city, cell, airport) with the order and zone of the city.
+
+    Cells, their airports and the zones of airports all follow from this small
+    table: write it once and the events are not read again for them.
+    """
+    return spans.select("city", "city_order", "zone", "cell", "airport").distinct()
+
+
 def cell_airports(spans: DataFrame) -> DataFrame:
     """Distinct (cell, airport); codes of three letters or fewer are invalid."""
     return spans.filter(F.length("airport") > 3).select("cell", "airport").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quartergrid.config import FLAG_COLUMNS, WEATHER_COLUMNS, WEATHER_MEASURES, GridWindow
 from quartergrid.functions.clock import local_time, step_index
+from quartergrid.functions.columns import computed_once
 from quartergrid.functions.labels import tag_class
 
 # Fixed value: measures at or below this are "no value" marks.
@@ -17,9 +18,8 @@ TAGS = ("conditions", "events")
 
 def localise(observations: DataFrame, zones: DataFrame) -> DataFrame:
     """Local time of UTC observations; airports without a zone fall away."""
-    return observations.join(zones, "airport").withColumn(
-        "ts_local", local_time(F.col("ts_utc"), F.col("zone"))
-    )
+    zoned = observations.join(zones, "airport")
+    return computed_once(zoned, ts_local=local_time(F.col("ts_utc"), F.col("zone")))
 
 
 def wanted_airports(observations: DataFrame, zones: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def set_weather(sets: DataFrame, spans: DataFrame, window: GridWindow) -> DataFr
 
     Every step of the window is present for every set.
     """
-    distinct = sets.select("airport_set").distinct()
+    distinct = sets.select("airport_set").distinct().filter("airport_set is not null")
     members = distinct.withColumn("airport", F.explode(F.split("airport_set", ",")))
     values = [*WEATHER_COLUMNS, *FLAG_COLUMNS]
     known = members.join(spans, "airport").select("airport_set", "from_step", "to_step", *values)

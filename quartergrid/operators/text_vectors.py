@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.functions.text import tokens
+from quartergrid.functions.text import token_rows
 
 
 def only_known_cells(events: DataFrame, poi: DataFrame) -> DataFrame:
@@ -17,7 +15,7 @@ def only_known_cells(events: DataFrame, poi: DataFrame) -> DataFrame:
 
 def token_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, word, uses): repeats are counted before anything is shuffled."""
-    words = texts.select(key, F.explode(tokens(F.col(text))).alias("word"))
+    words = token_rows(texts, key, text)
     return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("uses"))
 
 
@@ -26,20 +24,28 @@ def token_vectors(texts: DataFrame, vectors: DataFrame, key: str, text: str) ->
     return token_counts(texts, key, text).join(vectors, "word")
 
 
-def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str) -> DataFrame:
+def weighted_mean(rows: DataFrame, key: str, dims: int) -> DataFrame:
+    """(key, vec): mean of the vectors of a key, each counted ``uses`` times.
+
+    One plain sum per dimension: fixed-width buffers that are combined before
+    the shuffle, however many rows a key has.
+    """
+    sums = rows.groupBy(key).agg(
+        F.sum("uses").alias("uses"),
+        *(F.sum(F.col("uses") * F.get("vec", F.lit(i))).alias(f"v{i}") for i in range(dims)),
+    )
+    return sums.select(key, F.array(*(F.col(f"v{i}") / F.col("uses") for i in range(dims))).alias("vec"))
+
+
+def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str, dims: int) -> DataFrame:
     """(key, vec): mean vector of a text's known tokens, repeats included.
 
     A text without any known token has no row.
     """
-    dense = vectors.select("word", array_to_vector("vec").alias("vec"))
-    known = token_vectors(texts, dense, key, text)
-    mean = Summarizer.mean(F.col("vec"), F.col("uses").cast("double"))
-    return known.groupBy(key).agg(mean.alias("mean")).select(
-        key, vector_to_array("mean").alias("vec")
-    )
+    return weighted_mean(token_vectors(texts, vectors, key, text), key, dims)
 
 
-def cell_means(events: DataFrame, vectors: DataFrame) -> DataFrame:
+def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
     """(cell, vec): mean of the description means of a cell.
 
     Every event counts once, however long its description. Equal descriptions
@@ -48,13 +54,7 @@ def cell_means(events: DataFrame, vectors: DataFrame) -> DataFrame:
     keyed = events.filter(F.col("description").isNotNull()).select(
         "cell", "description", F.md5("description").alias("text_id")
     )
-    means = text_means(keyed.select("text_id", "description").distinct(), vectors,
-                       "text_id", "description")
+    texts = keyed.select("text_id", "description").distinct()
     uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("uses"))
-    mean = Summarizer.mean(F.col("vec"), F.col("uses").cast("double"))
-    return (
-        uses.join(means.select("text_id", array_to_vector("vec").alias("vec")), "text_id")
-        .groupBy("cell")
-        .agg(mean.alias("mean"))
-        .select("cell", vector_to_array("mean").alias("vec"))
-    )
+    means = text_means(texts, vectors, "text_id", "description", dims)
+    return weighted_mean(uses.join(means, "text_id"), "cell", dims)

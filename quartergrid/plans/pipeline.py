@@ -61,7 +61,7 @@ def extract(traffic: DataFrame, s: Settings, period: tuple[datetime, datetime])
 def text_vectors(extracted: DataFrame, poi: DataFrame, vectors: DataFrame, s: Settings) -> DataFrame:
     """(cell, vec) from the descriptions of an extract."""
     located = ev.locate(extracted, s.precision)
-    return tv.cell_means(tv.only_known_cells(located, ft.usable_poi(poi)), vectors)
+    return tv.cell_means(tv.only_known_cells(located, ft.usable_poi(poi)), vectors, s.text_dims)
 
 
 def event_spans(extracted: DataFrame, s: Settings) -> DataFrame:
@@ -72,17 +72,28 @@ def event_spans(extracted: DataFrame, s: Settings) -> DataFrame:
     )
 
 
+def airport_sets(seen: DataFrame, s: Settings) -> DataFrame:
+    """(cell, airport_set) of every registered cell, own or borrowed.
+
+    The set is null only where no cell at all has an airport.
+    """
+    cells = ev.registered_cells(seen).select("cell").distinct()
+    pairs = nr.complete_airports(cells, ev.cell_airports(seen), s.precision)
+    return cells.join(ob.airport_sets(pairs), "cell", "left")
+
+
+def set_weather(sets: DataFrame, observations: DataFrame, s: Settings) -> DataFrame:
+    """(airport_set, step) weather from observations in local time."""
+    return ob.set_weather(sets, ob.measured_spans(ob.fill_backward(observations, s.window)), s.window)
+
+
 def raw_grid(
-    spans: DataFrame, observations: DataFrame, daylight: DataFrame, codes: DataFrame, s: Settings
+    spans: DataFrame, sets: DataFrame, weather: DataFrame, daylight: DataFrame,
+    codes: DataFrame, s: Settings,
 ) -> DataFrame:
     """Dense grid of an event-span table; carries the code of each cell."""
-    cells = ev.registered_cells(spans)
-    sets = ob.airport_sets(nr.complete_airports(cells, ev.cell_airports(spans), s.precision))
-    wanted = ob.wanted_airports(observations, ev.airport_zones(spans))
-    filled = ob.measured_spans(ob.fill_backward(wanted, s.window))
-    places = cells.select("cell").distinct().join(sets, "cell", "left").join(codes, "cell", "left")
     return gr.dense_grid(
-        ev.count_runs(spans, s.window), places, ob.set_weather(sets, filled, s.window),
+        ev.count_runs(spans, s.window), sets.join(codes, "cell", "left"), weather,
         gr.daylight_flags(daylight, s.cities, s.window), s.cities, s.window,
     )
 
@@ -119,11 +130,15 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
     for_grid = stage("extract_grid", extract(traffic, s, s.grid_period), "city")
     stage("reject_traffic", ev.split_unusable(for_grid)[1])
     spans = stage("spans", event_spans(for_grid, s), "city")
-    stage("reject_cells", ft.cells_without_poi(ev.registered_cells(spans), poi))
+    seen = stage("seen", ev.seen_places(spans))
+    cells = ev.registered_cells(seen)
+    stage("reject_cells", ft.cells_without_poi(cells, poi))
+    sets = stage("airport_sets", airport_sets(seen, s))
 
     parsed = readers.parse_observations(readers.read_observations(spark, inputs.weather))
     stage("reject_weather", parsed.filter("reject is not null"))
-    observations = stage("weather", parsed.filter("reject is null").drop("reject"))
+    observations = ob.wanted_airports(parsed.filter("reject is null"), ev.airport_zones(seen))
+    weather = stage("weather", set_weather(sets, observations, s))
 
     daylight, daylight_copies = readers.split_duplicates(
         readers.read_daylight(spark, inputs.daylight), "place", "day"
@@ -132,9 +147,9 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
     stage("reject_places", gr.places_without_daylight(daylight, s.cities))
 
     codes = ft.cell_codes(ft.usable_poi(poi))
-    grid = stage("grid", raw_grid(spans, observations, daylight, codes, s), "city")
+    grid = stage("grid", raw_grid(spans, sets, weather, daylight, codes, s), "city")
     clean = stage("grid_clean", gr.clean_grid(grid), "city")
-    per_cell = ft.cell_features(ev.registered_cells(spans), poi, cell_text, s.text_dims)
+    per_cell = ft.cell_features(cells, poi, cell_text, s.text_dims)
     stage(
         "examples",
         ex.training_examples(clean, per_cell, s.cities, s.seed, s.keep_share, s.lookback),
