@@ -146,7 +146,8 @@ def count_runs(spans: DataFrame, window: GridWindow) -> DataFrame:
     """
     by_cell = Window.partitionBy("city", "cell").orderBy("step")
     so_far = by_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = count_changes(spans).select(
+    # By cell alone: serves this window and later joins on the cell.
+    running = count_changes(spans).repartition("cell").select(
         "city", "cell", "step",
         *(F.sum(c).over(so_far).alias(c) for c in (*TRAFFIC_COLUMNS, "events")),
     )
