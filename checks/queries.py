@@ -158,7 +158,8 @@ def scan_word_vectors(spark, sf_dir):
     path = scratch(spark, "words")
     numbers = F.array_join(F.transform("vec", lambda v: v.cast("string")), " ")
     source.select(F.concat_ws(" ", "word", numbers).alias("value")).write.text(path)
-    read, _ = readers.split_duplicates(readers.read_word_vectors(spark, path, si.DIMS), "word")
+    good, _ = readers.split_word_vectors(readers.read_word_vectors(spark, path), si.DIMS)
+    read, _ = readers.split_duplicates(good, "word")
     return read.select(
         "word", F.size("vec").cast("long").alias("dims"), r6(checksum("vec")).alias("checksum")
     )

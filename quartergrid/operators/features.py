@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -18,6 +21,12 @@ def usable_poi(poi: DataFrame) -> DataFrame:
     return poi.dropna(subset=["cell", *POI_FIELDS])
 
 
+def unusable_poi(poi: DataFrame) -> DataFrame:
+    """Rows that :func:`usable_poi` leaves out."""
+    present = [F.col(c).isNotNull() for c in ("cell", *POI_FIELDS)]
+    return poi.filter(~reduce(and_, present))
+
+
 def poi_vectors(poi: DataFrame) -> DataFrame:
     """(cell, poi): the 14 counts scaled to 0..1 over the whole table.
 

@@ -117,12 +117,15 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
     traffic = readers.read_traffic(spark, inputs.traffic)
     poi, poi_copies = readers.split_duplicates(readers.read_poi(spark, inputs.poi), "cell")
     poi = stage("poi", poi)
-    stage("reject_poi", poi_copies)
-    vectors, vector_copies = readers.split_duplicates(
-        readers.read_word_vectors(spark, inputs.word_vectors, s.text_dims), "word"
+    stage("reject_poi", ft.unusable_poi(poi))
+    stage("copies_poi", poi_copies)
+    vectors, bad_vectors = readers.split_word_vectors(
+        readers.read_word_vectors(spark, inputs.word_vectors), s.text_dims
     )
+    vectors, vector_copies = readers.split_duplicates(vectors, "word")
     vectors = stage("word_vectors", vectors)
-    stage("reject_word_vectors", vector_copies)
+    stage("reject_word_vectors", bad_vectors)
+    stage("copies_word_vectors", vector_copies)
 
     for_text = stage("extract_text", extract(traffic, s, s.text_period), "city")
     cell_text = stage("cell_text", text_vectors(for_text, poi, vectors, s))
@@ -143,7 +146,7 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
     daylight, daylight_copies = readers.split_duplicates(
         readers.read_daylight(spark, inputs.daylight), "place", "day"
     )
-    stage("reject_daylight", daylight_copies)
+    stage("copies_daylight", daylight_copies)
     stage("reject_places", gr.places_without_daylight(daylight, s.cities))
 
     codes = ft.cell_codes(ft.usable_poi(poi))

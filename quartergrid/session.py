@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans are built from many small column calls; do not record each call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -116,16 +116,18 @@ def read_poi(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_word_vectors(spark: SparkSession, path: str, dims: int = TEXT_DIMS) -> DataFrame:
-    """Lines ``word f1 .. fN``. Lines of another width are left out."""
+def read_word_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """Lines ``word f1 .. fN``; an unreadable number is null in the vector."""
     line = F.regexp_replace("value", "[\r\n]", "")
     word = F.substring_index(line, " ", 1)
     numbers = number_array(F.substr(line, F.length(word) + 2))
-    return (
-        spark.read.text(path)
-        .select(word.alias("word"), numbers.alias("vec"))
-        .filter((F.size("vec") == dims) & ~F.exists("vec", F.isnull))
-    )
+    return spark.read.text(path).select(word.alias("word"), numbers.alias("vec"))
+
+
+def split_word_vectors(vectors: DataFrame, dims: int = TEXT_DIMS) -> tuple[DataFrame, DataFrame]:
+    """(vectors of the given width, the others)."""
+    good = (F.size("vec") == dims) & ~F.exists("vec", F.isnull)
+    return vectors.filter(good), vectors.filter(~good)
 
 
 def split_duplicates(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:

@@ -39,8 +39,9 @@ def test_run(spark, inputs, tmp_path):
                     text_dims=2, keep_share=0.2)
     paths = pl.run(spark, inputs, str(tmp_path), s)
     read = {n: tables.load(spark, p) for n, p in paths.items()}
-    assert rows(read["reject_poi"], "copies") == [(3,)]
+    assert rows(read["copies_poi"], "copies") == [(3,)]
     assert rows(read["word_vectors"], "word") == [("{k:",)]
+    assert rows(read["reject_word_vectors"], "word") == [("bad",), ("worse",)]
     assert {r.reject for r in read["reject_weather"].select("reject").distinct().collect()} == {"time", "number"}
     cells = read["seen"].select("city", "cell").distinct().count()
     assert read["grid"].count() == cells * 2015
@@ -83,11 +84,12 @@ def test_grid_csv_round_trip(spark, tmp_path):
 
 
 def test_poi_reader_rejects_bad_counts(spark, tmp_path):
-    from quartergrid.operators.features import usable_poi
+    from quartergrid.operators.features import unusable_poi, usable_poi
     line = lambda c, v: ",".join([c, *([v] * 14)])
     (tmp_path / "poi.csv").write_text("\n".join(["Geohash," + ",".join(POI_FIELDS), line("a", "1"), line("b", "x")]))
     read = readers.read_poi(spark, str(tmp_path))
     assert read.count() == 2 and rows(usable_poi(read), "cell") == [("a",)]
+    assert rows(unusable_poi(read), "cell") == [("b",)]
 
 
 def test_shared_folder_follows_the_session():
