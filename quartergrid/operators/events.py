@@ -117,13 +117,12 @@ def count_changes(spans: DataFrame) -> DataFrame:
     """Changes of the event counts per (city, cell, step).
 
     Each event adds its indicators where it starts and takes them away where
-    it stops, however long it is; a zero row at step 0 registers the cell.
-    Sums are combined before the shuffle, so a cell holding a third of all
-    events still sends at most one row per step and task.
+    it stops: two rows, however long it is. Sums are combined before the
+    shuffle, so a cell holding a third of all events still sends at most one
+    row per step and task.
     """
     marks = class_indicators(F.col("class"))
     points = F.array(
-        F.struct(F.lit(0).cast("long").alias("step"), F.lit(0).alias("sign")),
         F.struct(F.col("start_step").alias("step"), F.lit(1).alias("sign")),
         F.struct(F.col("stop_step").alias("step"), F.lit(-1).alias("sign")),
     )
@@ -146,16 +145,27 @@ def count_runs(spans: DataFrame, window: GridWindow) -> DataFrame:
     """
     by_cell = Window.partitionBy("city", "cell").orderBy("step")
     so_far = by_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = (*TRAFFIC_COLUMNS, "events")
     # By cell alone: serves this window and later joins on the cell.
     running = count_changes(spans).repartition("cell").select(
-        "city", "cell", "step",
-        *(F.sum(c).over(so_far).alias(c) for c in (*TRAFFIC_COLUMNS, "events")),
+        "city", "cell", "step", *(F.sum(c).over(so_far).alias(c) for c in counts)
     )
-    return running.select(
+    # Beyond the grid steps there is at most the slot that only registers.
+    following = running.select(
         "*",
-        # Beyond the grid steps there is at most the slot that only registers.
         F.lead("step", 1, window.total_steps + 1).over(by_cell).alias("next_step"),
         F.lead("t_accident", 1, 0).over(by_cell).alias("next_accidents"),
+        F.row_number().over(by_cell).alias("nth"),
+    )
+    zero = F.lit(0).cast("long")
+    run = F.struct("step", *counts, "next_step", "next_accidents")
+    empty_start = F.struct(
+        zero.alias("step"), *(zero.alias(c) for c in counts),
+        F.col("step").alias("next_step"), F.col("t_accident").alias("next_accidents"),
+    )
+    opens = (F.col("nth") == 1) & (F.col("step") > 0)
+    return following.select(
+        "city", "cell", F.inline(F.when(opens, F.array(empty_start, run)).otherwise(F.array(run)))
     )
 
 
