@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quartergrid.config import CITIES, FLAG_COLUMNS, GridWindow, WEATHER_COLUMNS, WEATHER_MEASURES
+from quartergrid.config import CITIES, FLAG_COLUMNS, GridWindow, WEATHER_MEASURES
 from quartergrid.functions.geohash import BASE32, great_circle_km
 from quartergrid.operators import events as ev
 from quartergrid.operators import grid as gr
@@ -12,7 +12,7 @@ from quartergrid.operators import nearest as nr
 from quartergrid.operators import observations as ob
 from quartergrid.plans import pipeline as pl
 from tests.conftest import rows
-from tests.test_events import WINDOW, random_events, spans, traffic
+from tests.test_events import WINDOW, random_events, spans
 
 SMALL = GridWindow(datetime(2018, 6, 1), datetime(2018, 6, 1, 2, 59, 59))  # 11 steps, 12 slots
 
@@ -64,7 +64,6 @@ def test_weather_of_sets(spark):
 
 
 def brute_nearest(spark, missing, donors):
-    lat, lng = {}, {}
     cells = sorted(set(missing) | set(donors))
     from quartergrid.functions.geohash import column_longitude, lattice_of, row_latitude
     df = spark.createDataFrame([(c,) for c in cells], "cell string")

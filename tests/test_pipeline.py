@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from checks import standins as si
 from checks.queries import raw_grid
 from quartergrid.config import POI_FIELDS, RAW_GRID_COLUMNS
-from quartergrid.operators import model as ml
 from quartergrid.plans import pipeline as pl
 from quartergrid.session import shared_folder
 from quartergrid.sources import readers, tables
