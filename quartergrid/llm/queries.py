@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quartergrid.llm.common import table
 from quartergrid.llm.jaccard_join import jaccard_classes
+from quartergrid.llm.substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,11 +31,11 @@ WORDS = r"'[^\x20\x09-\x0D]+'"
 
 ORACLE["op5_jaccard_join"] = f"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all({LOWER}, {WORDS}) AS ws FROM documents
+  SELECT doc_id, coalesce(regexp_extract_all({LOWER}, {WORDS}), []) AS ws FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, shingle FROM (
     SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-      ELSE list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')) END) AS shingle
+      ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS shingle
     FROM w)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 p AS (
@@ -50,3 +51,28 @@ r(node, root) AS (
 SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.node = w.doc_id GROUP BY w.doc_id
 """
+
+
+@query
+def op4_substring_dedup(spark, sf_dir):
+    return remove_repeated_passages(table(spark, sf_dir, "documents"), size=50, with_text=False)
+
+
+ORACLE["op4_substring_dedup"] = f"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, {WORDS}), []) AS ws FROM documents
+), starts AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50
+), win AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS h FROM starts),
+least AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win JOIN least USING (h) WHERE low < doc_id
+), kept AS (
+  SELECT e.doc_id, count(g.i) AS n_removed, string_agg(e.word, ' ' ORDER BY e.i) FILTER (g.i IS NULL) AS text
+  FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w) e
+  LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
