@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartergrid.llm.best_fit_packing import pack_documents
 from quartergrid.llm.common import table
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.substring_dedup import remove_repeated_passages
@@ -76,3 +77,8 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False)
