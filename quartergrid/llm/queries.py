@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quartergrid.llm.best_fit_packing import pack_documents
 from quartergrid.llm.common import table
 from quartergrid.llm.jaccard_join import jaccard_classes
+from quartergrid.llm.quality_rules import quality_verdicts
 from quartergrid.llm.substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 @query
 def op8_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False)
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    return quality_verdicts(table(spark, sf_dir, "documents"))
