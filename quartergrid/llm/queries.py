@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quartergrid.llm.best_fit_packing import pack_documents
 from quartergrid.llm.common import table
+from quartergrid.llm.decontamination import contamination
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.quality_rules import quality_verdicts
 from quartergrid.llm.substring_dedup import remove_repeated_passages
@@ -88,3 +89,37 @@ def op8_best_fit_packing(spark, sf_dir):
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
+
+
+#: Words of lower-case letters, digits and all that is not ASCII.
+PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+ORACLE["op2_decontamination"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all({LOWER}, {PLAIN}), []) AS ws FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({LOWER}, {PLAIN}) AS ws FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS win
+  FROM (SELECT item_id, ws, least(len(ws), 10) AS k, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i
+        FROM b WHERE len(ws) > 0)
+), dw AS (
+  SELECT doc_id, i, k, array_to_string(ws[i:i + k - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)
+), m AS (SELECT doc_id, i, k, item_id FROM dw JOIN iw USING (k, win)),
+h AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY 1
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY 1
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
