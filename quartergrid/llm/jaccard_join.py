@@ -69,30 +69,30 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """Two kinds of rows in one pass over the texts.
 
     Per document (doc_id, n_shingles, set_key, profile), set_key null for an
-    empty set; and per batch (cell, hits), the counts that order shingles.
+    empty set; and per task (cell, hits), the counts that order shingles.
     """
-    def each(batch: pa.RecordBatch) -> Iterator[dict]:
-        ids = batch.column(0).to_pylist()
-        n, keys, profiles = [], [], []
+    kinds = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_key": pa.int64(),
+             "profile": pa.list_(pa.int32()), "cell": pa.int32(), "hits": pa.int64()}
+
+    def rows(size: int, **columns) -> pa.RecordBatch:
+        full = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in kinds.items()]
+        return pa.RecordBatch.from_arrays(full, names=list(kinds))
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(1 << RARITY_BITS, np.int64)
-        for _, s in _sets(text_bytes(batch.column(1)), size):
-            n.append(len(s))
-            keys.append(_set_key(s) if len(s) else None)
-            profiles.append(_profile(s))
-            np.add.at(hits, _cell(s), 1)
-        none = [None] * len(ids)
-        yield {"doc_id": ids, "n_shingles": n, "set_key": keys, "profile": profiles, "cell": none, "hits": none}
+        for batch in found:
+            n, keys, profiles = [], [], []
+            for _, s in _sets(text_bytes(batch.column(1)), size):
+                n.append(len(s))
+                keys.append(_set_key(s) if len(s) else None)
+                profiles.append(_profile(s))
+                np.add.at(hits, _cell(s), 1)
+            yield rows(len(n), doc_id=batch.column(0), n_shingles=n, set_key=keys, profile=profiles)
         cells = np.flatnonzero(hits)
-        none = [None] * len(cells)
-        yield {"doc_id": none, "n_shingles": none, "set_key": none, "profile": none,
-               "cell": cells, "hits": hits[cells]}
+        yield rows(len(cells), cell=cells, hits=hits[cells])
 
-    return arrow_map(
-        docs.select(F.col("doc_id").cast("long"), "text"), each,
-        "doc_id long, n_shingles long, set_key long, profile array<int>, cell int, hits long",
-        doc_id=pa.int64(), n_shingles=pa.int64(), set_key=pa.int64(),
-        profile=pa.list_(pa.int32()), cell=pa.int32(), hits=pa.int64(),
-    )
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "doc_id long, n_shingles long, set_key long, profile array<int>, cell int, hits long")
 
 
 def rarity(counted: DataFrame) -> np.ndarray:

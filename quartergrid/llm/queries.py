@@ -11,6 +11,7 @@ from quartergrid.llm.best_fit_packing import pack_documents
 from quartergrid.llm.common import table
 from quartergrid.llm.decontamination import contamination
 from quartergrid.llm.jaccard_join import jaccard_classes
+from quartergrid.llm.language_id import identify_languages
 from quartergrid.llm.quality_rules import quality_verdicts
 from quartergrid.llm.substring_dedup import remove_repeated_passages
 
@@ -123,3 +124,9 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
   sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return identify_languages(table(spark, sf_dir, "documents"), F.coalesce(remainder == 2, F.lit(False)))
