@@ -12,6 +12,7 @@ from quartergrid.llm.common import table
 from quartergrid.llm.decontamination import contamination
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.language_id import identify_languages
+from quartergrid.llm.line_dedup import dedup_lines
 from quartergrid.llm.quality_rules import quality_verdicts
 from quartergrid.llm.substring_dedup import remove_repeated_passages
 
@@ -130,3 +131,34 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 def op1_language_id(spark, sf_dir):
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     return identify_languages(table(spark, sf_dir, "documents"), F.coalesce(remainder == 2, F.lit(False)))
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
+ORACLE["op9_line_dedup"] = f"""
+WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS text, generate_subscripts(lines, 1) AS line FROM s),
+e AS (
+  SELECT doc_id, line, len(ws) AS n, array_to_string(ws, ' ') AS s
+  FROM (SELECT doc_id, line, regexp_extract_all({LOWER}, {WORDS}) AS ws FROM l) WHERE len(ws) >= 5
+), f AS (SELECT s, any_value(n) AS n, min((doc_id, line)) AS o FROM e GROUP BY s),
+v AS (
+  SELECT s, o, i, array_to_string(list_concat(ws[:i - 1], ws[i + 1:]), ' ') AS v
+  FROM (SELECT s, o, string_split(s, ' ') AS ws, unnest(range(1, n + 1)) AS i FROM f WHERE n >= 8)
+), near AS (
+  SELECT a.s FROM v a JOIN (SELECT v, i, min(o) AS o FROM v GROUP BY v, i) b ON a.v = b.v AND a.i = b.i WHERE b.o < a.o
+  UNION SELECT a.s FROM v a JOIN f b ON a.v = b.s WHERE b.n >= 8 AND b.o < a.o
+  UNION SELECT b.s FROM v a JOIN f b ON a.v = b.s WHERE b.n >= 8 AND a.o < b.o
+), gone AS (
+  SELECT e.doc_id, e.line FROM e JOIN f USING (s)
+  WHERE (e.doc_id, e.line) != f.o OR s IN (SELECT s FROM near)
+)
+SELECT s.doc_id, any_value(coalesce(len(s.lines), 0))::BIGINT AS n_lines, count(g.line) AS n_removed,
+  sha256(coalesce(string_agg(l.text, chr(10) ORDER BY l.line) FILTER (g.line IS NULL), '')) AS kept_sha256
+FROM s LEFT JOIN l ON l.doc_id = s.doc_id LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line = l.line
+GROUP BY s.doc_id
+"""
