@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartergrid.llm.best_fit_packing import pack_documents
-from quartergrid.llm.common import table
+from quartergrid.llm.common import scratch, table
 from quartergrid.llm.decontamination import contamination
+from quartergrid.llm.html_text import extract_main_text
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.language_id import identify_languages
 from quartergrid.llm.line_dedup import dedup_lines
 from quartergrid.llm.quality_rules import quality_verdicts
 from quartergrid.llm.substring_dedup import remove_repeated_passages
+from quartergrid.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -162,3 +164,28 @@ SELECT s.doc_id, any_value(coalesce(len(s.lines), 0))::BIGINT AS n_lines, count(
 FROM s LEFT JOIN l ON l.doc_id = s.doc_id LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line = l.line
 GROUP BY s.doc_id
 """
+
+
+@query
+def op6_warc(spark, sf_dir):
+    folder = write_archives(table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+    return read_archives(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), k AS (
+  SELECT payload, max(page_id) AS keeper FROM p WHERE octet_length(payload) >= 1000 GROUP BY payload
+)
+SELECT page_id, octet_length(p.payload)::BIGINT AS payload_bytes, sha1(p.payload) AS payload_digest,
+  CASE WHEN keeper IS NOT NULL AND page_id != keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id != keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON k.payload = p.payload
+"""
+
+
+@query
+def op3_html_extraction(spark, sf_dir):
+    return extract_main_text(table(spark, sf_dir, "pages"))
