@@ -5,8 +5,8 @@ Each stage works on all that its predecessor kept. A stage takes
 next stage's ``docs``. All but the last return the columns of ``documents``.
 
 Null and empty texts fail the first stage. Rows that repeat a doc_id are judged
-row by row in stages 1, 2 and 4 and stay or go together in stage 3; rows without
-a doc_id take no part in stages 2 and 3. Extra columns are left behind. An empty
+row by row in stages 1, 2 and 4, and one of them is left after stage 3; rows
+without a doc_id take no part in stages 2 and 3. Extra columns are left behind. An empty
 table gives an empty result.
 """
 
@@ -61,10 +61,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least doc_id, of each group of near copies."""
+    """One document, the one with the least doc_id, of each group of near copies.
+
+    Of rows that repeat a doc_id one stays.
+    """
     others = jaccard_classes(docs, size=5, percent=80).filter("component_id < doc_id")
     bad = staged(others.select("doc_id").distinct(), "near_copies")
-    return docs.join(of_checked_size(bad), "doc_id", "left_anti").select(*COLUMNS)
+    left = docs.join(of_checked_size(bad), "doc_id", "left_anti").select(*COLUMNS)
+    many = left.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
+    many = staged(many, "repeated_ids")
+    if many.isEmpty():
+        return left
+    again = of_checked_size(many)
+    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(again, "doc_id", "left_anti").unionByName(once)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,16 +19,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares."""
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back: lineage ends here.
 
     A lost executor costs no more than the tasks of the stage it was in.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+#: Stored tables of a few narrow columns are broadcast up to so many rows.
+BROADCAST_ROWS = 2_000_000
+
+
+def of_checked_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored narrow table, marked for broadcast if it has few enough rows.
+
+    Beyond that it is joined by a shuffle, with the same result.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null gives no bytes."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

@@ -13,12 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import staged
+from quartergrid.llm.common import of_checked_size, staged
 
 WINDOW = 10
 SHINGLE = 3
-#: Item shingles are broadcast up to this number of rows of 8 bytes, else shuffled.
-BROADCAST_ROWS = 2_000_000
 
 _SEPARATORS = "".join(chr(c) for c in [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -54,18 +52,13 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
         "window_id", F.md5(F.array_join("words", " "))).distinct()
 
 
-def _of_checked_size(df: DataFrame) -> DataFrame:
-    """A stored table marked for broadcast if it has few enough rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _matches(texts: DataFrame, shingles: DataFrame) -> DataFrame:
     """(text_id, n, size, place, shingle): where item shingles stand in the texts."""
     sizes = [r[0] for r in shingles.select("size").distinct().collect()]  # 1 to SHINGLE
     found = None
     for size in sorted(sizes):
         wanted = staged(shingles.filter(F.col("size") == size).select("shingle").distinct(), "item_shingles")
-        places = _shingles(texts, size, "text_id", "n").join(_of_checked_size(wanted), "shingle")
+        places = _shingles(texts, size, "text_id", "n").join(of_checked_size(wanted), "shingle")
         part = places.select("text_id", "n", F.lit(size).alias("size"), "place", "shingle")
         found = part if found is None else found.unionByName(part)
     return found

@@ -103,13 +103,17 @@ class _Page:
             self.around.pop()
 
     def _close(self, tags: set[str] | frozenset[str], scope: set[str] | frozenset[str] = frozenset()) -> None:
-        """End the nearest open element of ``tags``, unless one of ``scope`` is nearer."""
+        """End the nearest open element of ``tags``, unless one of ``scope`` is nearer.
+
+        Only block elements end a block of text, the named one or those in it.
+        """
         if not any(self.count[t] for t in tags):
             return
         for i in range(len(self.open) - 1, -1, -1):
             tag = self.open[i][0]
             if tag in tags:
-                self._flush()
+                if any(t in BLOCK for t, _ in self.open[i:]):
+                    self._flush()
                 while len(self.open) > i:
                     self._pop()
                 return

@@ -15,6 +15,7 @@ from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.language_id import identify_languages
 from quartergrid.llm.line_dedup import dedup_lines
 from quartergrid.llm.quality_rules import quality_verdicts
+from quartergrid.llm.secret_scan import NOVEL, PATTERNS, scan_secrets, span_text
 from quartergrid.llm.substring_dedup import remove_repeated_passages
 from quartergrid.llm.warc import read_archives, write_archives
 
@@ -189,3 +190,16 @@ FROM p LEFT JOIN k ON k.payload = p.payload
 @query
 def op3_html_extraction(spark, sf_dir):
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_secret_scan(spark, sf_dir):
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda s: s["kind"] != NOVEL)
+    counts = [
+        F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in PATTERNS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("secrets")).alias("spans"))

@@ -189,10 +189,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     placed = chunks.join(bases, ["file", "block"]).withColumn("offset", F.col("base") + F.col("local"))
     placed = staged(placed.withColumn("next", F.col("offset") + F.col("size")), "offsets")
     true = staged(chained(placed.filter("next is not null")), "records")
-    begun = placed.join(true.withColumn("true", F.lit(True)), ["file", "offset"], "left")
+    begun = placed.join(true.withColumn("real", F.lit(True)), ["file", "offset"], "left")
     facts = [n for n, _, _ in _FACTS]
-    whole = begun.filter("true and bytes is not null").select("file", "offset", *facts)
-    broken = staged(begun.filter("true and bytes is null").select("file", "offset", "next"), "broken")
+    whole = begun.filter("real and bytes is not null").select("file", "offset", *facts)
+    broken = staged(begun.filter("real and bytes is null").select("file", "offset", "next"), "broken")
     if with_payload:
         own = _chunks(spark, path, raw=False, payload=True).join(bases, ["file", "block"])
         payloads = own.select("file", (F.col("base") + F.col("local")).alias("offset"), "payload")
@@ -209,10 +209,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 
 def _joined(spark, path, placed, true, broken, bases, with_payload: bool) -> DataFrame:
     """Records whose payload holds version lines, from the chunks that make them up."""
-    owner = F.last(F.when(F.col("true"), F.col("offset")), ignorenulls=True).over(
+    owner = F.last(F.when(F.col("real"), F.col("offset")), ignorenulls=True).over(
         Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0))
     owned = placed.select("file", "offset").join(
-        true.withColumn("true", F.lit(True)), ["file", "offset"], "left").withColumn("record", owner)
+        true.withColumn("real", F.lit(True)), ["file", "offset"], "left").withColumn("record", owner)
     parts = staged(owned.join(
         broken.select("file", F.col("offset").alias("record")), ["file", "record"]
     ).select("file", "offset", "record"), "parts")
