@@ -9,15 +9,41 @@ from __future__ import annotations
 import re
 
 from checks.standins import CITIES, DIMS, PERIOD, SETTINGS, WINDOW
-from quartergrid.config import (
-    FLAG_COLUMNS, HOUR_COLUMNS, POI_FIELDS, RAW_GRID_COLUMNS, SCALED_COLUMNS, STEP_FEATURES,
-    TRAFFIC_COLUMNS, WEATHER_COLUMNS, WEATHER_MEASURES,
-)
+from quartergrid.config import POI_FIELDS
 from quartergrid.functions.geohash import BASE32
 
 TOTAL = WINDOW.total_steps
 LOOKBACK = SETTINGS.lookback
 
+# Written out here, so that an order the engine gets wrong shows.
+TRAFFIC_COLUMNS = (
+    "t_accident", "t_broken_vehicle", "t_congestion", "t_construction", "t_event", "t_flow_incident",
+    "t_other", "t_road_blocked",
+)
+WEATHER_MEASURES = ("humidity", "precipitation", "pressure", "temperature", "visibility", "wind_speed")
+WEATHER_COLUMNS = (
+    "w_humidity", "w_precipitation", "w_pressure", "w_temperature", "w_visibility", "w_wind_speed",
+)
+FLAG_COLUMNS = ("w_rain", "w_snow", "w_fog", "w_hail")
+HOUR_COLUMNS = ("hod_en0", "hod_en1", "hod_en2", "hod_en3", "hod_en4")
+SCALED_COLUMNS = (
+    "t_broken_vehicle", "t_congestion", "t_construction", "t_event", "t_flow_incident", "t_other",
+    "t_road_blocked", "w_humidity", "w_precipitation", "w_pressure", "w_temperature", "w_visibility",
+    "w_wind_speed", "w_rain", "w_snow", "w_fog", "w_hail",
+)
+STEP_FEATURES = (
+    "dow_cat", "t_accident", "daylight", "t_broken_vehicle", "t_congestion", "t_construction", "t_event",
+    "t_flow_incident", "t_other", "t_road_blocked", "w_humidity", "w_precipitation", "w_pressure",
+    "w_temperature", "w_visibility", "w_wind_speed", "w_rain", "w_snow", "w_fog", "w_hail",
+    "hod_en0", "hod_en1", "hod_en2", "hod_en3", "hod_en4",
+)
+RAW_GRID_COLUMNS = (
+    "cell", "step", "dow", "hod", "daylight", "t_accident", "t_broken_vehicle", "t_congestion",
+    "t_construction", "t_event", "t_flow_incident", "t_other", "t_road_blocked", "w_humidity",
+    "w_precipitation", "w_pressure", "w_temperature", "w_visibility", "w_wind_speed", "w_rain", "w_snow",
+    "w_fog", "w_hail",
+)
+
 
 def comma(items) -> str:
     return ", ".join(items)
@@ -277,9 +303,8 @@ NAMED = {
         WHERE length(word) > 0""",
     "doc_words": "SELECT doc_id, word, count(*) AS uses FROM doc_tokens GROUP BY doc_id, word",
     "vocabulary": f"""
-        SELECT word, {_HASH.format('word')} % (SELECT count(*) FROM embeddings) AS vec_id
-        FROM doc_words WHERE NOT regexp_matches(word, '\\s')
-        GROUP BY word HAVING count(*) >= 2""",
+        SELECT DISTINCT word, {_HASH.format('word')} % (SELECT count(*) FROM embeddings) AS vec_id
+        FROM doc_words WHERE NOT regexp_matches(word, '\\s')""",
     "vec_long": """
         SELECT vec_id, unnest(range(len(embedding))) AS pos, unnest(embedding)::DOUBLE AS value
         FROM embeddings""",
@@ -289,7 +314,7 @@ NAMED = {
         GROUP BY doc_id, pos""",
     "cell_text": """
         SELECT cell, pos, avg(value) AS value
-        FROM (SELECT cell, event_id % (SELECT count(*) FROM documents) AS doc_id FROM celled
+        FROM (SELECT cell, event_id % (SELECT count(*) FROM documents) AS doc_id FROM extract
               WHERE cell IN (SELECT cell FROM poi)) JOIN doc_mean USING (doc_id)
         GROUP BY cell, pos""",
     "example": f"""
@@ -352,15 +377,16 @@ ORACLE = {name: sql(text) for name, text in {
         FROM vocabulary JOIN vec_long USING (vec_id) GROUP BY word""",
     "scan_poi": "SELECT cell, " + comma(
         f"p{j} AS {n.lower()}" for j, n in enumerate(POI_FIELDS)) + " FROM poi",
-    "scan_weather": """SELECT airport, obs_date, obs_hour, temp, wind_chill, precipitation,
+    "scan_weather": """SELECT airport, obs_date, obs_hour, temp, wind_chill, humidity, pressure,
+        visibility, wind_speed, precipitation,
         nullif(events, '') AS events_tag, nullif(conditions, '') AS conditions_tag
         FROM obs_text WHERE airport IN (SELECT airport FROM zones)""",
     "scan_daylight": """SELECT place, strftime(day, '%Y-%m-%d') AS day, sunrise::BIGINT AS sunrise,
         (5 * 60 + day(day) + 720)::BIGINT AS sunset FROM sun""",
     "sink_roundtrip_vectors": f"SELECT cell, pos, {r6('value', 'value')} FROM cell_text",
-    "sink_roundtrip_grid": "SELECT city, cell, count(*) AS n_rows, " + comma(
-        r6(f"sum({c})::DOUBLE", c) for c in RAW_GRID_COLUMNS if c != "cell"
-    ) + " FROM grid GROUP BY city, cell",
+    "sink_roundtrip_grid": f"SELECT city, {_rounded(RAW_GRID_COLUMNS)} FROM grid",
+    "sink_roundtrip_clean_grid": f"""SELECT city, step, predicted_accident, cell, cell_code, hod_cat, dow_cat,
+        t_accident, daylight, {_rounded(SCALED_COLUMNS)} FROM clean""",
     "sink_roundtrip_trainset": """SELECT city, split, label, count(*) AS n_examples,
         max(width) AS width FROM example GROUP BY city, split, label""",
     "bbox_time_filter": "SELECT event_id, city FROM extract",
@@ -441,6 +467,11 @@ ORACLE = {name: sql(text) for name, text in {
         WHERE predicted_accident > 0
               OR {_HASH.format("'42|' || cell || '|' || step")} % 10000 >= 9800""",
     "assemble_example": "SELECT * FROM example",
+    "fit_logreg": """SELECT city, any_value(width) AS width, count(*) FILTER (split = 'train') AS train_rows,
+        count(*) FILTER (split = 'test') AS test_rows,
+        count(*) FILTER (split = 'test' AND label > 0) AS test_positives,
+        true AS accuracy_is_recall, true AS within_0_1
+        FROM example GROUP BY city HAVING train_rows > 0 AND test_rows > 0""",
     "class_metrics": f"""SELECT {r6('sum(hits) / sum(actual)', 'accuracy')},
         {r6('sum(actual * (hits / actual)) / sum(actual)', 'weighted_recall')},
         {r6('sum(actual * 2 * hits / (guessed + actual)) / sum(actual)', 'weighted_f1')}

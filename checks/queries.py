@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from checks import standins as si
 from quartergrid.config import (
-    FLAG_COLUMNS, POI_FIELDS, RAW_GRID_COLUMNS, SCALED_COLUMNS, TRAFFIC_COLUMNS,
+    CLEAN_GRID_COLUMNS, FLAG_COLUMNS, POI_FIELDS, RAW_GRID_COLUMNS, SCALED_COLUMNS, TRAFFIC_COLUMNS,
     WEATHER_COLUMNS, WEATHER_MEASURES,
 )
 from quartergrid.functions import clock, labels
@@ -110,8 +112,9 @@ def raw_grid(spark, sf_dir):
     held = staged(spark, spans(spark, sf_dir), "spans", "city")
     places = staged(spark, ev.seen_places(held), "seen")
     sets, weather = set_weather(spark, sf_dir, places)
-    codes = ft.cell_codes(ft.usable_poi(si.poi(spark, sf_dir)))
-    return pl.raw_grid(held, sets, weather, daylight(spark, sf_dir), codes, S)
+    codes = staged(spark, ft.cell_codes(ft.usable_poi(si.poi(spark, sf_dir))), "codes")
+    weather, light = staged(spark, weather, "weather"), staged(spark, daylight(spark, sf_dir), "daylight")
+    return pl.raw_grid(held, sets, weather, light, codes, S)
 
 
 def clean_grid(spark, sf_dir):
@@ -121,12 +124,9 @@ def clean_grid(spark, sf_dir):
 def examples(spark, sf_dir):
     clean = staged(spark, clean_grid(spark, sf_dir), "clean", "city")
     poi = staged(spark, si.poi(spark, sf_dir), "poi")
-    text = tv.cell_means(
-        tv.only_known_cells(ev.locate(si.described_traffic(spark, sf_dir)), poi),
-        si.word_vectors(spark, sf_dir), si.DIMS,
-    )
-    per_cell = ft.cell_features(clean.select("cell"), poi, text, si.DIMS)
-    return ex.training_examples(clean, per_cell, S.cities, S.seed, S.keep_share, S.lookback)
+    text = staged(spark, cell_vectors(spark, sf_dir), "cell_text")
+    per_cell = staged(spark, ft.cell_features(clean.select("cell"), poi, text, si.DIMS), "cell_features")
+    return pl.training_examples(clean, per_cell, S, lambda name, df: staged(spark, df, name))
 
 
 # --- scans and sinks -------------------------------------------------------
@@ -159,7 +159,7 @@ def scan_word_vectors(spark, sf_dir):
     numbers = F.array_join(F.transform("vec", lambda v: v.cast("string")), " ")
     source.select(F.concat_ws(" ", "word", numbers).alias("value")).write.text(path)
     good, _ = readers.split_word_vectors(readers.read_word_vectors(spark, path), si.DIMS)
-    read, _ = readers.split_duplicates(good, "word")
+    read, _ = readers.collapse_copies(good, "word")
     return read.select(
         "word", F.size("vec").cast("long").alias("dims"), r6(checksum("vec")).alias("checksum")
     )
@@ -167,36 +167,40 @@ def scan_word_vectors(spark, sf_dir):
 
 @query
 def scan_poi(spark, sf_dir):
-    path = scratch(spark, "poi")
-    si.poi(spark, sf_dir).withColumnRenamed("cell", "Geohash").write.option("header", True).csv(path)
-    read, _ = readers.split_duplicates(readers.read_poi(spark, path), "cell")
+    # The same rows once more, and rows with a smaller first count: both give way.
+    path, source = scratch(spark, "poi"), si.poi(spark, sf_dir)
+    lesser = source.withColumn(POI_FIELDS[0], F.col(POI_FIELDS[0]) - 1)
+    source.unionByName(source).unionByName(lesser).withColumnRenamed("cell", "Geohash").write.option(
+        "header", True).csv(path)
+    read, _ = readers.collapse_copies(readers.read_poi(spark, path), "cell")
     return read.select("cell", *(F.col(c).cast("long").alias(c.lower()) for c in POI_FIELDS))
 
 
-def stored_observations(spark, sf_dir):
-    path = scratch(spark, "weather")
-    si.observation_text(spark, sf_dir).drop("obs_id").write.partitionBy("airport").option(
-        "header", True
-    ).csv(path)
-    zones = ev.airport_zones(spans(spark, sf_dir))
-    return ob.wanted_airports(readers.read_observations(spark, path), zones)
-
-
 @query
 def scan_weather(spark, sf_dir):
-    return stored_observations(spark, sf_dir).select(
-        "airport", F.col("Date").alias("obs_date"), F.col("Hour").alias("obs_hour"),
-        F.col("Temp").alias("temp"), F.col("WindChill").alias("wind_chill"),
-        F.col("Precipitation").alias("precipitation"),
-        F.col("events").alias("events_tag"), F.col("conditions").alias("conditions_tag"),
-    )
+    """One file per airport, all of its columns."""
+    folder = scratch(spark, "weather")
+    source = si.observation_text(spark, sf_dir).drop("obs_id")
+    source.write.partitionBy("airport").option("header", True).csv(folder)
+    read = readers.read_observations(spark, folder)
+    zones = ev.airport_zones(spans(spark, sf_dir))
+    names = {
+        "Date": "obs_date", "Hour": "obs_hour", "Temp": "temp", "WindChill": "wind_chill", "Humd": "humidity",
+        "Pressure": "pressure", "Visib": "visibility", "WindSpeed": "wind_speed", "Precipitation": "precipitation",
+        "events": "events_tag", "conditions": "conditions_tag",
+    }
+    return ob.wanted_airports(read, zones).select(
+        "airport", *(F.col(old).alias(new) for old, new in names.items()))
 
 
 @query
 def scan_daylight(spark, sf_dir):
     path = scratch(spark, "daylight")
-    si.daylight_text(spark, sf_dir).write.csv(path)
-    read, _ = readers.split_duplicates(readers.read_daylight(spark, path), "place", "day")
+    # The same rows once more, and rows with an earlier sunrise: both give way.
+    source = si.daylight_text(spark, sf_dir)
+    earlier = source.withColumn("sunrise", F.lit("6:00 am"))
+    source.unionByName(source).unionByName(earlier).write.csv(path)
+    read, _ = readers.collapse_copies(readers.read_daylight(spark, path), "place", "day")
     return read.select(
         "place", F.date_format("day", "yyyy-MM-dd").alias("day"),
         F.col("sunrise").cast("long").alias("sunrise"), F.col("sunset").cast("long").alias("sunset"),
@@ -213,11 +217,14 @@ def sink_roundtrip_vectors(spark, sf_dir):
 def sink_roundtrip_grid(spark, sf_dir):
     path = tables.save_grid_csv(raw_grid(spark, sf_dir), scratch(spark, "grid"))
     read = tables.load_grid_csv(spark, path)
-    numbers = [c for c in RAW_GRID_COLUMNS if c != "cell"]
-    return read.groupBy("city", "cell").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *(r6(F.sum(c).cast("double")).alias(c) for c in numbers),
-    )
+    return read.select("city", *whole_and_rounded(read, RAW_GRID_COLUMNS))
+
+
+@query
+def sink_roundtrip_clean_grid(spark, sf_dir):
+    path = tables.save_grid_csv(clean_grid(spark, sf_dir), scratch(spark, "clean"), clean=True)
+    read = tables.load_grid_csv(spark, path, clean=True)
+    return read.select("city", *whole_and_rounded(read, CLEAN_GRID_COLUMNS))
 
 
 @query
@@ -439,9 +446,10 @@ def doc_vector_mean(spark, sf_dir):
 
 
 def cell_vectors(spark, sf_dir):
-    located = ev.locate(si.described_traffic(spark, sf_dir))
-    known = tv.only_known_cells(located, ft.usable_poi(si.poi(spark, sf_dir)))
-    return tv.cell_means(known, si.word_vectors(spark, sf_dir), si.DIMS)
+    described = pl.extract(si.described_traffic(spark, sf_dir), S, S.text_period)
+    words = staged(spark, si.word_vectors(spark, sf_dir), "words")
+    poi = staged(spark, si.poi(spark, sf_dir), "poi")
+    return pl.text_vectors(described, poi, words, S)
 
 
 @query
@@ -478,20 +486,20 @@ def attach_text(spark, sf_dir):
 @query
 def chrono_split(spark, sf_dir):
     clean = staged(spark, clean_grid(spark, sf_dir), "clean", "city")
-    return ex.chrono_split(clean, S.cities).select("city", "cell", "step", "split")
+    return ex.chrono_split(clean).select("city", "cell", "step", "split")
 
 
 @query
 def split_minmax(spark, sf_dir):
     clean = staged(spark, clean_grid(spark, sf_dir), "clean", "city")
-    scaled = ex.scale_by_train(ex.chrono_split(clean, S.cities), S.cities)
+    scaled = ex.scale_by_train(ex.chrono_split(clean))
     return scaled.select("city", "cell", "step", "split", *(r6(F.col(c)).alias(c) for c in SCALED_COLUMNS))
 
 
 @query
 def lookback_sequence(spark, sf_dir):
     clean = staged(spark, clean_grid(spark, sf_dir), "clean", "city")
-    split = ex.chrono_split(clean, S.cities)
+    split = ex.chrono_split(clean)
     features = F.array(*(F.col(c).cast("double") for c in ("t_accident", "daylight", "w_rain")))
     rows = split.select("city", "cell", "split", "step", features.alias("features"))
     return ex.lookback(rows, S.lookback).select(
@@ -527,8 +535,12 @@ def class_metrics(spark, sf_dir):
 
 @query
 def fit_logreg(spark, sf_dir):
+    """What SQL can say of the models: which there are, on how many rows, and what holds of any."""
     rows = staged(spark, examples(spark, sf_dir), "examples", "city", "split")
-    model, metrics = pl.train_and_evaluate(rows, "Austin")
-    return metrics.select(
-        F.lit("Austin").alias("city"), F.lit(model.numFeatures).alias("width"), *metrics.columns
-    )
+    models = pl.city_models(rows, S.cities)
+    measures = ("accuracy", "weighted_recall", "weighted_f1")
+    within = reduce(and_, (F.col(m).between(0, 1) for m in measures))
+    return models.select(
+        "city", "width", "train_rows", "test_rows", "test_positives",
+        (F.abs(F.col("accuracy") - F.col("weighted_recall")) < 1e-9).alias("accuracy_is_recall"),
+        within.alias("within_0_1"))

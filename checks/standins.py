@@ -11,18 +11,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartergrid.config import POI_FIELDS, City, GridWindow
+from quartergrid.config import CITIES as ALL_CITIES
+from quartergrid.config import POI_FIELDS, GridWindow
 from quartergrid.functions.text import tokens
 from quartergrid.operators.events import locate
 from quartergrid.plans.pipeline import Settings
 from quartergrid.session import use_utc
 
-# Three of the city boxes.
-CITIES = (
-    City("Austin", 30.079327, 30.596764, -97.968881, -97.504838, "US/Central", "TX"),
-    City("Atlanta", 33.612410, 33.916999, -84.575600, -84.231911, "US/Eastern", "GA"),
-    City("LosAngeles", 33.700615, 34.353627, -118.683511, -118.074559, "US/Pacific", "CA"),
-)
+CITIES = tuple(c for name in ("Austin", "Atlanta", "LosAngeles") for c in ALL_CITIES if c.name == name)
 WINDOW = GridWindow(datetime(2024, 1, 5), datetime(2024, 1, 25, 23, 59, 59))
 PERIOD = (datetime(2024, 1, 3), datetime(2024, 1, 28))
 DIMS = 64
@@ -32,10 +28,7 @@ SETTINGS = Settings(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    # One small file is one task; a table of many files is read as it lies.
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def token_hash(text: Column) -> Column:
@@ -179,7 +172,7 @@ def poi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words used by two documents or more, with a vector from ``embeddings``."""
+    """Every token without white space, with a vector from ``embeddings``."""
     documents = table(spark, sf_dir, "documents")
     vectors = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("vec")
@@ -188,9 +181,8 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = documents.select(
         F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")
     ).filter(~F.col("word").rlike(r"\s"))
-    known = words.groupBy("word").agg(F.count(F.lit(1)).alias("documents")).filter("documents >= 2")
     return (
-        known.withColumn("vec_id", token_hash(F.col("word")) % count)
+        words.distinct().withColumn("vec_id", token_hash(F.col("word")) % count)
         .join(vectors, "vec_id")
         .select("word", "vec")
     )

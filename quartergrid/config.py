@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,21 +32,21 @@ CITIES = (
     City("Atlanta", 33.612410, 33.916999, -84.575600, -84.231911, "US/Eastern", "GA"),
 )
 
-# A region table this long still broadcasts in a few megabytes.
-MAX_BROADCAST_REGIONS = 20_000
-
-
 def city_table(spark: SparkSession, cities: tuple[City, ...] = CITIES) -> DataFrame:
-    """The cities as a table; ``city_order`` is the position in the list."""
+    """The cities as a table; ``city_order`` is the position in the list.
+
+    Made from Arrow, so that Spark knows its size and picks the join by it.
+    """
+    places = [pa.field(c, pa.float64()) for c in ("lat_min", "lat_max", "lng_min", "lng_max")]
+    schema = pa.schema([
+        pa.field("city", pa.string()), pa.field("city_order", pa.int32()), *places,
+        pa.field("zone", pa.string()), pa.field("state", pa.string()),
+    ])
     rows = [
-        (c.name, i, c.lat_min, c.lat_max, c.lng_min, c.lng_max, c.zone, c.state)
+        dict(zip(schema.names, (c.name, i, c.lat_min, c.lat_max, c.lng_min, c.lng_max, c.zone, c.state)))
         for i, c in enumerate(cities)
     ]
-    return spark.createDataFrame(
-        rows,
-        "city string, city_order int, lat_min double, lat_max double, "
-        "lng_min double, lng_max double, zone string, state string",
-    )
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
 
 @dataclass(frozen=True)

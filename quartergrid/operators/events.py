@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartergrid.config import (
-    MAX_BROADCAST_REGIONS, PRECISION, TRAFFIC_COLUMNS, City, GridWindow, city_table,
-)
+from quartergrid.config import PRECISION, TRAFFIC_COLUMNS, City, GridWindow, city_table
 from quartergrid.functions.clock import local_time, step_index
 from quartergrid.functions.columns import computed_once
 from quartergrid.functions.geohash import cell_of
@@ -22,33 +20,45 @@ def in_period(events: DataFrame, start: datetime, finish: datetime) -> DataFrame
     return events.filter((F.col("start_utc") >= begin) & (F.col("start_utc") < stop))
 
 
-def assign_cities(events: DataFrame, cities: tuple[City, ...]) -> DataFrame:
+# Tiles per degree: a tile of a tenth of a degree is a part of a city.
+TILES = 10
+
+
+def assign_cities(
+    events: DataFrame, cities: tuple[City, ...], unplaced: Column | None = None
+) -> DataFrame:
     """Give each event the cities whose open box holds its point.
 
-    The boxes are laid over one-degree tiles, so this is an equality join on
-    the tile with the box test on top. Events are not shuffled: the tiled
-    boxes are broadcast when the list is short, which is checked; a longer
-    list takes whatever join Spark picks.
+    The boxes are laid over tiles, so this is an equality join on the tile with
+    the box test on top. Spark knows the size of the tiled boxes: it broadcasts
+    them and leaves the events where they are, or shuffles both by tile.
+    Events in no city are dropped, but for those that ``unplaced`` holds for.
     """
-    regions = city_table(events.sparkSession, cities)
-    tiles = regions.withColumn(
-        "tile_lat", F.explode(F.sequence(F.floor("lat_min"), F.floor("lat_max")))
-    ).withColumn("tile_lng", F.explode(F.sequence(F.floor("lng_min"), F.floor("lng_max"))))
-    tile_count = sum(
-        (int(c.lat_max // 1 - c.lat_min // 1) + 1) * (int(c.lng_max // 1 - c.lng_min // 1) + 1)
-        for c in cities
+    def tiles(low: str, high: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(low) * TILES), F.floor(F.col(high) * TILES)))
+
+    boxes = (
+        city_table(events.sparkSession, cities)
+        .withColumn("tile_lat", tiles("lat_min", "lat_max"))
+        .withColumn("tile_lng", tiles("lng_min", "lng_max"))
     )
-    if tile_count <= MAX_BROADCAST_REGIONS:
-        tiles = F.broadcast(tiles)
     inside = (
-        (F.floor("lat") == F.col("tile_lat"))
-        & (F.floor("lng") == F.col("tile_lng"))
+        (F.floor(F.col("lat") * TILES) == F.col("tile_lat"))
+        & (F.floor(F.col("lng") * TILES) == F.col("tile_lng"))
         & (F.col("lat") > F.col("lat_min")) & (F.col("lat") < F.col("lat_max"))
         & (F.col("lng") > F.col("lng_min")) & (F.col("lng") < F.col("lng_max"))
     )
-    return events.join(tiles, inside, "inner").select(
+    joined = events.join(boxes, inside, "inner" if unplaced is None else "left").select(
         *events.columns, "city", "city_order", "zone", "state"
     )
+    return joined if unplaced is None else joined.filter(F.col("city").isNotNull() | unplaced)
+
+
+def unreadable() -> Column:
+    """Why an event can have no place on the grid at all: null when it can."""
+    return F.when(F.col("start_utc").isNull(), "start").when(
+        F.col("lat").isNull() | F.col("lng").isNull(), "point"
+    )
 
 
 def split_unusable(events: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartergrid.config import (
-    KEEP_SHARE, LOOKBACK, MAX_BROADCAST_REGIONS, SCALED_COLUMNS, STEP_FEATURES, TRAIN_SHARE, City,
-)
+from quartergrid.config import KEEP_SHARE, LOOKBACK, SCALED_COLUMNS, STEP_FEATURES, TRAIN_SHARE
 from quartergrid.functions.labels import hour_onehot, keyed_draw
 
 
-def _per_city(table: DataFrame, cities: tuple[City, ...]) -> DataFrame:
-    """A table of one row per listed city, broadcast when the list is short."""
-    if len(cities) > MAX_BROADCAST_REGIONS:
-        return table
-    return F.broadcast(table.filter(F.col("city").isin([c.name for c in cities])))
+def last_steps(grid: DataFrame) -> DataFrame:
+    """(city, last_step) of every city in the grid."""
+    return grid.groupBy("city").agg(F.max("step").alias("last_step"))
+
 
+def chrono_split(grid: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+    """Add ``split``: train up to 5/6 of the city's last step, then test.
 
-def chrono_split(grid: DataFrame, cities: tuple[City, ...]) -> DataFrame:
-    """Add ``split``: train up to 5/6 of the city's last step, then test."""
+    ``ends`` is a stored :func:`last_steps`: Spark then knows that it is small
+    and leaves the grid where it lies.
+    """
     part, whole = TRAIN_SHARE
-    ends = grid.groupBy("city").agg(F.max("step").alias("last_step"))
+    known = last_steps(grid) if ends is None else ends
     split = F.when(F.col("step") * whole <= F.col("last_step") * part, "train").otherwise("test")
-    return grid.join(_per_city(ends, cities), "city").withColumn("split", split).drop("last_step")
+    return grid.join(known, "city").withColumn("split", split).drop("last_step")
 
 
 def train_ranges(split_grid: DataFrame, columns=SCALED_COLUMNS) -> DataFrame:
@@ -47,15 +50,17 @@ def train_ranges(split_grid: DataFrame, columns=SCALED_COLUMNS) -> DataFrame:
 
 
 def scale_by_train(
-    split_grid: DataFrame, cities: tuple[City, ...], columns=SCALED_COLUMNS,
-    ranges: DataFrame | None = None,
+    split_grid: DataFrame, columns=SCALED_COLUMNS, ranges: DataFrame | None = None
 ) -> DataFrame:
-    """Scale columns by the train range of their city, without clipping."""
+    """Scale columns by the train range of their city, without clipping.
+
+    ``ranges`` is a stored :func:`train_ranges`, if there is one.
+    """
     known = train_ranges(split_grid, columns) if ranges is None else ranges
     scaled = {
         c: (F.col(c) - F.col(f"ranges.{c}_low")) / F.col(f"ranges.{c}_width") for c in columns
     }
-    return split_grid.join(_per_city(known, cities), "city").withColumns(scaled).drop("ranges")
+    return split_grid.join(known, "city").withColumns(scaled).drop("ranges")
 
 
 def encode_hours(grid: DataFrame) -> DataFrame:
@@ -79,16 +84,25 @@ def sample_negatives(rows: DataFrame, seed: int, keep_share: float = KEEP_SHARE)
     return rows.filter(is_kept(F.col("predicted_accident"), seed, keep_share))
 
 
-def lookback(rows: DataFrame, length: int = LOOKBACK, chosen: Column | None = None) -> DataFrame:
+def lookback(
+    rows: DataFrame, length: int = LOOKBACK, chosen: Column | None = None, dense: bool = False
+) -> DataFrame:
     """Add ``sequence``: the flattened features of the ``length`` rows before.
 
     Rows are taken per city, cell and split in step order; the first
     ``length`` rows of each have no sequence and are dropped. With ``chosen``
     only the rows it marks are returned: rows that no chosen row looks back on
-    are filtered out before any sequence is gathered.
+    are filtered out before any sequence is gathered. ``dense`` says that the
+    series had a row for every step before rows were left out: a row then counts
+    as preceded by ``length`` rows if the steps before it are all there.
     """
     series = Window.partitionBy("city", "cell", "split").orderBy("step")
-    placed = rows.withColumn("position", F.row_number().over(series))
+    if dense:
+        before = F.lag("step", length).over(series)
+        position = F.when(before == F.col("step") - length, length + 1).otherwise(0)
+    else:
+        position = F.row_number().over(series)
+    placed = rows.withColumn("position", position)
     if chosen is None:
         needed = placed.withColumn("chosen", F.col("position") > length)
     else:
@@ -106,21 +120,47 @@ def lookback(rows: DataFrame, length: int = LOOKBACK, chosen: Column | None = No
     )
 
 
+def needed_rows(
+    rows: DataFrame, positives: DataFrame, seed: int, keep_share: float = KEEP_SHARE,
+    length: int = LOOKBACK,
+) -> DataFrame:
+    """Rows that are kept examples or within the look-back of one.
+
+    For a grid without gaps in its steps, before anything is shuffled: draws
+    follow from cell and step alone, so each row tests the draws of the steps
+    that look back on it. ``positives`` (cell, step) adds the steps around the
+    accidents; it is as small as accidents are rare.
+    """
+    edge = round(10000 * (1 - keep_share))
+    drawn = [keyed_draw(seed, F.col("cell"), F.col("step") + k) >= edge for k in range(length + 1)]
+    around = positives.select(
+        "cell", F.explode(F.sequence(F.col("step") - length, F.col("step"))).alias("step")
+    ).distinct().withColumn("near", F.lit(True))
+    marked = rows.withColumn("drawn", reduce(or_, drawn)).join(around, ["cell", "step"], "left")
+    return marked.filter("drawn or near").drop("drawn", "near")
+
+
 def training_examples(
-    clean: DataFrame, cell_features: DataFrame, cities: tuple[City, ...], seed: int,
-    keep_share: float = KEEP_SHARE, length: int = LOOKBACK,
+    clean: DataFrame, cell_features: DataFrame, seed: int, keep_share: float = KEEP_SHARE,
+    length: int = LOOKBACK, ends: DataFrame | None = None, ranges: DataFrame | None = None,
+    positives: DataFrame | None = None,
 ) -> DataFrame:
     """(city, split, cell, step, label, feature) of all sampled examples.
 
-    One shuffle by cell serves the look-back windows and the join with the
-    features of the cell. Sequences are gathered for the sampled rows only.
+    Only rows that a sampled row needs are shuffled, once and by cell, which
+    serves the look-back windows and the join with the features of the cell.
+    ``ends``, ``ranges`` and ``positives`` (cell, step) may be stored tables.
     """
-    split = chrono_split(clean.drop("cell_code"), cities)
-    scaled = scale_by_train(split, cities)
-    rows = encode_hours(scaled).select(
+    split = chrono_split(clean.drop("cell_code"), ends)
+    known = positives
+    if known is None:
+        known = clean.filter("predicted_accident > 0").select("cell", "step")
+    near = needed_rows(split, known, seed, keep_share, length)
+    rows = encode_hours(scale_by_train(near, ranges=train_ranges(split) if ranges is None else ranges))
+    vectors = rows.select(
         "city", "split", "cell", "step", "predicted_accident", step_vector().alias("features")
     ).repartition("cell")
-    kept = lookback(rows, length, is_kept(F.col("predicted_accident"), seed, keep_share))
+    kept = lookback(vectors, length, is_kept(F.col("predicted_accident"), seed, keep_share), dense=True)
     parts = ("sequence", "poi", "text")
     feature = F.concat(*parts, F.array(F.col("cell_code").cast("double")))
     return kept.join(cell_features, "cell").select(

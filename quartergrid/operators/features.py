@@ -10,10 +10,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartergrid.config import POI_FIELDS
+from quartergrid.config import POI_FIELDS, PRECISION
 
-# Two letters of a geohash: at most 1024 groups, each of at most 32**3 cells.
-CODE_PREFIX = 2
+# Letters after the prefix that cells are numbered in: at most 32**3 cells each.
+CODE_LETTERS = 3
 
 
 def usable_poi(poi: DataFrame) -> DataFrame:
@@ -39,15 +39,15 @@ def poi_vectors(poi: DataFrame) -> DataFrame:
     return scaler.transform(gathered).select("cell", vector_to_array("scaled").alias("poi"))
 
 
-def cell_codes(cells: DataFrame) -> DataFrame:
+def cell_codes(cells: DataFrame, precision: int = PRECISION) -> DataFrame:
     """(cell, cell_code): position in alphabetical order, from 0.
 
     Cells are numbered within their prefix and shifted by the number of cells
     in earlier prefixes, so no task sorts all cells. Only the prefix counts
-    meet in one task: their number is bounded by the alphabet.
+    meet in one task.
     """
     keyed = cells.select("cell").distinct().withColumn(
-        "prefix", F.substring("cell", 1, CODE_PREFIX)
+        "prefix", F.substring("cell", 1, max(0, precision - CODE_LETTERS))
     )
     earlier = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
@@ -57,7 +57,7 @@ def cell_codes(cells: DataFrame) -> DataFrame:
     inside = Window.partitionBy("prefix").orderBy("cell")
     return (
         keyed.withColumn("rank", F.row_number().over(inside) - 1)
-        .join(F.broadcast(shifts), "prefix")
+        .join(shifts, "prefix")
         .select("cell", (F.col("shift") + F.col("rank")).alias("cell_code"))
     )
 
@@ -79,7 +79,9 @@ def attach_text(rows: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
     return rows.join(text, "cell", "left").withColumn("text", F.coalesce("text", zeros))
 
 
-def cell_features(cells: DataFrame, poi: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
+def cell_features(
+    cells: DataFrame, poi: DataFrame, vectors: DataFrame, dims: int, precision: int = PRECISION
+) -> DataFrame:
     """(cell, cell_code, poi, text) of the cells that have all they need."""
     known = attach_poi(cells.select("cell").distinct(), poi_vectors(poi))
-    return attach_text(known.join(cell_codes(usable_poi(poi)), "cell"), vectors, dims)
+    return attach_text(known.join(cell_codes(usable_poi(poi), precision), "cell"), vectors, dims)

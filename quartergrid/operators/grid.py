@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartergrid.config import (
-    CLEAN_GRID_COLUMNS, FLAG_COLUMNS, MAX_BROADCAST_REGIONS, RAW_GRID_COLUMNS,
-    TRAFFIC_COLUMNS, WEATHER_COLUMNS, City, GridWindow, city_table,
+    CLEAN_GRID_COLUMNS, FLAG_COLUMNS, RAW_GRID_COLUMNS, TRAFFIC_COLUMNS, WEATHER_COLUMNS, City,
+    GridWindow, city_table,
 )
 from quartergrid.functions.clock import hour_class, step_time, weekday_flag
 from quartergrid.functions.labels import positive
@@ -49,22 +49,42 @@ def places_without_daylight(daylight: DataFrame, cities: tuple[City, ...]) -> Da
     return places.join(daylight, "place", "left_anti")
 
 
+def days_without_daylight(
+    daylight: DataFrame, cities: tuple[City, ...], window: GridWindow
+) -> DataFrame:
+    """(city, day) of the window that the daylight table lacks; they are dark."""
+    days = F.explode(F.sequence(F.to_date(F.lit(window.begin_text)), F.to_date(F.lit(window.end_text))))
+    wanted = city_table(daylight.sparkSession, cities).select(
+        "city", F.concat_ws("-", "city", "state").alias("place"), days.alias("day")
+    )
+    return wanted.join(daylight.select("place", "day"), ["place", "day"], "left_anti").select("city", "day")
+
+
 def in_blocks(per_step: DataFrame, key: str, window: GridWindow) -> DataFrame:
-    """(key, block) with the rows of a block as an array in step order.
+    """(key, block) with the rows of a block as an array, one place per step.
 
-    A block is ``window.block_steps`` steps, so the arrays are short.
+    A block is ``window.block_steps`` steps, so the arrays are short. Steps that
+    the table lacks are null in it.
     """
     values = [c for c in per_step.columns if c not in (key, "step")]
-    return (
-        per_step.withColumn("block", F.floor(F.col("step") / window.block_steps))
+    size = window.block_steps
+    place = (F.col("step") % size).cast("int")
+    held = (
+        per_step.withColumn("block", F.floor(F.col("step") / size))
         .groupBy(key, "block")
-        .agg(F.sort_array(F.collect_list(F.struct("step", *values))).alias(f"{key}_rows"))
+        .agg(F.map_from_entries(F.collect_list(F.struct(place, F.struct(*values)))).alias("held"))
     )
+    places = F.sequence(F.lit(0), F.lit(size - 1))
+    rows = F.transform(places, lambda i: F.try_element_at("held", i)).alias(f"{key}_rows")
+    return held.select(key, "block", rows)
+
+
+# Blocks of one cell that a task stretches into steps: about 100,000 rows.
+BLOCKS_PER_TASK = 1000
 
 
 def dense_grid(
-    runs: DataFrame, places: DataFrame, weather: DataFrame, daylight: DataFrame,
-    cities: tuple[City, ...], window: GridWindow,
+    runs: DataFrame, places: DataFrame, weather: DataFrame, daylight: DataFrame, window: GridWindow
 ) -> DataFrame:
     """One row per registered cell and step, gaps as 0.
 
@@ -73,15 +93,13 @@ def dense_grid(
     daylight are joined as blocks of steps and read by position after the
     stretch. ``next_accidents`` is the accident count of the following step,
     null at the last one. ``places`` is (cell, airport_set) and any further
-    columns per cell, which are carried into the grid.
+    columns per cell, which are carried into the grid; a stored table, as its
+    rows are counted to say in how many tasks the grid is made.
     """
     carried = [c for c in places.columns if c not in ("cell", "airport_set")]
     total, size = window.total_steps, window.block_steps
     light = in_blocks(daylight, "city", window)
-    blocks_per_city = -(-total // size)
-    if len(cities) * blocks_per_city <= MAX_BROADCAST_REGIONS:
-        # At most one row per listed city and block.
-        light = F.broadcast(light.filter(F.col("city").isin([c.name for c in cities])))
+    tasks = max(1, places.count() * -(-total // size) // BLOCKS_PER_TASK)
     stop = F.least(F.col("next_step"), F.lit(total))
     pieces = (
         runs.filter(F.col("step") < total)
@@ -94,6 +112,8 @@ def dense_grid(
         .drop("step", "stop")
         .join(in_blocks(weather, "airport_set", window), ["airport_set", "block"], "left")
         .join(light, ["city", "block"], "left")
+        # The runs are few bytes and would be stretched in few tasks.
+        .repartition(tasks, "cell", "block")
         .withColumn("step", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)))
     )
     at = (F.col("step") - F.col("block") * size).cast("int")

@@ -23,10 +23,15 @@ def localise(observations: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def wanted_airports(observations: DataFrame, zones: DataFrame) -> DataFrame:
-    """Observations of the airports in use; airports without any are skipped."""
+    """Observations of the airports in use."""
     return observations.join(zones.select("airport"), "airport", "left_semi")
 
 
+def airports_without_observations(observations: DataFrame, zones: DataFrame) -> DataFrame:
+    """Airports in use of which :func:`wanted_airports` finds nothing."""
+    return zones.select("airport").join(observations.select("airport").distinct(), "airport", "left_anti")
+
+
 def first_per_step(observations: DataFrame, window: GridWindow) -> DataFrame:
     """The earliest observation of each (airport, step); ties go to ``obs_id``.
 
@@ -95,7 +100,7 @@ def airport_sets(pairs: DataFrame) -> DataFrame:
     once per set, not once per cell. A set is as short as the list of airports
     that one 5 km cell reports to.
     """
-    names = F.array_join(F.array_sort(F.collect_set("airport")), ",")
+    names = F.array_sort(F.collect_set("airport"))
     return pairs.groupBy("cell").agg(names.alias("airport_set"))
 
 
@@ -105,7 +110,7 @@ def set_weather(sets: DataFrame, spans: DataFrame, window: GridWindow) -> DataFr
     Every step of the window is present for every set.
     """
     distinct = sets.select("airport_set").distinct().filter("airport_set is not null")
-    members = distinct.withColumn("airport", F.explode(F.split("airport_set", ",")))
+    members = distinct.withColumn("airport", F.explode("airport_set"))
     values = [*WEATHER_COLUMNS, *FLAG_COLUMNS]
     known = members.join(spans, "airport").select("airport_set", "from_step", "to_step", *values)
     frame = distinct.select(

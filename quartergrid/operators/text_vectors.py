@@ -24,17 +24,25 @@ def token_vectors(texts: DataFrame, vectors: DataFrame, key: str, text: str) ->
     return token_counts(texts, key, text).join(vectors, "word")
 
 
+# Dimensions that are summed side by side: an aggregate of more columns is not compiled.
+CHUNK = 32
+
+
 def weighted_mean(rows: DataFrame, key: str, dims: int) -> DataFrame:
     """(key, vec): mean of the vectors of a key, each counted ``uses`` times.
 
-    One plain sum per dimension: fixed-width buffers that are combined before
-    the shuffle, however many rows a key has.
+    One plain sum per dimension, in chunks: fixed-width buffers that are
+    combined before the shuffle, however many rows a key has.
     """
-    sums = rows.groupBy(key).agg(
+    chunks = F.array(*(F.slice("vec", at + 1, CHUNK) for at in range(0, dims, CHUNK)))
+    parts = rows.select(key, "uses", F.posexplode(chunks).alias("chunk", "part"))
+    sums = parts.groupBy(key, "chunk").agg(
         F.sum("uses").alias("uses"),
-        *(F.sum(F.col("uses") * F.get("vec", F.lit(i))).alias(f"v{i}") for i in range(dims)),
+        *(F.sum(F.col("uses") * F.get("part", F.lit(i))).alias(f"v{i}") for i in range(CHUNK)),
     )
-    return sums.select(key, F.array(*(F.col(f"v{i}") / F.col("uses") for i in range(dims))).alias("vec"))
+    means = F.array(*(F.col(f"v{i}") / F.col("uses") for i in range(CHUNK)))
+    whole = sums.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("chunk", means.alias("means")))).alias("chunks"))
+    return whole.select(key, F.slice(F.flatten(F.col("chunks.means")), 1, dims).alias("vec"))
 
 
 def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str, dims: int) -> DataFrame:
@@ -48,13 +56,20 @@ def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str, dims:
 def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
     """(cell, vec): mean of the description means of a cell.
 
-    Every event counts once, however long its description. Equal descriptions
-    are tokenised once: events are first counted per (cell, description).
+    Every event counts once, however long its description. Means of means are
+    sums of weighted words: a word of a text weighs its share of the text's
+    known words. So words meet the list of known words only, weights are summed
+    per cell and word, and vectors are joined last, at most once per cell and
+    word. Equal descriptions are tokenised once.
     """
     keyed = events.filter(F.col("description").isNotNull()).select(
         "cell", "description", F.md5("description").alias("text_id")
     )
     texts = keyed.select("text_id", "description").distinct()
-    uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("uses"))
-    means = text_means(texts, vectors, "text_id", "description", dims)
-    return weighted_mean(uses.join(means, "text_id"), "cell", dims)
+    uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("n"))
+    known = token_counts(texts, "text_id", "description").join(vectors.select("word"), "word", "left_semi")
+    total = known.groupBy("text_id").agg(F.sum("uses").alias("total"))
+    shares = known.join(total, "text_id").select("text_id", "word", (F.col("uses") / F.col("total")).alias("share"))
+    weights = uses.join(shares, "text_id").groupBy("cell", "word").agg(
+        F.sum(F.col("n") * F.col("share")).alias("uses"))
+    return weighted_mean(weights.join(vectors, "word"), "cell", dims)

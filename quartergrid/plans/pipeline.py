@@ -7,11 +7,12 @@ executor never costs more than its own stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartergrid import config
@@ -58,6 +59,23 @@ def extract(traffic: DataFrame, s: Settings, period: tuple[datetime, datetime])
     return ev.assign_cities(ev.in_period(traffic, *period), s.cities)
 
 
+def extract_periods(traffic: DataFrame, s: Settings) -> DataFrame:
+    """The events of both periods and those no period can take, in one scan.
+
+    ``period`` is ``text``, ``grid`` (an event may be in both) or ``unreadable``,
+    then ``reject`` says what of it can't be read.
+    """
+    def within(name: str, period: tuple[datetime, datetime]) -> Column:
+        begin, stop = (F.lit(str(t)).cast("timestamp") for t in period)
+        return F.when((F.col("start_utc") >= begin) & (F.col("start_utc") < stop), name)
+
+    marked = traffic.withColumn("reject", ev.unreadable())
+    bad = F.col("reject").isNotNull()
+    periods = F.when(bad, F.array(F.lit("unreadable"))).otherwise(F.array_compact(F.array(
+        within("text", s.text_period), within("grid", s.grid_period))))
+    return ev.assign_cities(marked.withColumn("period", F.explode(periods)), s.cities, unplaced=bad)
+
+
 def text_vectors(extracted: DataFrame, poi: DataFrame, vectors: DataFrame, s: Settings) -> DataFrame:
     """(cell, vec) from the descriptions of an extract."""
     located = ev.locate(extracted, s.precision)
@@ -94,7 +112,7 @@ def raw_grid(
     """Dense grid of an event-span table; carries the code of each cell."""
     return gr.dense_grid(
         ev.count_runs(spans, s.window), sets.join(codes, "cell", "left"), weather,
-        gr.daylight_flags(daylight, s.cities, s.window), s.cities, s.window,
+        gr.daylight_flags(daylight, s.cities, s.window), s.window,
     )
 
 
@@ -105,6 +123,36 @@ def train_and_evaluate(examples: DataFrame, city: str) -> tuple[LogisticRegressi
     return model, ml.class_metrics(ml.score(model, rows.filter("split = 'test'")))
 
 
+def city_models(examples: DataFrame, cities: tuple[config.City, ...]) -> DataFrame:
+    """One row per listed city that has rows to train and to test on.
+
+    (city, width, train_rows, test_rows, test_positives, accuracy, weighted_recall,
+    weighted_f1). One model per city is fitted after the other, each on all
+    executors; the driver holds the coefficients only.
+    """
+    found = None
+    for city in cities:
+        rows = examples.filter(F.col("city") == city.name)
+        counts = rows.agg(
+            F.count_if(F.col("split") == "train").alias("train_rows"),
+            F.count_if(F.col("split") == "test").alias("test_rows"),
+            F.count_if((F.col("split") == "test") & (F.col("label") > 0)).alias("test_positives"),
+        )
+        train, test, _ = counts.first()
+        if not train or not test:
+            continue
+        model, metrics = train_and_evaluate(examples, city.name)
+        row = counts.crossJoin(metrics).select(  # one row each
+            F.lit(city.name).alias("city"), F.lit(model.numFeatures).cast("long").alias("width"),
+            *counts.columns, *metrics.columns)
+        found = row if found is None else found.unionByName(row)
+    if found is None:
+        kinds = "width long, train_rows long, test_rows long, test_positives long"
+        found = examples.sparkSession.createDataFrame(
+            [], f"city string, {kinds}, accuracy double, weighted_recall double, weighted_f1 double")
+    return found
+
+
 def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings()) -> dict[str, str]:
     """Write all stage tables below ``out``; returns their paths by name."""
     use_utc(spark)
@@ -114,48 +162,62 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
         paths[name] = tables.save(df, f"{out}/{name}", *partition_by)
         return tables.load(spark, paths[name])
 
-    traffic = readers.read_traffic(spark, inputs.traffic)
-    poi, poi_copies = readers.split_duplicates(readers.read_poi(spark, inputs.poi), "cell")
+    poi, poi_copies = readers.collapse_copies(readers.read_poi(spark, inputs.poi), "cell")
     poi = stage("poi", poi)
     stage("reject_poi", ft.unusable_poi(poi))
     stage("copies_poi", poi_copies)
     vectors, bad_vectors = readers.split_word_vectors(
         readers.read_word_vectors(spark, inputs.word_vectors), s.text_dims
     )
-    vectors, vector_copies = readers.split_duplicates(vectors, "word")
+    vectors, vector_copies = readers.collapse_copies(vectors, "word")
     vectors = stage("word_vectors", vectors)
     stage("reject_word_vectors", bad_vectors)
     stage("copies_word_vectors", vector_copies)
 
-    for_text = stage("extract_text", extract(traffic, s, s.text_period), "city")
+    traffic = readers.read_traffic(spark, inputs.traffic)
+    extracts = stage("extract", extract_periods(traffic, s), "period", "city")
+    for_text = extracts.filter("period = 'text'").drop("period", "reject")
     cell_text = stage("cell_text", text_vectors(for_text, poi, vectors, s))
 
-    for_grid = stage("extract_grid", extract(traffic, s, s.grid_period), "city")
-    stage("reject_traffic", ev.split_unusable(for_grid)[1])
+    for_grid = extracts.filter("period = 'grid'").drop("period", "reject")
+    unusable = ev.split_unusable(for_grid)[1]
+    stage("reject_traffic", unusable.unionByName(extracts.filter("period = 'unreadable'").drop("period")))
     spans = stage("spans", event_spans(for_grid, s), "city")
     seen = stage("seen", ev.seen_places(spans))
     cells = ev.registered_cells(seen)
     stage("reject_cells", ft.cells_without_poi(cells, poi))
     sets = stage("airport_sets", airport_sets(seen, s))
 
-    parsed = readers.parse_observations(readers.read_observations(spark, inputs.weather))
-    stage("reject_weather", parsed.filter("reject is not null"))
-    observations = ob.wanted_airports(parsed.filter("reject is null"), ev.airport_zones(seen))
-    weather = stage("weather", set_weather(sets, observations, s))
+    zones = stage("airports", ev.airport_zones(seen))
+    text = ob.wanted_airports(readers.read_observations(spark, inputs.weather), zones)
+    state = F.when(F.col("reject").isNull(), "good").otherwise("bad")
+    parsed = stage("observations", readers.parse_observations(text).withColumn("state", state), "state")
+    stage("reject_weather", parsed.filter("state = 'bad'").drop("state"))
+    stage("reject_airports", ob.airports_without_observations(parsed, zones))
+    weather = stage("weather", set_weather(sets, parsed.filter("state = 'good'"), s))
 
-    daylight, daylight_copies = readers.split_duplicates(
+    daylight, daylight_copies = readers.collapse_copies(
         readers.read_daylight(spark, inputs.daylight), "place", "day"
     )
+    daylight = stage("daylight", daylight)
     stage("copies_daylight", daylight_copies)
     stage("reject_places", gr.places_without_daylight(daylight, s.cities))
+    stage("reject_days", gr.days_without_daylight(daylight, s.cities, s.window))
 
-    codes = ft.cell_codes(ft.usable_poi(poi))
+    codes = stage("cell_codes", ft.cell_codes(ft.usable_poi(poi), s.precision))
     grid = stage("grid", raw_grid(spans, sets, weather, daylight, codes, s), "city")
     clean = stage("grid_clean", gr.clean_grid(grid), "city")
-    per_cell = ft.cell_features(cells, poi, cell_text, s.text_dims)
-    stage(
-        "examples",
-        ex.training_examples(clean, per_cell, s.cities, s.seed, s.keep_share, s.lookback),
-        "city", "split",
-    )
+    per_cell = stage("cell_features", ft.cell_features(cells, poi, cell_text, s.text_dims, s.precision))
+    stage("examples", training_examples(clean, per_cell, s, stage), "city", "split")
     return paths
+
+
+def training_examples(
+    clean: DataFrame, per_cell: DataFrame, s: Settings, stage: Callable[..., DataFrame]
+) -> DataFrame:
+    """Sampled examples; ``stage`` stores a small table and reads it back."""
+    ends = stage("city_ends", ex.last_steps(clean))
+    ranges = stage("city_ranges", ex.train_ranges(ex.chrono_split(clean, ends)))
+    positives = stage("positives", clean.filter("predicted_accident > 0").select("cell", "step"))
+    return ex.training_examples(
+        clean, per_cell, s.seed, s.keep_share, s.lookback, ends, ranges, positives)

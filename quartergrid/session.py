@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -46,4 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="quartergrid-")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """One folder per process, removed when it ends."""
+    held = tempfile.TemporaryDirectory(prefix="quartergrid-", ignore_cleanup_errors=True)
+    atexit.register(held.cleanup)
+    return held.name

@@ -53,10 +53,14 @@ def read_traffic(spark: SparkSession, path: str) -> DataFrame:
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """Weather text of a folder with one ``<airport>.csv`` per airport.
 
-    A folder partitioned as ``airport=<code>/`` is read as well. ``obs_id``
-    follows the file lines: it decides between observations of equal time.
+    A folder partitioned as ``airport=<code>/`` is read as well, and filters on
+    the airport prune its files. All files of a folder must have the same
+    header: one that differs stops the job, as its values would be taken for
+    others. Files with another order of columns belong in a folder of their own.
+    ``obs_id`` follows the file lines: it decides between observations of equal
+    time.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     airport = (
         F.col("airport").cast("string")
         if "airport" in raw.columns
@@ -79,19 +83,22 @@ def parse_observations(text: DataFrame) -> DataFrame:
     """Typed observations with ``reject``: null when good, else the reason.
 
     An unreadable time or any unreadable number rejects the whole row, also
-    in a field that no feature uses. Null tags are fine.
+    in a field that no feature uses. Null tags are fine. ``raw`` holds the text
+    of a rejected row.
     """
     numbers = [F.col(old).try_cast("double").alias(new) for old, new in OBSERVATION_FIELDS.items()]
     other = [c for c in text.columns if c not in ("Date", "Hour", *OBSERVATION_FIELDS)]
     typed = text.select(
-        *other, observation_time(F.col("Date"), F.col("Hour")).alias("ts_local"), *numbers
+        *other, observation_time(F.col("Date"), F.col("Hour")).alias("ts_local"), *numbers,
+        F.to_json(F.struct("Date", "Hour", *OBSERVATION_FIELDS)).alias("raw"),
     )
     missing = [F.col(c).isNull() for c in OBSERVATION_FIELDS.values()]
     bad_number = missing[0]
     for m in missing[1:]:
         bad_number = bad_number | m
-    return typed.withColumn(
-        "reject", F.when(F.col("ts_local").isNull(), "time").when(bad_number, "number")
+    reject = F.when(F.col("ts_local").isNull(), "time").when(bad_number, "number")
+    return typed.withColumn("reject", reject).withColumn(
+        "raw", F.when(F.col("reject").isNotNull(), F.col("raw"))
     )
 
 
@@ -130,15 +137,19 @@ def split_word_vectors(vectors: DataFrame, dims: int = TEXT_DIMS) -> tuple[DataF
     return vectors.filter(good), vectors.filter(~good)
 
 
-def split_duplicates(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key is unique, keys that occur more than once with counts).
+def collapse_copies(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """(one row per key, report of the keys that occur more than once).
 
-    One pre-aggregated shuffle: a key repeated a billion times travels as one
-    row per task.
+    Identical rows are one row. Of rows that differ the greatest is kept, by the
+    other columns in their order, nulls being least. The report has the number
+    of rows of a key and whether they differ. One pre-aggregated shuffle: a key
+    repeated a billion times travels as one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*rest)
     grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("copies"), F.first(F.struct(*rest)).alias("row")
+        F.count(F.lit(1)).alias("copies"), F.max(row).alias("row"), F.min(row).alias("least")
     )
-    unique = grouped.filter("copies = 1").select(*keys, "row.*").select(*df.columns)
-    return unique, grouped.filter("copies > 1").select(*keys, "copies")
+    differ = ~F.col("row").eqNullSafe(F.col("least"))
+    kept = grouped.select(*keys, "row.*").select(*df.columns)
+    return kept, grouped.filter("copies > 1").select(*keys, "copies", differ.alias("differ"))

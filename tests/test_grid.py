@@ -43,24 +43,24 @@ def test_fill_takes_the_next_observed_step(spark):
 
 def test_weather_of_sets(spark):
     obs = observations(spark, [
-        ("A", 0, 10.0, -9999.0, "Light Rain , Snow", None), ("B", 0, 20.0, -9999.0, "Haze", "Hail"),
+        ("A", 0, 10.0, -9999.0, "Light Rain , Snow", None), ("B,1", 0, 20.0, -9999.0, "Haze", "Hail"),
         ("A", 15, -9999.0, 4.0, None, ""), ("A", 16, 99.0, 9.0, "Snow", "Snow"),
     ])
-    pairs = spark.createDataFrame([("c1", "B"), ("c1", "A"), ("c2", "A"), ("c3", "Z")],
+    pairs = spark.createDataFrame([("c1", "B,1"), ("c1", "A"), ("c2", "A"), ("c3", "Z")],
                                   "cell string, airport string")
     sets = ob.airport_sets(pairs)
-    assert rows(sets) == [("c1", "A,B"), ("c2", "A"), ("c3", "Z")]
+    assert rows(sets) == [("c1", ["A", "B,1"]), ("c2", ["A"]), ("c3", ["Z"])]
     spans_ = ob.measured_spans(ob.fill_backward(obs, SMALL))
     weather = ob.set_weather(sets, spans_, SMALL)
     assert weather.count() == 3 * SMALL.total_steps
-    got = {(r.airport_set, r.step): r for r in weather.collect()}
-    first = got["A,B", 0]
+    got = {("+".join(r.airport_set), r.step): r for r in weather.collect()}
+    first = got["A+B,1", 0]
     # Means over valid values only; no valid value at all is 0.
     assert (first.w_temperature, first.w_humidity) == (15.0, 0.0)
     assert tuple(first[f] for f in FLAG_COLUMNS) == (1, 0, 1, 1)  # rain beats snow in one tag
     # A no-value mark in the chosen observation is not replaced by a later one.
     assert (got["A", 1].w_temperature, got["A", 1].w_humidity) == (0.0, 4.0)
-    assert got["A,B", 2].w_temperature == 0.0 and got["Z", 0].w_wind_speed == 0.0
+    assert got["A+B,1", 2].w_temperature == 0.0 and got["Z", 0].w_wind_speed == 0.0
 
 
 def brute_nearest(spark, missing, donors):
@@ -121,6 +121,15 @@ def test_daylight(spark):
     assert lit == sorted(range(26, 83), key=lambda s: repr(("Austin", s, 1)))  # 6:30 to 20:30, both in
     assert got.filter("city <> 'Austin' and daylight = 1").count() == 0
     assert gr.places_without_daylight(daylight(spark), CITIES).count() == 5
+    missing = gr.days_without_daylight(daylight(spark), CITIES, WINDOW)
+    assert missing.filter("city <> 'Austin'").count() == 5 * missing.filter("city = 'Dallas'").count() > 0
+
+
+def test_blocks_hold_gaps(spark):
+    table = spark.createDataFrame([("k", 1, 5), ("k", 97, 6)], "key string, step long, v int")
+    got = {r.block: r.key_rows for r in gr.in_blocks(table, "key", WINDOW).collect()}
+    assert [len(v) for v in got.values()] == [96, 96]
+    assert got[0][0] is None and got[0][1].v == 5 and got[1][1].v == 6 and got[1][2] is None
 
 
 @pytest.fixture(scope="module")
@@ -132,7 +141,10 @@ def parts(spark):
     obs = observations(spark, [("KAUS", m, float(m), 2.0, "Rain", "") for m in range(0, 2000, 37)])
     weather = pl.set_weather(sets, obs, s)
     codes = ev.registered_cells(held).select("cell").distinct().withColumn("cell_code", F.lit(3))
-    return held, sets, weather, pl.raw_grid(held, sets, weather, daylight(spark), codes, s).cache()
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(gr, "BLOCKS_PER_TASK", 4)
+        grid = pl.raw_grid(held, sets, weather, daylight(spark), codes, s).cache()
+    return held, sets, weather, grid
 
 
 def test_grid_equals_joined_grid(spark, parts):
@@ -147,6 +159,7 @@ def test_grid_equals_joined_grid(spark, parts):
     )
     common = [c for c in want.columns if c in grid.columns]
     assert len(common) == 3 + 8 + 10 + 1
+    assert grid.select(F.spark_partition_id()).distinct().count() > 1
     assert rows(grid.select(*common)) == rows(want.select(*common))
 
 

@@ -59,10 +59,11 @@ def test_lookups(spark):
 def test_split_and_scaling(spark):
     data = [("Austin", "c", s, float(s), 5.0) for s in range(13)] + [("Dallas", "d", s, 2.0 * s, 0.0) for s in range(7)]
     df = spark.createDataFrame(data, "city string, cell string, step long, v double, k double")
-    split = ex.chrono_split(df, CITIES)
+    split = ex.chrono_split(df)
+    assert rows(ex.chrono_split(df, ex.last_steps(df))) == rows(split)  # whatever is listed
     assert split.filter("city = 'Austin' and split = 'test'").count() == 2     # steps 11, 12
     assert rows(split.filter("city = 'Dallas' and split = 'test'"), "step") == [(6,)]
-    scaled = ex.scale_by_train(split, CITIES, ("v", "k"))
+    scaled = ex.scale_by_train(split, ("v", "k"))
     got = {(r.city, r.step): (r.v, r.k) for r in scaled.collect()}
     assert got["Austin", 5] == (0.5, 0.0) and got["Austin", 12] == (1.2, 0.0)  # unclipped, constant 0
     assert got["Dallas", 6] == (1.2, 0.0)
@@ -92,6 +93,18 @@ def test_sampled_lookback_equals_filtered_lookback(spark, keep_share):
     assert rows(ex.lookback(rows_in, 8, chosen), *cols) == rows(ex.lookback(rows_in, 8).filter(chosen), *cols)
 
 
+@pytest.mark.parametrize("keep_share", [0.0, 0.02, 0.3])
+def test_needed_rows_give_the_same_sequences(spark, keep_share):
+    rows_in = series(spark, 200).repartition(5)
+    positives = rows_in.filter("predicted_accident > 0 and step % 5 = 0").select("cell", "step")
+    one = rows_in.withColumn("predicted_accident", (F.col("predicted_accident") * (F.col("step") % 5 == 0).cast("int")))
+    chosen = ex.is_kept(F.col("predicted_accident"), 1, keep_share)
+    cols = ("cell", "split", "step", "sequence")
+    near = ex.needed_rows(one, positives, 1, keep_share, 8)
+    assert near.count() < one.count()
+    assert rows(ex.lookback(near, 8, chosen, dense=True), *cols) == rows(ex.lookback(one, 8).filter(chosen), *cols)
+
+
 def test_sampling_keeps_positives_and_the_share(spark):
     df = spark.range(20000).select(
         F.lit("c").alias("cell"), F.col("id").alias("step"), (F.col("id") % 100 == 0).cast("int").alias("predicted_accident"))

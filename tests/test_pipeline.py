@@ -19,9 +19,13 @@ def inputs(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("inputs"))
     stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     si.traffic(spark, SF).select(*(
-        (F.date_format(new, stamp) if new.endswith("_utc") else F.col(new)).alias(old)
+        (F.date_format(new, stamp) if new.endswith("_utc") else F.col(new).cast("string")).alias(old)
         for old, new in readers.TRAFFIC_FIELDS.items()
-    )).write.option("header", True).csv(f"{root}/traffic")
+    )).unionByName(spark.createDataFrame([
+        ("x", "2024-01-10 00:00:00", "30.2", "-97.7", "KAUS", "Accident", "a"),
+        ("2024-01-10 00:00:00", "2024-01-10 00:00:00", "n", "-97.7", "KAUS", "Accident", "b"),
+        ("2024-01-10 00:00:00", "x", "30.2", "-97.7", "KAUS", "Accident", "c"),
+    ], [*readers.TRAFFIC_FIELDS])).write.option("header", True).csv(f"{root}/traffic")
     weather = si.observation_text(spark, SF).drop("obs_id")
     weather.write.partitionBy("airport").option("header", True).csv(f"{root}/weather")
     si.daylight_text(spark, SF).write.csv(f"{root}/daylight")
@@ -38,7 +42,11 @@ def test_run(spark, inputs, tmp_path):
                     text_dims=2, keep_share=0.2)
     paths = pl.run(spark, inputs, str(tmp_path), s)
     read = {n: tables.load(spark, p) for n, p in paths.items()}
-    assert rows(read["copies_poi"], "copies") == [(3,)]
+    assert rows(read["copies_poi"], "copies", "differ") == [(3, False)]
+    assert {r.reject for r in read["reject_traffic"].collect()} == {"start", "point", "end"}
+    assert read["reject_traffic"].filter("reject = 'point'").count() == 1
+    assert read["reject_weather"].filter("raw is null").count() == 0
+    assert rows(read["reject_airports"]) == [] and read["reject_days"].count() > 0
     assert rows(read["word_vectors"], "word") == [("{k:",)]
     assert rows(read["reject_word_vectors"], "word") == [("bad",), ("worse",)]
     assert {r.reject for r in read["reject_weather"].select("reject").distinct().collect()} == {"time", "number"}
@@ -48,10 +56,11 @@ def test_run(spark, inputs, tmp_path):
     assert coded < cells and read["reject_cells"].count() > 0
     assert read["grid_clean"].count() == coded * 2014
     assert read["examples"].select(F.size("feature")).distinct().first()[0] == 8 * 25 + 14 + 2 + 1
-    model, metrics = pl.train_and_evaluate(read["examples"], "Austin")
-    got = metrics.first()
-    assert got.accuracy == pytest.approx(got.weighted_recall)
-    assert model.numFeatures == 217
+    models = {r.city: r for r in pl.city_models(read["examples"], si.CITIES).collect()}
+    assert set(models) <= {c.name for c in si.CITIES} and "Austin" in models
+    for got in models.values():
+        assert got.accuracy == pytest.approx(got.weighted_recall) and got.width == 217
+    assert pl.city_models(read["examples"].filter("false"), si.CITIES).count() == 0
 
 
 def test_weather_files_named_by_airport(spark, tmp_path):
@@ -67,10 +76,20 @@ def test_weather_files_named_by_airport(spark, tmp_path):
     assert first.temperature == 80.0
 
 
+def test_weather_files_with_other_headers_stop_the_job(spark, tmp_path):
+    names = "Date,Hour,Temp,WindChill,Humd,Pressure,Visib,WindSpeed,WindDir,Precipitation,Events,Conditions"
+    swapped = names.replace("Temp,WindChill", "WindChill,Temp")
+    for code, head in (("KA", names), ("KB", swapped)):
+        (tmp_path / f"{code}.csv").write_text(f"{head}\n2018-06-01,1:53 PM,80,70,40,29.9,10,5,N,0,,Clear\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_observations(spark, str(tmp_path)).collect()
+
+
 def test_duplicates(spark):
     df = spark.createDataFrame([("a", 1, [1.0]), ("b", 1, [1.0]), ("a", 2, None)], "k string, v int, x array<double>")
-    unique, copies = readers.split_duplicates(df, "k")
-    assert rows(unique) == [("b", 1, [1.0])] and rows(copies) == [("a", 2)]
+    one, copies = readers.collapse_copies(df.unionByName(df.filter("k = 'b'")), "k")
+    assert rows(one) == [("a", 2, None), ("b", 1, [1.0])]
+    assert rows(copies) == [("a", 2, True), ("b", 2, False)]
 
 
 def test_grid_csv_round_trip(spark, tmp_path):
@@ -101,4 +120,4 @@ def test_shared_folder_follows_the_session():
     assert shared_folder(session("yarn", folder="hdfs://nn/work/")) == "hdfs://nn/work"
     with pytest.raises(ValueError):
         shared_folder(session("yarn"))
-    assert shared_folder(session("local[2]")) != shared_folder(session("local[2]"))
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
