@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, staged, text_bytes
+from quartergrid.llm.common import arrow_map, of_checked_size, staged, text_bytes
 from quartergrid.llm.hashing import Words, batches
 from quartergrid.llm.tokens import BYTE_RANKS, PIECES, own_characters, token_ids
 
@@ -167,7 +167,8 @@ def judge(measured: DataFrame) -> DataFrame:
     for m in LEAST_WIDTH:
         inside = inside & F.coalesce(_within(m), F.lit(True))
     keyed = measured.select("*", *_group())
-    return keyed.join(bands(measured), ["g_lang", "g_script", "g_size"], "left").select(
+    known = of_checked_size(staged(bands(measured), "bands"), 100_000)
+    return keyed.join(known, ["g_lang", "g_script", "g_size"], "left").select(
         *measured.columns, failed.alias("base_failed"), (~failed & inside).alias("kept"),
     )
 
