@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, text_bytes
+from quartergrid.llm.common import arrow_map, of_checked_size, staged, text_bytes
 from quartergrid.llm.hashing import Words, batches
 
 #: 6 of 31 places are in the least cover, and 50-word windows leave 20-word anchors.
@@ -125,14 +125,19 @@ def candidate_windows(marked: DataFrame, size: int, period: int) -> DataFrame:
 
 
 def _kept(judged: DataFrame, size: int, with_text: bool) -> DataFrame:
-    """Results per document from the hashes of its windows that go (``gone``)."""
+    """Results per row of (doc_id, text, copy, gone).
+
+    ``gone`` lists the hashes of windows that go; of a ``copy`` all windows go.
+    """
     def each(batch: pa.RecordBatch) -> Iterator[dict]:
-        ids, gone = batch.column(0).to_pylist(), _lists(batch.column(2))
+        ids, copies, gone = batch.column(0).to_pylist(), batch.column(2).to_pylist(), _lists(batch.column(3))
         counts, removed, digests, kept_texts = [], [], [], []
-        for text, hashes in zip(text_bytes(batch.column(1)), gone):
+        for text, copy, hashes in zip(text_bytes(batch.column(1)), copies, gone):
             kept = text.split()  # bytes split at ASCII white space only
             n = len(kept)
-            if hashes is not None and n >= size:
+            if copy and n >= size:
+                kept = []
+            elif hashes is not None and n >= size:
                 held = Words([text])
                 start = np.flatnonzero(np.isin(held.windows(size, 2).view(np.int64), hashes))
                 change = np.zeros(n + 1, np.int64)
@@ -153,7 +158,21 @@ def _kept(judged: DataFrame, size: int, with_text: bool) -> DataFrame:
     types = {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
     if with_text:
         schema, types = f"{schema}, kept_text string", types | {"kept_text": pa.string()}
-    return arrow_map(judged.select("doc_id", "text", "gone"), each, schema, **types)
+    return arrow_map(judged.select("doc_id", "text", "copy", "gone"), each, schema, **types)
+
+
+def _later_copies(known: DataFrame) -> DataFrame:
+    """(doc_id, tag) of rows whose whole text an earlier document has."""
+    named = known.select("doc_id", "tag", F.md5("text").alias("whole"))
+    first = named.groupBy("whole").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    later = named.join(first.filter("low != high"), "whole").filter("doc_id > low")
+    return of_checked_size(staged(later.select("doc_id", "tag").distinct(), "copies"))
+
+
+def _with_lists(docs: DataFrame, marks: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The documents of ``ids`` with their marks (doc_id, value) as a list."""
+    lists = marks.groupBy("doc_id").agg(F.collect_list("value").alias(name))
+    return docs.join(ids, "doc_id", "left_semi").join(lists, "doc_id")
 
 
 def remove_repeated_passages(
@@ -170,18 +189,28 @@ def remove_repeated_passages(
 
     Groups of equal anchors and windows are only ever reduced to their least and
     greatest doc_id before joins, so a passage in a third of all documents is one
-    row of each aggregate.
+    row of each aggregate. Of equal texts only the first is searched.
     """
     if not 1 < period <= size:
         raise ValueError("the period must be from 2 to the window size")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
     known = texts.filter("doc_id is not null and text is not null")
-    at = anchors(known, size, period)
+    copies = _later_copies(known)
+    firsts = known.join(copies, ["doc_id", "tag"], "left_anti").select("doc_id", "text")
+
+    at = anchors(firsts, size, period)
     common = at.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    marks = at.join(common.filter("low != high").select("anchor"), "anchor").groupBy("doc_id").agg(
-        F.collect_set("anchor").alias("marks"))
-    windows = candidate_windows(texts.join(marks, "doc_id"), size, period)
+    marks = staged(at.join(common.filter("low != high").select("anchor"), "anchor").select(
+        "doc_id", F.col("anchor").alias("value")).distinct(), "marks")
+    marked = of_checked_size(staged(marks.select("doc_id").distinct(), "marked"))
+    windows = candidate_windows(_with_lists(firsts, marks, marked, "marks"), size, period)
+
     first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    gone = windows.join(first.filter("low != high"), ["h1", "h2"]).filter("doc_id > low").groupBy(
-        "doc_id").agg(F.collect_set("h1").alias("gone"))
-    return _kept(texts.join(gone, "doc_id", "left"), size, with_text)
+    gone = staged(windows.join(first.filter("low != high"), ["h1", "h2"]).filter("doc_id > low").select(
+        "doc_id", F.col("h1").alias("value")).distinct(), "gone")
+    losing = of_checked_size(staged(gone.select("doc_id").distinct(), "losing"))
+    rows = texts.join(copies.withColumn("copy", F.lit(True)), ["doc_id", "tag"], "left").select(
+        "doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"))
+    touched = _with_lists(rows, gone, losing, "gone")
+    rest = rows.join(losing, "doc_id", "left_anti").withColumn("gone", F.lit(None).cast("array<long>"))
+    return _kept(touched.unionByName(rest), size, with_text)
