@@ -128,3 +128,19 @@ def test_fit_and_score(spark):
     df = spark.createDataFrame(data, "feature array<double>, label int")
     scored = ml.score(ml.fit(df), df)
     assert ml.class_metrics(scored).first().accuracy == 1.0
+
+
+def test_cell_means_at_full_width(spark):
+    from quartergrid.operators import text_vectors as tv
+    words = {w: [float((i * 31 + ord(w)) % 17) for i in range(100)] for w in "abcd"}
+    vectors = spark.createDataFrame(list(words.items()), "word string, vec array<double>")
+    texts = [("c1", "a b a"), ("c1", "a b a"), ("c1", "d x"), ("c1", "x y"), ("c2", "c"), ("c2", None), ("c3", "x")]
+    events = spark.createDataFrame(texts, "cell string, description string")
+    means = tv.cell_means(events, vectors, 100)
+    got = {r.cell: r.vec for r in means.collect()}
+    assert set(got) == {"c1", "c2"} and got["c2"] == words["c"]
+    want = [(2 * (2 * words["a"][i] + words["b"][i]) / 3 + words["d"][i]) / 3 for i in range(100)]
+    assert got["c1"] == pytest.approx(want)
+    plan = means._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    sums = [line for line in plan.splitlines() if " HashAggregate(" in line and "chunk" in line]
+    assert sums and all("*(" in line for line in sums)  # compiled
