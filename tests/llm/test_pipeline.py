@@ -60,3 +60,48 @@ def test_empty_and_awkward_documents(spark):
             some = staged(stage(spark, some, SF), name)
         if some.count():
             assert sorted(str(r["doc_id"]) for r in some.collect()) == ["3", "None"]
+
+
+def test_run_equals_brute_force(spark, tmp_path):
+    """Small tables: no group has a band, so the first stage is its base rules."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from .cases import docs, prose
+    from .test_decontamination import brute as hits
+    from .test_jaccard_join import brute as classes
+    from .test_line_dedup import brute as lines
+    from .test_quality_rules import base
+
+    rng = random.Random(11)
+    items = [(i, " ".join(prose(rng, 25))) for i in range(4)]
+    stock = [" ".join(prose(rng, rng.randrange(6, 20))) for _ in range(8)]
+    texts = [(i, "\n".join(" ".join(prose(rng, 15)) for _ in range(4))) for i in range(16)]
+    texts += [(20 + i, texts[i][1]) for i in range(3)]  # copies
+    texts += [(30 + i, texts[i][1].replace(" ", " x ", 2)) for i in range(3)]  # near copies, line by line
+    texts += [(40 + i, " ".join([*prose(rng, 30), *items[i][1].split()[i : i + 9 + i], *prose(rng, 9)])) for i in range(3)]
+    texts += [(50 + i, f"{stock[i]}\n{stock[i + 1]}\n{' '.join(prose(rng, 12))}") for i in range(6)]
+    long = prose(rng, 900, 10**6)
+    texts += [(60, " ".join(long)), (61, " ".join([*long[:-9], "y", *long[-8:]])), (62, "a b c"), (63, "z " * 60)]
+    docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    left = [(i, t) for i, t in texts if not base(t)["base_failed"]]
+    left = [(i, t) for i, t in lines(left).items() if t.split()]
+    same = classes(left, 5, 80)
+    left = [(i, t) for i, t in left if same[i][0]["component_id"] == i]
+    found = hits(left, items)
+    left = {i: t for i, t in left if not found[i][0]["contaminated"]}
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: len(model.encode(t, add_special_tokens=False).ids) + 1 for i, t in left.items()}
+
+    sizes, bins = {}, {}
+    for r in cp.run(spark, str(tmp_path)).collect():
+        sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["length"]
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sizes == want and 20 < len(want) < len(texts) - 6
+    for parts in bins.values():
+        ends = [0, *(o + n for o, n in sorted(parts))]
+        assert ends[:-1] == [o for o, _ in sorted(parts)] and ends[-1] <= 1024
