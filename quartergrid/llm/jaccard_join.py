@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, staged, text_bytes
+from quartergrid.llm.common import arrow_map, of_checked_size, staged, text_bytes
 from quartergrid.llm.components import components
 from quartergrid.llm.hashing import Words, batches, ranges, sums
 
@@ -29,7 +29,7 @@ from quartergrid.llm.hashing import Words, batches, ranges, sums
 #: They only order shingles: a shared cell costs time, never a pair.
 RARITY_BITS = 18
 #: Cells of a set's profile for the suffix filter.
-PROFILE_CELLS = 16
+PROFILE_CELLS = 128
 _NO_WORDS = 0
 
 
@@ -168,8 +168,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, owner: DataFrame, size: int, perc
     """
     wanted = pairs.select(F.col("a").alias("set_key")).unionByName(
         pairs.select(F.col("b").alias("set_key"))).distinct()
-    chosen = wanted.join(owner, "set_key").select("doc_id", F.col("set_key").alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
+    chosen = staged(wanted.join(owner, "set_key").select("doc_id", F.col("set_key").alias("wanted")), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        of_checked_size(chosen), "doc_id")
 
     def build(batch: pa.RecordBatch) -> Iterator[dict]:
         keys, sets = [], []
@@ -182,8 +183,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, owner: DataFrame, size: int, perc
 
     built = staged(
         arrow_map(texts.select("text", "wanted"), build, "set_key long, shingles binary",
-                  set_key=pa.int64(), shingles=pa.binary()).dropDuplicates(["set_key"]), "sets",
+                  set_key=pa.int64(), shingles=pa.binary()), "sets",
     )
+    if not built.groupBy("set_key").count().filter("count > 1").isEmpty():  # rows that repeat a doc_id
+        built = staged(built.dropDuplicates(["set_key"]), "sets")
 
     def check(batch: pa.RecordBatch) -> Iterator[dict]:
         a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
@@ -216,33 +219,33 @@ def similar_sets(
         ), "owners",
     )
     entries = staged(prefix_entries(docs, size, percent, rarity(counted)), "prefixes")
-    # The hub of a token: the set with the fewest rarer shingles.
-    hub = F.min(F.struct("place", "n", "set_key")).alias("hub")
-    groups = entries.groupBy("token").agg(
-        hub, F.min("set_key").alias("low"), F.max("set_key").alias("high")
-    ).filter("low != high").select("token", "hub")
-    shared = staged(
-        entries.join(groups, "token").dropDuplicates(["token", "set_key"]), "shared",
-    )
+    multiple = entries.groupBy("token").agg(
+        F.min("set_key").alias("low"), F.max("set_key").alias("high")).filter("low != high").select("token")
+    common = entries.join(multiple, "token").dropDuplicates(["token", "set_key"])
+    # The hub of a token: the set with the fewest rarer shingles. All of this is
+    # dealt by token once.
+    hubs = common.groupBy("token").agg(F.min(F.struct("place", "n", "set_key")).alias("hub"))
+    shared = staged(common.join(hubs, "token"), "shared")
     spokes = shared.filter("set_key != hub.set_key").select(
         "set_key", "n", "place", F.col("hub.set_key").alias("k2"),
         F.col("hub.n").alias("n2"), F.col("hub.place").alias("place2"),
     ).filter(_may_link(percent)).select(*_ordered(F.col("set_key"), F.col("k2"))).distinct()
     tried = staged(_suffix_filter(spokes, owner, percent), "spokes")
     found = staged(_verify(tried, docs, owner, size, percent), "hub_links")
-    first = components(found)
+    first = of_checked_size(staged(components(found).withColumnRenamed("node", "set_key"), "hub_classes"))
 
     classed = shared.select("token", "set_key", "n", "place").join(
-        first.withColumnRenamed("node", "set_key"), "set_key", "left",
+        first, "set_key", "left",
     ).withColumn("class", F.coalesce("root", "set_key")).drop("root")
     split = classed.groupBy("token").agg(
         F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high").select("token")
-    # Sets of similar sizes meet in their own size band or the next one.
+    split = of_checked_size(staged(split, "split"))
+    # The smaller set meets larger ones in its own size band or the next.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     left = classed.join(split, "token").withColumn("band", band)
     other = left.select(
         "token", F.col("set_key").alias("k2"), F.col("n").alias("n2"), F.col("place").alias("place2"),
-        F.col("class").alias("class2"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"),
+        F.col("class").alias("class2"), F.explode(F.array(F.col("band") - 1, "band")).alias("band"),
     )
     # The smaller set, or the smaller key, comes first: each pair once per token.
     in_order = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("set_key") < F.col("k2")))
@@ -262,16 +265,18 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     doc_id reachable over links. Texts are taken whole, lower-cased in A-Z only.
     A text of fewer than ``size`` words has one shingle, the whole; null, empty
     and blank texts have none and are their own component. Equal sets are one
-    set, so copies cost one entry. Repeated rows give repeated results; a null
-    doc_id never names a component while a document with an id is in it. Other
-    columns are ignored; an empty table gives an empty table.
+    set, so copies cost one entry. Repeated rows give repeated results. A row
+    without doc_id is in the component of an equal set of a document with one, else
+    alone, without a name. Other columns are ignored; an empty table gives an empty
+    table.
     """
     counted = staged(shingle_sets(docs, size), "shingles")
     _, classes = similar_sets(docs, counted, size, percent)
-    placed = counted.filter("n_shingles is not null").select("doc_id", "n_shingles", "set_key").join(
+    rows = counted.filter("n_shingles is not null").select("doc_id", "n_shingles", "set_key")
+    rooted = rows.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least")).join(
         classes.withColumnRenamed("node", "set_key"), "set_key", "left",
     ).withColumn("root", F.coalesce("root", "set_key"))
-    placed = staged(placed, "placed")
-    least = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = staged(rooted.join(named, "root").select("set_key", "component_id"), "labels")
+    return rows.join(labels, "set_key", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
