@@ -51,6 +51,17 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+#: Rows of a batch that are turned into Python objects at a time.
+SLICE_ROWS = 1000
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, so that a worker holds the objects of few rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def arrow_map(
     df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, **types,
 ) -> DataFrame:
@@ -61,7 +72,7 @@ def arrow_map(
     fields = pa.schema(list(types.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for columns in each(batch):
                 arrays = [pa.array(columns[f.name], f.type) for f in fields]
                 yield pa.RecordBatch.from_arrays(arrays, schema=fields)

@@ -9,12 +9,11 @@ sequences get equal hashes wherever they stand; no Python loop sees a word.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 
 #: Bytes of text that are hashed together; a longer text is a batch of its own.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 _U = np.uint64
 
@@ -32,17 +31,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-@lru_cache(maxsize=16)
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, _U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """The first powers of ``base``; one table per base is kept and grown."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < size:
+        held = np.full(1 << max(12, int(size).bit_length()), base, _U)
+        held[0] = 1
+        held = _POWERS[base] = np.multiply.accumulate(held)
+    return held[:size]
 
 
 def _tables(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the seed's base and of its inverse, at least ``size`` of each."""
-    base, room = _odd(seed), 1 << max(12, int(size).bit_length())
-    return _powers(base, room)[:size], _powers(pow(base, -1, 1 << 64), room)[:size]
+    """Powers of the seed's base and of its inverse."""
+    base = _odd(seed)
+    return _powers(base, size), _powers(pow(base, -1, 1 << 64), size)
 
 
 def sums(values: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, of_checked_size, staged, text_bytes
+from quartergrid.llm.common import arrow_map, of_checked_size, sliced, staged, text_bytes
 from quartergrid.llm.hashing import Words, batches, mix, ranges, sums
 
 MIN_WORDS = 5
@@ -200,7 +200,7 @@ def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def _without(docs: DataFrame, goes: DataFrame) -> DataFrame:
     """Documents with n_lines, n_removed, kept_text and its hash; ``goes`` has (doc_id, n, h)."""
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in sliced(found):
             counts, removed, kept_texts, digests = [], [], [], []
             for text, gone in zip(batch.column(-2).cast(pa.binary()).to_pylist(), batch.column(-1).to_pylist()):
                 lines = [] if text is None else text.split(b"\n")
