@@ -4,7 +4,8 @@ Two public vocabularies measure each text: a byte-level one gives the characters
 per token and the entropy of its tokens, and one of pieces tells which bytes it
 would have to spell out. Texts of a language and script, and of a like number of
 tokens, form a group. What lies far outside the quartiles of its group is
-rejected; both sides of every band keep a least width.
+rejected; a group of few texts takes the quartiles of a wider one, so every text
+is judged.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ FENCE = 1.5
 #: the median, where short formal texts lie, the least distance is HIGH_SIDE times that.
 LEAST_WIDTH = {"chars_per_token": (0.1, 0.6), "token_entropy": (0.05, 0.3), "byte_share": (0.1, 0.5)}
 HIGH_SIDE = 3.0
-#: Groups with fewer different texts have no band.
-LEAST_GROUP = 50
+#: Quartiles of few members are unsure: their fence is longer by the factor 1 + FEW / members.
+FEW = 4
+#: A group with fewer different texts is judged by the quartiles of the next wider group.
+OWN_BAND = 50
 #: First and last code point of letters, by script.
 SCRIPTS = (
     ("Latin", 0xC0, 0x24F), ("Greek", 0x370, 0x3FF), ("Cyrillic", 0x400, 0x52F), ("Hebrew", 0x590, 0x5FF),
@@ -131,41 +134,86 @@ def _group() -> list[Column]:
     return [F.coalesce("lang", F.lit("")).alias("g_lang"), F.col("script").alias("g_script"), size.alias("g_size")]
 
 
-def bands(measured: DataFrame) -> DataFrame:
-    """One row per group: the quartiles of each measure, as arrays ``q_<measure>``.
+def _base_failed() -> Column:
+    repeated = 100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
+    return (F.col("n_words") < MIN_WORDS) | repeated
+
 
-    Equal measurements count once, so copies of a text don't narrow a band. The
-    quartiles are exact on values rounded to three places, which bounds what an
-    aggregate holds.
+def _octaves() -> Column:
+    return F.log2(F.greatest("n_tokens", F.lit(1)).cast("double"))
+
+
+def _quartiles(rows: DataFrame, keys: list[str], level: int, members: Column, weight: Column) -> DataFrame:
+    """(keys, texts, band<level>) of each group that ``keys`` make."""
+    marks = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"texts{level}"),
+        F.struct(
+            members.cast("double").alias("members"), F.percentile("n_tokens", F.lit(0.5), weight).alias("typical"),
+            *(F.percentile(m, marks, weight).alias(f"q_{m}") for m in LEAST_WIDTH),
+        ).alias(f"band{level}"),
+    )
+
+
+def bands(measured: DataFrame) -> DataFrame:
+    """One row per group: its ``band``, and the ``slope`` of the entropy per octave of tokens.
+
+    A band has the quartiles of each measure, the entropy without its slope, the
+    typical number of tokens and how many members it stems from. It is that of
+    the first of these groups with OWN_BAND texts: language, script and size class;
+    language and script; script; all texts. In the last two a language and script is
+    one member, however many texts it has, or part of one below OWN_BAND. Texts that fail the base rules
+    found no band. Equal measurements count once, so copies of a text don't narrow
+    a band. The quartiles are exact on values rounded to three places, which bounds
+    what an aggregate holds.
     """
     rounded = [F.round(m, 3).alias(m) for m in LEAST_WIDTH]
-    differing = measured.filter("n_tokens > 0").select(*_group(), "n_tokens", *rounded).distinct()
-    marks = differing.groupBy("g_lang", "g_script", "g_size").agg(
-        F.count(F.lit(1)).alias("texts"),
-        *(F.percentile(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{m}") for m in LEAST_WIDTH),
-    ).filter(F.col("texts") >= LEAST_GROUP)
-
-    return marks.drop("texts")
+    differing = staged(
+        measured.filter(~_base_failed()).select(*_group(), "n_tokens", *rounded).distinct(), "differing")
+    slope = staged(differing.agg(
+        F.coalesce(F.regr_slope("token_entropy", _octaves()), F.lit(0.0)).alias("slope")), "slope")
+    levelled = differing.crossJoin(F.broadcast(slope)).withColumn(
+        "token_entropy", F.round(F.col("token_entropy") - F.col("slope") * _octaves(), 3))
+    language = ["g_lang", "g_script"]
+    # Weights in units of a millionth of a text.
+    share = F.least(F.lit(1.0), F.lit(float(OWN_BAND)) / F.count(F.lit(1)))
+    sizes = of_checked_size(staged(levelled.groupBy(*language).agg(
+        F.greatest(F.lit(1), F.round(1e6 * share)).cast("long").alias("weight")), "weights"), 100_000)
+    weighted = levelled.join(sizes, language)
+    one, texts, languages = F.lit(1), F.count(F.lit(1)), F.sum("weight") / (1e6 * OWN_BAND)
+    own = _quartiles(levelled, [*language, "g_size"], 0, texts, one)
+    wider = _quartiles(levelled, language, 1, texts, one)
+    script = _quartiles(weighted, ["g_script"], 2, languages, F.col("weight"))
+    everything = _quartiles(weighted, [], 3, languages, F.col("weight"))
+    found = F.coalesce(
+        *(F.when(F.col(f"texts{i}") >= OWN_BAND, F.col(f"band{i}")) for i in range(3)), F.col("band3"))
+    return own.join(wider, language).join(script, "g_script").crossJoin(everything).crossJoin(slope).select(
+        *language, "g_size", found.alias("band"), "slope")
 
 
 def _within(m: str) -> Column:
-    """Whether measure ``m`` of a row lies in the band of its group's quartiles."""
-    q1, mid, q3 = (F.get(f"q_{m}", F.lit(i)) for i in range(3))
+    """Whether measure ``m`` of a row lies in the band of its group."""
+    q1, mid, q3 = (F.col(f"band.q_{m}")[i] for i in range(3))
+    n = F.greatest("n_tokens", F.lit(1)).cast("double")
+    fence = FENCE * (1 + FEW / F.col("band.members")) * (q3 - q1)
+    # Texts shorter than is typical vary more.
+    short = F.sqrt(F.greatest(F.lit(1.0), F.col("band.typical") / n))
     fixed, sampling = LEAST_WIDTH[m]
-    least = fixed + sampling / F.sqrt(F.greatest("n_tokens", F.lit(1)).cast("double"))
-    least = least * (mid if m == "chars_per_token" else F.lit(1.0))
-    low = F.least(q1 - FENCE * (q3 - q1), mid - least)
-    high = F.greatest(q3 + FENCE * (q3 - q1), mid + HIGH_SIDE * least)
-    return F.round(m, 3).between(low, high)
+    least = (fixed + sampling / F.sqrt(n)) * (mid if m == "chars_per_token" else F.lit(1.0))
+    low = mid - F.greatest((mid - q1 + fence) * short, least)
+    high = mid + F.greatest((q3 - mid + fence) * short, HIGH_SIDE * least)
+    value = F.round(m, 3)
+    if m == "token_entropy":
+        value = F.round(value - F.col("slope") * _octaves(), 3)
+    return value.between(low, high)
 
 
 def judge(measured: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to a stored table of measures."""
-    repeated = 100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
-    failed = (F.col("n_words") < MIN_WORDS) | repeated
+    failed = _base_failed()
     inside = F.lit(True)
     for m in LEAST_WIDTH:
-        inside = inside & F.coalesce(_within(m), F.lit(True))
+        inside = inside & F.coalesce(_within(m), F.lit(False))
     keyed = measured.select("*", *_group())
     known = of_checked_size(staged(bands(measured), "bands"), 100_000)
     return keyed.join(known, ["g_lang", "g_script", "g_size"], "left").select(
@@ -178,7 +226,7 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
     ``base_failed``: fewer than 10 words, or more than a fifth of the words in
     five-word windows that the text holds twice. ``kept``: passes that and lies
-    within the bands of its group. Null and empty texts have zero counts, the
+    within the bands of its group, or of the wider one that stands in for it. Null and empty texts have zero counts, the
     script ``none`` and fail. Repeated rows and null doc_ids get a row each; a
     null ``lang``, or a table without it, is a language of its own. Other columns
     are ignored; an empty table gives an empty table.

@@ -57,3 +57,30 @@ def test_awkward_rows(spark):
     assert got[5][0]["n_words"] == 60_000 and got[5][0]["kept"]
     assert quality_verdicts(awkward(spark).filter("false")).count() == 0
     assert quality_verdicts(awkward(spark).select("doc_id", "text")).count() == 9
+
+
+def plain(rng, n):
+    return " ".join(rng.choice("the quick brown fox jumps over lazy dogs while many people walk home after dark and nobody "
+                               "minds it very much".split()) + str(rng.randrange(10)) * (rng.random() < 0.1) for _ in range(n))
+
+
+def junk(rng, n):
+    return " ".join(f"{rng.choice('qzxkv')}{rng.choice('QZXKJ')}~^{rng.randrange(9)}$%" for _ in range(n))
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    rng = random.Random(6)
+    clean = [plain(rng, rng.randrange(70, 100)) for _ in range(120)]
+    # The only texts of their size, of their language, and of a script that does not fit it.
+    rare = [(junk(rng, 900), "en"), (junk(rng, 14), "fi"), ("лщ~^7$% " * 2 + junk(rng, 30), "fi"), (plain(rng, 400), "en"),
+            (plain(rng, 40), "fi")]
+    texts = clean + [t for t, _ in rare]
+    table = docs(spark, texts, ["en"] * len(clean) + [lang for _, lang in rare])
+    got = by_id(quality_verdicts(table))
+    assert not any(got[i][0]["base_failed"] for i in range(len(clean), len(texts)))
+    assert [got[i][0]["kept"] for i in range(len(clean), len(texts))] == [False, False, False, True, True]
+
+    from corpus_pipeline import quality_rules
+
+    left = {r["doc_id"] for r in quality_rules(spark, table, "").select("doc_id").collect()}
+    assert left == {i for i in got if got[i][0]["kept"]} and {123, 124} < left
