@@ -28,11 +28,11 @@ REPEAT_WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 #: A band reaches so many quartile distances beyond the quartiles,
 FENCE = 1.5
-#: and from the median at least by ``fixed + sampling / sqrt(n_tokens)``: a share of
-#: the median for characters per token, plain differences for the other two. Above
-#: the median, where short formal texts lie, the least distance is HIGH_SIDE times that.
-LEAST_WIDTH = {"chars_per_token": (0.1, 0.6), "token_entropy": (0.05, 0.3), "byte_share": (0.1, 0.5)}
-HIGH_SIDE = 3.0
+#: and from the median at least by ``sampling / sqrt(n_tokens)``, what chance alone
+#: moves a text: a share of the median for characters per token, plain differences
+#: for the other two. Above the median, where short formal texts lie, HIGH_SIDE times that.
+SAMPLING = {"chars_per_token": 0.6, "token_entropy": 0.3, "byte_share": 0.5}
+HIGH_SIDE = {"chars_per_token": 3.0, "token_entropy": 3.0, "byte_share": 1.0}
 #: Quartiles of few members are unsure: their fence is longer by the factor 1 + FEW / members.
 FEW = 4
 #: A group with fewer different texts is judged by the quartiles of the next wider group.
@@ -150,7 +150,7 @@ def _quartiles(rows: DataFrame, keys: list[str], level: int, members: Column, we
         F.count(F.lit(1)).alias(f"texts{level}"),
         F.struct(
             members.cast("double").alias("members"), F.percentile("n_tokens", F.lit(0.5), weight).alias("typical"),
-            *(F.percentile(m, marks, weight).alias(f"q_{m}") for m in LEAST_WIDTH),
+            *(F.percentile(m, marks, weight).alias(f"q_{m}") for m in SAMPLING),
         ).alias(f"band{level}"),
     )
 
@@ -167,7 +167,7 @@ def bands(measured: DataFrame) -> DataFrame:
     a band. The quartiles are exact on values rounded to three places, which bounds
     what an aggregate holds.
     """
-    rounded = [F.round(m, 3).alias(m) for m in LEAST_WIDTH]
+    rounded = [F.round(m, 3).alias(m) for m in SAMPLING]
     differing = staged(
         measured.filter(~_base_failed()).select(*_group(), "n_tokens", *rounded).distinct(), "differing")
     slope = staged(differing.agg(
@@ -198,10 +198,9 @@ def _within(m: str) -> Column:
     fence = FENCE * (1 + FEW / F.col("band.members")) * (q3 - q1)
     # Texts shorter than is typical vary more.
     short = F.sqrt(F.greatest(F.lit(1.0), F.col("band.typical") / n))
-    fixed, sampling = LEAST_WIDTH[m]
-    least = (fixed + sampling / F.sqrt(n)) * (mid if m == "chars_per_token" else F.lit(1.0))
+    least = SAMPLING[m] / F.sqrt(n) * (mid if m == "chars_per_token" else F.lit(1.0))
     low = mid - F.greatest((mid - q1 + fence) * short, least)
-    high = mid + F.greatest((q3 - mid + fence) * short, HIGH_SIDE * least)
+    high = mid + F.greatest((q3 - mid + fence) * short, HIGH_SIDE[m] * least)
     value = F.round(m, 3)
     if m == "token_entropy":
         value = F.round(value - F.col("slope") * _octaves(), 3)
@@ -212,7 +211,7 @@ def judge(measured: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to a stored table of measures."""
     failed = _base_failed()
     inside = F.lit(True)
-    for m in LEAST_WIDTH:
+    for m in SAMPLING:
         inside = inside & F.coalesce(_within(m), F.lit(False))
     keyed = measured.select("*", *_group())
     known = of_checked_size(staged(bands(measured), "bands"), 100_000)

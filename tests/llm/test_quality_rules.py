@@ -84,3 +84,14 @@ def test_small_groups_are_judged_by_wider_ones(spark):
 
     left = {r["doc_id"] for r in quality_rules(spark, table, "").select("doc_id").collect()}
     assert left == {i for i in got if got[i][0]["kept"]} and {123, 124} < left
+
+
+def test_marks_after_every_word_lie_outside_the_bands(spark):
+    rng = random.Random(8)
+    clean = [plain(rng, rng.randrange(300, 400)) for _ in range(120)]
+    marked = [" ".join(w + "%" * (k % 6 == 0) for k, w in enumerate(plain(rng, 340).split())) for _ in range(3)]
+    spelt = [" ".join(w + "\U00012000" * (k % 20 == 0) for k, w in enumerate(plain(rng, 340).split())) for _ in range(3)]
+    got = by_id(quality_verdicts(docs(spark, clean + marked + spelt)))
+    assert not any(r[0]["base_failed"] for r in got.values())
+    assert sum(got[i][0]["kept"] for i in range(120)) >= 118
+    assert not any(got[i][0]["kept"] for i in range(120, 126))
