@@ -3,7 +3,9 @@
 The patterns find assignments, access keys and long hexadecimal runs. Other long
 strings near a sensitive word are judged by novelty: the bytes they add to the
 zstandard-compressed text around them, with a compressor primed by identifiers.
-Names, paths and repeated strings add little; keys add nearly all their length.
+Names and paths add little; keys add nearly all their length. Later copies of a
+string, and those that a pattern found, don't explain it; what is a secret in one
+place is one in all places of the text.
 """
 
 from __future__ import annotations
@@ -30,15 +32,21 @@ PATTERNS = {
 NOVEL = "novel"
 KINDS = (*PATTERNS, NOVEL)
 ASSIGNED_WORDS = ("passw", "secret", "token", "api")
-#: Words that make the text after them sensitive, within so many characters.
+#: Words that make the text near them sensitive: after them within REACH
+#: characters, before them within REACH_BACK.
 SENSITIVE = re.compile(
     r"password|passwd|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|signing[_ -]?key"
     r"|auth|bearer|credential", re.I | re.A)
 SENSITIVE_WORDS = ("passw", "passphrase", "pwd", "secret", "token", "key", "auth", "bearer", "credential")
 REACH = 48
+REACH_BACK = 24
 #: Text on either side that a candidate is compressed with.
 AROUND = 512
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{8,}")
+#: Words, names in camel case, numbers and dates: no measure of novelty tells an
+#: unknown word from a key. Those with letters and digits are measured from so many characters on.
+ORDINARY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]+|[0-9]+|[+/_=-])+")
+ORDINARY_LENGTH = 16
 #: Least added bytes, and least added bytes per character.
 MIN_BYTES = 12
 MIN_NOVELTY = 0.72
@@ -62,11 +70,25 @@ def _compressor() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False, write_dict_id=False)
 
 
-def novelty(text: str, start: int, end: int) -> tuple[int, float]:
-    """(bytes that text[start:end] adds to what is around it, the same per character)."""
-    around = text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]
+def novelty(text: str, start: int, end: int, known: list[tuple[int, int]] = []) -> tuple[int, float]:
+    """(bytes that text[start:end] adds to what is around it, the same per character).
+
+    Copies of it after ``end`` and in the spans of ``known`` are blanked out.
+    """
+    own = text[start:end]
+    before = text[max(0, start - AROUND) : start]
+    if known and own in before:
+        at, parts = max(0, start - AROUND), []
+        for a, b in known:
+            if at < b and a < start:
+                a, b = max(a, at), min(b, start)
+                parts += [text[at:a], text[a:b].replace(own, " ")]
+                at = b
+        before = "".join(parts) + text[at:start]
+    after = text[end : end + AROUND + end - start].replace(own, " ")[:AROUND]
+    around = before + "\n" + after
     compress = _compressor().compress
-    added = len(compress((around + "\n" + text[start:end]).encode())) - len(compress(around.encode()))
+    added = len(compress((around + "\n" + own).encode())) - len(compress(around.encode()))
     return added, added / (end - start)
 
 
@@ -82,28 +104,45 @@ def find(text: str) -> list[Span]:
                 out.append(Span(kind, m.start(), m.end(), None))
     if any(w in plain for w in SENSITIVE_WORDS):
         known = sorted((s.start, s.end) for s in out)
-        ends = [m.end() for m in SENSITIVE.finditer(text)]
-        if ends:
-            out += _novel(text, ends, known)
+        words = [m.span() for m in SENSITIVE.finditer(text)]
+        if words:
+            out += _novel(text, words, known)
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
-def _novel(text: str, ends: list[int], known: list[tuple[int, int]]) -> Iterator[Span]:
+def _novel(text: str, words: list[tuple[int, int]], known: list[tuple[int, int]]) -> Iterator[Span]:
     near = after = 0
+    places: dict[str, list[tuple[int, int]]] = {}
+    secrets: dict[str, float] = {}
     for m in CANDIDATE.finditer(text):
-        while near + 1 < len(ends) and ends[near + 1] <= m.start():
+        start, end = m.span()
+        while near < len(words) and words[near][1] <= start:
             near += 1
-        while after < len(known) and known[after][1] <= m.start():
+        while after < len(known) and known[after][1] <= start:
             after += 1
-        if not 0 <= m.start() - ends[near] <= REACH:
-            continue
-        if after < len(known) and known[after][0] < m.end():
+        if after < len(known) and known[after][0] < end:
             continue  # found by a pattern
-        if not (any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])):
+        string = m[0]
+        if ORDINARY.fullmatch(string) and not (
+            len(string) >= ORDINARY_LENGTH and any(c.isdigit() for c in string) and any(c.isalpha() for c in string)
+        ):
+            continue
+        places.setdefault(string, []).append((start, end))
+        if string in secrets:
             continue
-        added, share = novelty(text, *m.span())
-        if added >= MIN_BYTES and share >= MIN_NOVELTY:
-            yield Span(NOVEL, *m.span(), round(share, 3))
+        # The first word that starts at or after the end; words inside the string don't count.
+        ahead = near
+        while ahead < len(words) and words[ahead][0] < end:
+            ahead += 1
+        follows = near > 0 and start - words[near - 1][1] <= REACH
+        precedes = ahead < len(words) and words[ahead][0] - end <= REACH_BACK
+        if follows or precedes:
+            added, share = novelty(text, start, end, known)
+            if added >= MIN_BYTES and share >= MIN_NOVELTY:
+                secrets[string] = round(share, 3)
+    for string, share in secrets.items():
+        for start, end in places[string]:
+            yield Span(NOVEL, start, end, share)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:

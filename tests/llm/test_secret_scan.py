@@ -49,3 +49,26 @@ def test_awkward_rows(spark):
     assert got[1] == got[2] == got[3] == [{"secrets": []}]
     assert len(got[4]) == 2 and got[4][0]["secrets"][0]["end"] == 14
     assert scan_secrets(awkward(spark).filter("false")).count() == 0
+
+
+def novel(text):
+    return [text[s.start : s.end] for s in find(text) if s.kind == "novel"]
+
+
+def test_repeated_keys_are_found_at_all_places():
+    assert novel(f"the client credential is {KEY} here, then auth by {KEY} again") == [KEY] * 2
+    assert novel(f"credential {KEY}\n" * 5) == [KEY] * 5
+    # Far from sensitive words, before or after the telling place.
+    assert novel(f"credential {KEY} {'plain words ' * 9} {KEY} end") == [KEY] * 2
+    assert novel(f"password = {KEY}, and the credential is {KEY}") == [KEY]
+    gap = "x y " * 126  # a copy that the reach around cuts
+    assert novel(f"credential {KEY} {gap}{KEY}") == [KEY] * 2
+
+
+def test_keys_without_digits_short_keys_and_words_after_them():
+    mixed, short = "ZkvQxTLmPwRbYcNhJdGfSt", "aB3xK9pQ2zLw"
+    assert novel(f"the credential {mixed} is old") == [mixed]
+    assert novel(f"the credential {short} is old") == [short]
+    assert novel(f"{KEY} is the bearer value") == [KEY]
+    for word in ("Constantinople", "unsubscribed", "getUserSettings", "2026-12-01T15"):
+        assert not novel(f"the credential {word} is old")
