@@ -41,13 +41,13 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(
     docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = BYTE_RANKS, end_id: int = END_ID,
-    with_ids: bool = True,
+    with_ids: bool = True, added: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document."""
     def each(batch: pa.RecordBatch) -> Iterator[dict]:
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = np.append(token_ids(vocabulary, text or ""), np.uint32(end_id)).astype("<u4")
+            ids = np.append(token_ids(vocabulary, text or "", added), np.uint32(end_id)).astype("<u4")
             for k, (start, length) in enumerate(cut(len(ids), capacity)):
                 part = ids[start : start + length]
                 row = (doc_id, k, start, length, crc32(part.tobytes()), part if with_ids else None)
@@ -169,15 +169,16 @@ def place(held: DataFrame, capacity: int, *identity: str) -> DataFrame:
 
 def pack_documents(
     docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = BYTE_RANKS, end_id: int = END_ID,
-    with_ids: bool = True,
+    with_ids: bool = True, added: bool = False,
 ) -> DataFrame:
     """One row per piece: (doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset).
 
     Every text is tokenised whole and ends with ``end_id``; a null or empty text
-    is that id alone. Only documents longer than ``capacity`` are cut. Sequences
+    is that id alone. With ``added`` a ``<|endoftext|>`` in a text is its one token, as
+    the tokenizers library has it by default, else ordinary text. Only documents longer than ``capacity`` are cut. Sequences
     have no gaps and hold at most ``capacity`` tokens. Repeated rows and null
     doc_ids are documents of their own; other columns are ignored; an empty table
     gives an empty table.
     """
-    held = staged(pieces(docs, capacity, vocabulary, end_id, with_ids), "pieces")
+    held = staged(pieces(docs, capacity, vocabulary, end_id, with_ids, added), "pieces")
     return place(held, capacity, "doc_id", "piece", "ids_crc32", "start")

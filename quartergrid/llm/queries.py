@@ -88,7 +88,7 @@ FROM w LEFT JOIN kept USING (doc_id)
 
 @query
 def op8_best_fit_packing(spark, sf_dir):
-    return pack_documents(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False)
+    return pack_documents(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False, added=True)
 
 
 @query

@@ -14,18 +14,23 @@ import tiktoken
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: A vocabulary of pieces that falls back to bytes for characters it lacks.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: The token that the tokenizers file adds, and finds in texts too, to those of the ranks.
+ADDED = {"<|endoftext|>": 50256}
 
 
 @lru_cache(maxsize=4)
 def byte_encoder(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
-def token_ids(path: str, text: str) -> np.ndarray:
-    """Ids of a whole text as unsigned 32-bit numbers, all of it ordinary text."""
-    return byte_encoder(path).encode_to_numpy(text, disallowed_special=())
+def token_ids(path: str, text: str, added: bool = False) -> np.ndarray:
+    """Ids of a whole text as unsigned 32-bit numbers.
+
+    Strings of ADDED are one token each with ``added``, else ordinary text.
+    """
+    return byte_encoder(path).encode_to_numpy(text, allowed_special=set(ADDED) if added else set(), disallowed_special=())
 
 
 @lru_cache(maxsize=4)

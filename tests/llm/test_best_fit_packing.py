@@ -82,3 +82,18 @@ def test_awkward_rows(spark):
     assert [r["ids"] for r in got if r["doc_id"] in (1, 2)] == [[2], [2]]
     check_sequences(got, 64)
     assert pack_documents(awkward(spark).filter("false")).count() == 0
+
+
+def test_query_and_pipeline_find_added_tokens_like_an_unchanged_tokenizer(spark, tmp_path):
+    import corpus_pipeline
+
+    from quartergrid.llm.queries import QUERIES
+
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|>\n x <|endoftext", "é 😀 <|endoftext|>1234", "a b"]
+    table = docs(spark, texts)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [np.array([*model.encode(t, add_special_tokens=False).ids, 2], "<u4") for t in texts]
+    want = {i: (len(x), crc32(x.tobytes())) for i, x in enumerate(ids)}
+    for got in (QUERIES["op8_best_fit_packing"](spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, table, "")):
+        assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in got.collect()} == want
