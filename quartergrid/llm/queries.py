@@ -14,8 +14,11 @@ from quartergrid.llm.html_text import extract_main_text
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.language_id import identify_languages
 from quartergrid.llm.line_dedup import dedup_lines
+from quartergrid.llm.online_packing import pack_online
+from quartergrid.llm.prefix_trie import numbered_turns, prefix_trie, with_lent_openings
 from quartergrid.llm.quality_rules import quality_verdicts
 from quartergrid.llm.secret_scan import NOVEL, PATTERNS, scan_secrets, span_text
+from quartergrid.llm.structure_repair import damaged, read_rows, repair_conversations
 from quartergrid.llm.substring_dedup import remove_repeated_passages
 from quartergrid.llm.warc import read_archives, write_archives
 
@@ -203,3 +206,129 @@ def op7_secret_scan(spark, sf_dir):
     return found.select(
         "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"),
         span_text(F.col("secrets")).alias("spans"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit: DuckDB has no function for it."""
+    bits = f"list_transform(range(8 * length({text})), lambda i: (ascii({text}[i // 8 + 1]) >> (i % 8)) & 1)"
+    step = "lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), {step}), 4294967295)"
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    turns, lengths = numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie(*with_lent_openings(turns, lengths)).drop("node")
+
+
+ORACLE["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, n, conv_id - conv_id % 20 AS base,
+    CASE WHEN conv_id % 20 = 0 THEN 0 ELSE {crc32_sql("name")} % 4 END AS h
+  FROM (SELECT conv_id, conv_id::VARCHAR AS name, count(*) AS n FROM t GROUP BY 1, 2)
+), p AS (
+  SELECT c.*, least(c.h, coalesce(b.n, 0)) AS k FROM c LEFT JOIN c b ON b.conv_id = c.base
+), s AS (
+  SELECT p.conv_id, i - h + k AS d, role, text FROM p JOIN t USING (conv_id) WHERE i > h
+  UNION ALL SELECT p.conv_id, i, role, text FROM p JOIN t ON t.conv_id = p.base WHERE h > 0 AND i <= k
+), l AS (
+  SELECT p.conv_id, coalesce(list(sha256(md5(role) || md5(text)) ORDER BY d) FILTER (d IS NOT NULL), []) AS keys,
+    coalesce(list(len(regexp_extract_all(text, {WORDS})) ORDER BY d) FILTER (d IS NOT NULL), []) AS words
+  FROM p LEFT JOIN s USING (conv_id) GROUP BY 1
+), m AS (
+  SELECT conv_id, d, len(keys) AS n, sha256(array_to_string(keys[1:d], '')) AS node,
+    CASE WHEN d > 0 THEN sha256(array_to_string(keys[1:d - 1], '')) END AS up, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words
+  FROM (SELECT conv_id, keys, words, unnest(range(len(keys) + 1)) AS d FROM l)
+), v AS (
+  SELECT d, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = n), '') AS ends
+  FROM m GROUP BY 1, 2
+), k AS (
+  SELECT v.*, coalesce(x.n, 0) AS n_children
+  FROM v LEFT JOIN (SELECT up, d - 1 AS d, count(*) AS n FROM v WHERE d > 0 GROUP BY 1, 2) x ON x.up = v.node AND x.d = v.d
+), below AS (
+  SELECT DISTINCT a.d AS at_d, a.node AS at_node, b.d, b.node
+  FROM v b JOIN m b1 ON b1.conv_id = b.conv_id AND b1.d = b.d JOIN m a ON a.conv_id = b.conv_id AND a.d <= b.d
+), r AS (
+  SELECT at_d, at_node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM below JOIN k ON k.d = below.d AND k.node = below.node GROUP BY 1, 2
+)
+SELECT k.conv_id, k.d::BIGINT AS depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, sha256(k.ends) AS ends_sha256
+FROM k JOIN r ON r.at_d = k.d AND r.at_node = k.node LEFT JOIN v u ON u.node = k.up AND u.d = k.d - 1
+"""
+
+
+@query
+def op12_online_packing(spark, sf_dir):
+    return pack_online(table(spark, sf_dir, "documents"), capacity=1024, with_ids=False, added=True)
+
+
+@query
+def op13_structure_repair(spark, sf_dir):
+    return repair_conversations(damaged(read_rows(table(spark, sf_dir, "conversations"))))
+
+
+ORACLE["op13_structure_repair"] = f"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations
+), w AS (SELECT *, {crc32_sql("name")} % 20 AS draw FROM o),
+d AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, w.role, md5(w.text), copy) AS i
+  FROM (SELECT *, unnest(CASE WHEN draw = 3 THEN [0, 1] ELSE [0] END) AS copy FROM w WHERE draw != 0) w
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE 'none' END AS fault,
+    left(role, 1) AS e, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS e0
+  FROM d
+), q AS (
+  SELECT conv_id, CASE WHEN count(turn) > 0 THEN max(turn) - min(turn) + 1 - count(DISTINCT turn) ELSE 0 END AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (e0 IS NOT NULL AND e0 || e NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM f GROUP BY conv_id
+), g AS (  -- least (cost, edits) of a beginning that ends with nothing, s, u and a
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS n, {{'c': 1000000000::BIGINT, 'a': ''}} AS s,
+    {{'c': 3::BIGINT, 'a': 'I'}} AS u, {{'c': 6::BIGINT, 'a': 'II'}} AS a
+  FROM q
+  UNION ALL
+  SELECT conv_id, i, n, s, u, list_min([a, {{'c': u.c + 3, 'a': u.a || 'I'}}])
+  FROM (
+    SELECT conv_id, i, n, s, a, list_min([u, {{'c': n.c + 3, 'a': n.a || 'I'}}, {{'c': s.c + 3, 'a': s.a || 'I'}}, {{'c': a.c + 3, 'a': a.a || 'I'}}]) AS u
+    FROM (
+      SELECT p.conv_id, f.i, {{'c': p.n.c + 4, 'a': p.n.a || 'D'}} AS n,
+        list_min([{{'c': p.s.c + 4, 'a': p.s.a || 'D'}}, {{'c': p.n.c + y + CASE WHEN e = 's' THEN 0 ELSE 1000000000 END, 'a': p.n.a || 'K'}}]) AS s,
+        list_min([{{'c': p.u.c + 4, 'a': p.u.a || 'D'}}] || flatten(list_transform([p.n, p.s, p.a], lambda z: [
+          {{'c': z.c + y + CASE WHEN e = 'u' THEN 0 ELSE 1000000000 END, 'a': z.a || 'K'}}, {{'c': z.c + y + 3, 'a': z.a || 'R'}}]))) AS u,
+        list_min([{{'c': p.a.c + 4, 'a': p.a.a || 'D'}}, {{'c': p.u.c + y + CASE WHEN e = 'a' THEN 0 ELSE 1000000000 END, 'a': p.u.a || 'K'}},
+          {{'c': p.u.c + y + 3, 'a': p.u.a || 'R'}}]) AS a
+      FROM g p JOIN (SELECT *, CASE fault WHEN 'none' THEN 0 WHEN 'truncated' THEN 3 ELSE 1000000000 END AS y FROM f) f
+        ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+    )
+  )
+), b AS (
+  SELECT q.*, list_min([g.n, g.a]) AS best FROM q JOIN g ON g.conv_id IS NOT DISTINCT FROM q.conv_id AND g.i = q.n
+), x AS (
+  SELECT conv_id, k, substr(audit, k, 1) AS edit, length(replace(audit, 'D', '')) AS total,
+    length(replace(left(audit, k), 'I', '')) AS i, length(replace(left(audit, k), 'D', '')) AS place
+  FROM (SELECT conv_id, best.a AS audit, unnest(range(1, length(best.a) + 1)) AS k FROM b)
+), z AS (
+  SELECT x.conv_id, string_agg(CASE WHEN edit = 'K' THEN f.role WHEN place % 2 = total % 2 THEN 'assistant' ELSE 'user' END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY k) AS text
+  FROM x LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM x.conv_id AND f.i = x.i AND edit != 'I' WHERE edit != 'D' GROUP BY 1
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(z.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
