@@ -5,9 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartergrid.config import POI_FIELDS, PRECISION
@@ -30,13 +28,18 @@ def unusable_poi(poi: DataFrame) -> DataFrame:
 def poi_vectors(poi: DataFrame) -> DataFrame:
     """(cell, poi): the 14 counts scaled to 0..1 over the whole table.
 
-    A constant column becomes 0.5.
+    A constant column becomes 0.5. The ranges are a one-row subquery of the plan:
+    nothing runs before the result is asked for.
     """
-    gathered = VectorAssembler(inputCols=list(POI_FIELDS), outputCol="counts").transform(
-        usable_poi(poi)
-    )
-    scaler = MinMaxScaler(inputCol="counts", outputCol="scaled").fit(gathered.select("counts"))
-    return scaler.transform(gathered).select("cell", vector_to_array("scaled").alias("poi"))
+    usable = usable_poi(poi)
+    bounds = [end(c).cast("double").alias(f"{c}_{name}") for c in POI_FIELDS for name, end in (("low", F.min), ("high", F.max))]
+    ranges = usable.agg(*bounds).select(F.struct("*").alias("ranges")).scalar()
+
+    def scaled(name: str) -> Column:
+        low, high = F.col("ranges")[f"{name}_low"], F.col("ranges")[f"{name}_high"]
+        return F.when(high > low, (F.col(name) - low) / (high - low)).otherwise(0.5)
+
+    return usable.withColumn("ranges", ranges).select("cell", F.array(*(scaled(c) for c in POI_FIELDS)).alias("poi"))
 
 
 def cell_codes(cells: DataFrame, precision: int = PRECISION) -> DataFrame:

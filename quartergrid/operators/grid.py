@@ -79,10 +79,20 @@ def in_blocks(per_step: DataFrame, key: str, window: GridWindow) -> DataFrame:
     return held.select(key, "block", rows)
 
 
-# Blocks of one cell that a task stretches into steps: about 100,000 rows.
+# Blocks of one cell that a task stretches into steps at most: about 100,000 rows.
 BLOCKS_PER_TASK = 1000
 
 
+def stretch_tasks(blocks: int, slots: int) -> int:
+    """In how many tasks to stretch so many blocks, where ``slots`` run at a time.
+
+    All slots have work, in waves of equal tasks, and no task has more than
+    BLOCKS_PER_TASK blocks unless the keys fall unevenly.
+    """
+    waves = -(-blocks // (slots * BLOCKS_PER_TASK))
+    return max(1, min(blocks, waves * slots))
+
+
 def dense_grid(
     runs: DataFrame, places: DataFrame, weather: DataFrame, daylight: DataFrame, window: GridWindow
 ) -> DataFrame:
@@ -99,7 +109,9 @@ def dense_grid(
     carried = [c for c in places.columns if c not in ("cell", "airport_set")]
     total, size = window.total_steps, window.block_steps
     light = in_blocks(daylight, "city", window)
-    tasks = max(1, places.count() * -(-total // size) // BLOCKS_PER_TASK)
+    slots = places.sparkSession.sparkContext.defaultParallelism
+    per_cell = -(-total // size)
+    tasks = stretch_tasks(places.count() * per_cell, slots)
     stop = F.least(F.col("next_step"), F.lit(total))
     pieces = (
         runs.filter(F.col("step") < total)

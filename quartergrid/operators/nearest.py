@@ -1,27 +1,38 @@
 """Nearest cell by great-circle distance, without pairing cells.
 
-Cells lie on a lattice. Along one lattice row the nearest donor is the next
-one to the left or to the right, so a cell probes each row once and a window
-over the row finds both neighbours. An upper bound on the distance, taken from
-one donor per geohash prefix, limits how many rows are probed. The result is
-exact whatever the distance.
+Cells lie on a lattice, whose squares are the boxes of coarser lattices up to one
+of a few hundred boxes. Pairs of boxes, one with cells that look for a donor and one
+with donors, are followed from coarse to fine. Two caps around the boxes bound the
+distance of all that is in them from below and above; a pair goes when another
+donor box is sure to be nearer. Each round splits the boxes that are left, so a
+cell looks at few of them however far its donor is. The result is exact.
 """
 
 from __future__ import annotations
 
-from math import radians
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartergrid.config import PRECISION
 from quartergrid.functions.geohash import (
-    EARTH_RADIUS_KM, column_longitude, great_circle_km, lattice_bits, lattice_of, row_latitude,
+    column_longitude, great_circle_km, lattice_bits, lattice_of, row_latitude,
 )
 
-# The alphabet has 32 letters: at most 32 + 32**2 + 32**3 prefixes this short.
-SHORT_PREFIX = 3
-HALF_CIRCUMFERENCE_KM = 3.1416 * EARTH_RADIUS_KM
+#: Bits of the rows and columns of the coarsest lattice: at most 16 x 32 boxes.
+TOP_BITS = (4, 5)
+#: Bits that a round adds to rows and columns: a box splits into 16 at most.
+ROUND_BITS = 2
+#: Kilometres that rounding may add to or take from a bound.
+SLACK_KM = 1e-3
+
+
+def _levels(precision: int) -> list[int]:
+    """Bits by which the lattice of each round is coarser, down to 0."""
+    lng_bits, lat_bits = lattice_bits(precision)
+    top = max(0, lat_bits - TOP_BITS[0], lng_bits - TOP_BITS[1])
+    return [*range(top, 0, -ROUND_BITS), 0]
 
 
 def _with_lattice(cells: DataFrame, precision: int) -> DataFrame:
@@ -29,100 +40,78 @@ def _with_lattice(cells: DataFrame, precision: int) -> DataFrame:
     return cells.select("cell", row.alias("row"), col.alias("col"))
 
 
-def _distance(row1: str, col1: str, row2: str, col2: str, precision: int):
-    return great_circle_km(
-        row_latitude(F.col(row1), precision), column_longitude(F.col(col1), precision),
-        row_latitude(F.col(row2), precision), column_longitude(F.col(col2), precision),
-    )
+def _box(level: int, row: str = "row", col: str = "col") -> Column:
+    """The box of a cell on the lattice that is ``level`` bits coarser."""
+    return F.struct(F.shiftright(row, level).alias("row"), F.shiftright(col, level).alias("col"))
 
 
-def distance_bound(missing: DataFrame, donors: DataFrame, precision: int) -> DataFrame:
-    """``missing`` with ``bound_km``: the distance to some donor, at best near.
+def _middle(index: Column, level: int) -> Column:
+    """Place of the middle of a box among the middles of its cells."""
+    return index * (1 << level) + F.lit(((1 << level) - 1) / 2)
 
-    Short prefixes are few by the size of the alphabet and are broadcast; long
-    ones hold few cells each, so their join is even.
-    """
-    probe = missing.select("cell", "row", "col")
-
-    def joined(lengths: range, small: bool) -> DataFrame:
-        prefix = F.explode(
-            F.array(*(F.substr(F.col("cell"), F.lit(1), F.lit(n)) for n in lengths))
-        )
-        kept = (
-            donors.withColumn("prefix", prefix)
-            .groupBy("prefix")
-            .agg(F.min(F.struct("row", "col")).alias("near"))
-            .select("prefix", F.col("near.row").alias("d_row"), F.col("near.col").alias("d_col"))
-        )
-        return (
-            probe.withColumn("prefix", prefix)
-            .join(F.broadcast(kept) if small else kept, "prefix")
-            .select("cell", _distance("row", "col", "d_row", "d_col", precision).alias("km"))
-        )
-
-    found = joined(range(1, min(SHORT_PREFIX, precision - 1) + 1), True)
-    if precision - 1 > SHORT_PREFIX:
-        found = found.unionByName(joined(range(SHORT_PREFIX + 1, precision), False))
-    bounds = found.groupBy("cell").agg(F.min("km").alias("km"))
-    return missing.join(bounds, "cell", "left").withColumn(
-        "bound_km", F.coalesce("km", F.lit(HALF_CIRCUMFERENCE_KM))
-    ).drop("km")
+
+def _point(box: str, level: int, precision: int) -> tuple[Column, Column]:
+    return (row_latitude(_middle(F.col(f"{box}.row"), level), precision),
+            column_longitude(_middle(F.col(f"{box}.col"), level), precision))
+
+
+def _radius(box: str, level: int, precision: int) -> Column:
+    """Distance from the middle of a box to the farthest middle of a cell in it: a corner."""
+    lat, lng = _point(box, level, precision)
+    reach = F.lit(((1 << level) - 1) / 2)
+    lng_bits, lat_bits = lattice_bits(precision)
+    high, wide = reach * F.lit(180.0 / (1 << lat_bits)), reach * F.lit(360.0 / (1 << lng_bits))
+    return F.greatest(*(great_circle_km(lat, lng, lat + side * high, lng + wide) for side in (-1, 1)))
+
+
+def _pruned(pairs: DataFrame, level: int, precision: int) -> DataFrame:
+    """Pairs (box, near) but those with a farther ``near`` than some other of the box."""
+    km = great_circle_km(*_point("box", level, precision), *_point("near", level, precision))
+    around = _radius("box", level, precision) + _radius("near", level, precision) + SLACK_KM
+    bounds = pairs.select("box", "near", (km - around).alias("least"), (km + around).alias("most"))
+    sure = F.min("most").over(Window.partitionBy("box"))
+    return bounds.withColumn("sure", sure).filter("least <= sure").select("box", "near")
+
+
+def _rounds(targets: DataFrame, sources: DataFrame, precision: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(all pairs looked at, those that are left) of each round."""
+    levels = _levels(precision)
+    top = levels[0]
+    # The coarsest lattice is small by its definition, and so is this one row.
+    far = sources.agg(F.collect_set(_box(top)).alias("boxes")).scalar()
+    pairs = targets.select(_box(top).alias("box")).distinct().select("box", F.explode(far).alias("near"))
+    left = _pruned(pairs, top, precision)
+    yield pairs, left
+    for above, level in zip(levels, levels[1:]):
+        splits = {}
+        for name, cells in (("box", targets), ("near", sources)):
+            splits[name] = cells.select(_box(above).alias(name), _box(level).alias(f"{name}_part")).distinct()
+        pairs = left.join(splits["box"], "box").join(splits["near"], "near").select(
+            F.col("box_part").alias("box"), F.col("near_part").alias("near"))
+        left = _pruned(pairs, level, precision)
+        yield pairs, left
+
+
+def probe_counts(missing: DataFrame, donors: DataFrame, precision: int = PRECISION) -> list[int]:
+    """How many pairs of boxes each round of :func:`nearest_cells` looks at."""
+    sides = (_with_lattice(cells.select("cell").distinct(), precision) for cells in (missing, donors))
+    return [pairs.count() for pairs, _ in _rounds(*sides, precision)]
 
 
 def nearest_cells(missing: DataFrame, donors: DataFrame, precision: int = PRECISION) -> DataFrame:
     """(cell, donor, km): the nearest donor of each missing cell.
 
-    Equal distances go to the alphabetically first donor.
+    Equal distances go to the alphabetically first donor. Without donors there
+    is no row.
     """
-    rows = 1 << lattice_bits(precision)[1]
-    row_km = radians(180.0 / rows) * EARTH_RADIUS_KM
     targets = _with_lattice(missing.select("cell").distinct(), precision)
     sources = _with_lattice(donors.select("cell").distinct(), precision)
-
-    reach = F.ceil(F.col("bound_km") / F.lit(row_km)).cast("int")
-    probed = F.sequence(
-        F.greatest(F.col("row") - reach, F.lit(0)), F.least(F.col("row") + reach, F.lit(rows - 1))
-    )
-    probes = distance_bound(targets, sources, precision).select(
-        F.explode(probed).alias("at_row"), "col", "cell", "row",
-        F.lit(None).cast("struct<col:int,cell:string>").alias("donor"),
-    )
-    marks = sources.select(
-        F.col("row").alias("at_row"), "col", F.lit(None).cast("string").alias("cell"),
-        F.lit(None).cast("int").alias("row"), F.struct("col", "cell").alias("donor"),
-    )
-    # Donors come before probes of the same column, in both directions.
-    is_probe = F.col("donor").isNull()
-    in_row = Window.partitionBy("at_row")
-    rightward = in_row.orderBy("col", is_probe)
-    leftward = in_row.orderBy(F.col("col").desc(), is_probe)
-    past = (Window.unboundedPreceding, Window.currentRow)
-    # A row is a circle: beyond its end comes its other end.
-    west = F.coalesce(
-        F.last("donor", ignorenulls=True).over(rightward.rowsBetween(*past)),
-        F.max("donor").over(in_row),
-    )
-    east = F.coalesce(
-        F.last("donor", ignorenulls=True).over(leftward.rowsBetween(*past)),
-        F.min("donor").over(in_row),
-    )
-    candidates = (
-        probes.unionByName(marks)
-        .select("at_row", "row", "col", "cell", F.array(west, east).alias("near"))
-        .filter(F.col("cell").isNotNull())
-        .withColumn("near", F.explode("near"))
-        .filter(F.col("near").isNotNull())
-        .select(
-            "cell", "row", "col", "at_row",
-            F.col("near.col").alias("d_col"), F.col("near.cell").alias("donor"),
-        )
-    )
-    km = _distance("row", "col", "at_row", "d_col", precision)
-    return (
-        candidates.groupBy("cell")
-        .agg(F.min(F.struct(km.alias("km"), F.col("donor"))).alias("best"))
-        .select("cell", "best.donor", "best.km")
-    )
+    *_, (_, left) = _rounds(targets, sources, precision)
+    names = targets.select(_box(0).alias("box"), "cell"), sources.select(_box(0).alias("near"), F.col("cell").alias("donor"))
+    km = great_circle_km(*_point("box", 0, precision), *_point("near", 0, precision))
+    best = left.join(names[0], "box").join(names[1], "near").groupBy("cell").agg(
+        F.min(F.struct(km.alias("km"), F.col("donor"))).alias("best"))
+    return best.select("cell", "best.donor", "best.km")
 
 
 def complete_airports(cells: DataFrame, pairs: DataFrame, precision: int = PRECISION) -> DataFrame:

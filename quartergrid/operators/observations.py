@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,17 +37,16 @@ def airports_without_observations(observations: DataFrame, zones: DataFrame) ->
 def first_per_step(observations: DataFrame, window: GridWindow) -> DataFrame:
     """The earliest observation of each (airport, step); ties go to ``obs_id``.
 
-    Taken by a pre-aggregated minimum, not by ranking: later observations of a
-    step never leave their task.
+    Time and the whole number ``obs_id``, no two of which are equal, are folded into
+    one number. Its minimum is a hash aggregate that is combined before the
+    shuffle; one join then finds the rows that have it.
     """
-    stepped = observations.withColumn("step", step_index(F.col("ts_local"), window))
-    first = F.min_by(F.struct(*WEATHER_MEASURES, *TAGS), F.struct("ts_local", "obs_id"))
-    return (
-        stepped.filter("step >= 0")
-        .groupBy("airport", "step")
-        .agg(first.alias("obs"))
-        .select("airport", "step", "obs.*")
-    )
+    # Both signs of a long fit between two microseconds.
+    folded = F.unix_micros("ts_local").cast("decimal(20,0)") * F.lit(Decimal(1 << 64)) + F.col("obs_id").cast("decimal(20,0)")
+    stepped = observations.withColumn("step", step_index(F.col("ts_local"), window)).filter("step >= 0").select(
+        "airport", "step", folded.cast("decimal(38,0)").alias("place"), *WEATHER_MEASURES, *TAGS)
+    first = stepped.groupBy("airport", "step").agg(F.min("place").alias("place"))
+    return stepped.join(first, ["airport", "step", "place"]).drop("place")
 
 
 def fill_backward(observations: DataFrame, window: GridWindow) -> DataFrame:

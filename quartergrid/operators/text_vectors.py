@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartergrid.functions.text import token_rows
@@ -53,23 +57,124 @@ def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str, dims:
     return weighted_mean(token_vectors(texts, vectors, key, text), key, dims)
 
 
+# Parts that the list of words is cut into, for the product with their vectors.
+BLOCKS = 1024
+# Bits of an id that number the words of a block.
+PLACE_BITS = 32
+# A list of words up to so many bytes is sent to every executor; with each word goes a row of a hash table.
+DICTIONARY_BYTES, ROW_BYTES = 64 << 20, 48
+# Beyond that, a word of all texts is met in so many tasks.
+SALTS = 16
+# Cells whose sums a task holds.
+HELD_CELLS = 20_000
+
+
+def dictionary(vectors: DataFrame) -> DataFrame:
+    """(word, id): whole numbers for words, from 0 in each of a fixed number of blocks.
+
+    A word's block follows from its hash, so frequent words are dealt out evenly.
+    """
+    block = F.pmod(F.xxhash64("word"), F.lit(BLOCKS)).cast("long")
+    place = F.row_number().over(Window.partitionBy("block").orderBy("word")) - 1
+    return vectors.select("word", block.alias("block")).select(
+        "word", (F.shiftleft("block", PLACE_BITS) + place).alias("id"))
+
+
+def encoded_texts(texts: DataFrame, words: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, ids): the known tokens of each text as word ids, repeats included.
+
+    Each text is split once. The list of words is broadcast if its bytes allow it;
+    if not, it is met in salted parts, so no word is a hot key.
+    """
+    tokens = token_rows(texts, key, text)
+    size = words.agg(F.sum(F.octet_length("word") + ROW_BYTES)).first()[0] or 0
+    if size <= DICTIONARY_BYTES:
+        known = tokens.join(F.broadcast(words), "word")
+    else:
+        salted = words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        own = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
+        known = tokens.withColumn("salt", own).join(salted, ["word", "salt"])
+    return known.groupBy(key).agg(F.collect_list("id").alias("ids"))
+
+
+def block_means(weights: DataFrame, numbered: DataFrame, key: str, dims: int) -> DataFrame:
+    """(key, uses, vec) of sparse ``weights`` (key, id, weight) times ``numbered`` vectors (id, vec).
+
+    The weights of a block of words meet the vectors of the block, in a stream that
+    holds one block of vectors. A row is the weighted mean of what a task has seen of
+    a key, and its weight.
+    """
+    kinds = {key: pa.string(), "uses": pa.float64(), "vec": pa.list_(pa.float64())}
+    block, place = F.shiftright("id", PLACE_BITS), F.col("id").bitwiseAND((1 << PLACE_BITS) - 1)
+    none = F.lit(None)
+    rows = numbered.select(
+        block.alias("block"), place.alias("place"), none.cast("string").alias(key), none.cast("double").alias("weight"), "vec"
+    ).unionByName(weights.select(
+        block.alias("block"), place.alias("place"), key, "weight", none.cast("array<double>").alias("vec")))
+    # Vectors come before weights: they have no key.
+    ordered = rows.filter(F.col(key).isNotNull() | F.col("vec").isNotNull()).repartition("block").sortWithinPartitions("block", key, "place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        now, vectors = None, np.zeros((0, dims))
+
+        def taken() -> pa.RecordBatch:
+            sums = list(held.values())
+            columns = [list(held), [s[-1] for s in sums], [s[:-1] / s[-1] for s in sums]]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
+
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            for begin, end in _runs(blocks):
+                part = batch.slice(begin, end - begin)
+                if blocks[begin] != now:
+                    now, vectors = blocks[begin], np.zeros((0, dims))
+                n = part.column(2).null_count  # vectors come first
+                if n:
+                    more = part.slice(0, n).column(4).flatten().to_numpy(zero_copy_only=False).reshape(n, dims)
+                    vectors = np.vstack([vectors, more])
+                if n == part.num_rows:
+                    continue
+                part = part.slice(n)
+                weight = part.column(3).to_numpy()[:, None]
+                products = np.hstack([vectors[part.column(1).to_numpy()] * weight, weight])
+                keys = part.column(2).dictionary_encode()
+                starts = np.array([s for s, _ in _runs(keys.indices.to_numpy())])
+                names = keys.take(pa.array(starts)).to_pylist()
+                for name, total in zip(names, np.add.reduceat(products, starts)):
+                    held[name] = held[name] + total if name in held else total
+                if len(held) > HELD_CELLS:
+                    yield taken()
+                    held.clear()
+        yield taken()
+
+    return ordered.mapInArrow(run, f"{key} string, uses double, vec array<double>")
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of the runs of equal neighbours."""
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [(b, e) for b, e in zip(edges, edges[1:]) if b < e]
+
+
 def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
     """(cell, vec): mean of the description means of a cell.
 
     Every event counts once, however long its description. Means of means are
     sums of weighted words: a word of a text weighs its share of the text's
-    known words. So words meet the list of known words only, weights are summed
-    per cell and word, and vectors are joined last, at most once per cell and
-    word. Equal descriptions are tokenised once.
+    known words. Equal descriptions are tokenised once, into word ids; weights are
+    summed per cell and word; and the sparse table of weights is multiplied with
+    the vectors block by block. Vectors are stored, as they are read twice.
     """
     keyed = events.filter(F.col("description").isNotNull()).select(
-        "cell", "description", F.md5("description").alias("text_id")
+        "cell", "description", F.unhex(F.md5("description")).alias("text_id")
     )
     texts = keyed.select("text_id", "description").distinct()
     uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("n"))
-    known = token_counts(texts, "text_id", "description").join(vectors.select("word"), "word", "left_semi")
-    total = known.groupBy("text_id").agg(F.sum("uses").alias("total"))
-    shares = known.join(total, "text_id").select("text_id", "word", (F.col("uses") / F.col("total")).alias("share"))
-    weights = uses.join(shares, "text_id").groupBy("cell", "word").agg(
-        F.sum(F.col("n") * F.col("share")).alias("uses"))
-    return weighted_mean(weights.join(vectors, "word"), "cell", dims)
+    words = dictionary(vectors)
+    ids = encoded_texts(texts, words, "text_id", "description")
+    share = F.col("n") / F.size("ids")
+    weights = uses.join(ids, "text_id").select("cell", share.alias("share"), F.explode("ids").alias("id")).groupBy(
+        "cell", "id").agg(F.sum("share").alias("weight"))
+    numbered = vectors.join(words, "word").select("id", "vec")
+    return weighted_mean(block_means(weights, numbered, "cell", dims), "cell", dims)

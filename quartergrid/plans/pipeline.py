@@ -11,7 +11,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,41 +115,25 @@ def raw_grid(
     )
 
 
-def train_and_evaluate(examples: DataFrame, city: str) -> tuple[LogisticRegressionModel, DataFrame]:
-    """Model of one city and its measures on the test rows."""
-    rows = examples.filter(F.col("city") == city)
-    model = ml.fit(rows.filter("split = 'train'"))
-    return model, ml.class_metrics(ml.score(model, rows.filter("split = 'test'")))
-
-
 def city_models(examples: DataFrame, cities: tuple[config.City, ...]) -> DataFrame:
     """One row per listed city that has rows to train and to test on.
 
     (city, width, train_rows, test_rows, test_positives, accuracy, weighted_recall,
-    weighted_f1). One model per city is fitted after the other, each on all
-    executors; the driver holds the coefficients only.
+    weighted_f1). The models of all cities are fitted in the same passes over the
+    examples; the driver holds their coefficients only.
     """
-    found = None
-    for city in cities:
-        rows = examples.filter(F.col("city") == city.name)
-        counts = rows.agg(
-            F.count_if(F.col("split") == "train").alias("train_rows"),
-            F.count_if(F.col("split") == "test").alias("test_rows"),
-            F.count_if((F.col("split") == "test") & (F.col("label") > 0)).alias("test_positives"),
-        )
-        train, test, _ = counts.first()
-        if not train or not test:
-            continue
-        model, metrics = train_and_evaluate(examples, city.name)
-        row = counts.crossJoin(metrics).select(  # one row each
-            F.lit(city.name).alias("city"), F.lit(model.numFeatures).cast("long").alias("width"),
-            *counts.columns, *metrics.columns)
-        found = row if found is None else found.unionByName(row)
-    if found is None:
-        kinds = "width long, train_rows long, test_rows long, test_positives long"
-        found = examples.sparkSession.createDataFrame(
-            [], f"city string, {kinds}, accuracy double, weighted_recall double, weighted_f1 double")
-    return found
+    listed = examples.filter(F.col("city").isin([c.name for c in cities]))
+    is_test = F.col("split") == "test"
+    counts = listed.groupBy("city").agg(
+        F.count_if(F.col("split") == "train").alias("train_rows"),
+        F.count_if(is_test).alias("test_rows"),
+        F.count_if(is_test & (F.col("label") > 0)).alias("test_positives"),
+    ).filter("train_rows > 0 and test_rows > 0")
+    models = ml.fit_groups(listed.filter("split = 'train'"), "city")
+    widths = models.select("city", F.size("coefficients").cast("long").alias("width"))
+    metrics = ml.class_metrics(ml.score_groups(models, listed.filter("split = 'test'"), "city"), "city")
+    return widths.join(counts, "city").join(metrics, "city").select(
+        "city", "width", "train_rows", "test_rows", "test_positives", "accuracy", "weighted_recall", "weighted_f1")
 
 
 def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings()) -> dict[str, str]:

@@ -50,33 +50,46 @@ def read_traffic(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, cells): the cells of the first line with text of each file below ``path``."""
+    lines = spark.read.text(path).select(
+        "value", F.monotonically_increasing_id().alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"))
+    at_start = lines.filter("block = 0 and trim(value) <> ''")
+    first = at_start.groupBy("file").agg(F.min_by("value", "line").alias("value"))
+    bare = F.regexp_replace("value", "[\uFEFF\"\\r]", "")
+    return first.select("file", F.transform(F.split(bare, ","), F.trim).alias("cells"))
+
+
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """Weather text of a folder with one ``<airport>.csv`` per airport.
 
     A folder partitioned as ``airport=<code>/`` is read as well, and filters on
-    the airport prune its files. All files of a folder must have the same
-    header: one that differs stops the job, as its values would be taken for
-    others. Files with another order of columns belong in a folder of their own.
-    ``obs_id`` follows the file lines: it decides between observations of equal
-    time.
+    the airport prune its files. Each file has its columns in the order of its own
+    first line: those lines are read as data before, and say at which place of a
+    row a column is found. However many orders there are, one scan reads all files.
+    A column that a file lacks is null. ``obs_id`` numbers the lines as they are
+    read, those of a file in order: it decides between observations of equal time.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    columns = ("Date", "Hour", *OBSERVATION_FIELDS, "Events", "Conditions")
+    # One row per file, as the driver lists the files anyway.
+    headers = first_lines(spark, path).select(
+        "file", F.size("cells").alias("width"), F.array(*(F.array_position("cells", c) for c in columns)).alias("places")).collect()
+    width = max((r.width for r in headers), default=1)
+    places = spark.createDataFrame([(r.file, r.places) for r in headers], "file string, places array<long>")
+    cells = [f"_c{i}" for i in range(width)]
+    raw = spark.read.schema(", ".join(f"{c} string" for c in cells)).option("header", True).csv(path)
     airport = (
         F.col("airport").cast("string")
         if "airport" in raw.columns
         else F.regexp_replace("_metadata.file_name", r"\.csv$", "")
     )
-    return raw.select(
-        airport.alias("airport"),
-        F.struct(
-            F.col("_metadata.file_name").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("obs_id"),
-        "Date", "Hour", *OBSERVATION_FIELDS,
-        F.col("Events").alias("events"),
-        F.col("Conditions").alias("conditions"),
-    )
+    lines = raw.select(
+        airport.alias("airport"), F.monotonically_increasing_id().alias("obs_id"),
+        F.col("_metadata.file_path").alias("file"), F.array(*cells).alias("cells"))
+    found = {c: F.get("cells", (F.get("places", F.lit(i)) - 1).cast("int")) for i, c in enumerate(columns)}
+    names = {"Events": "events", "Conditions": "conditions"}
+    return lines.join(places, "file").select("airport", "obs_id", *(v.alias(names.get(c, c)) for c, v in found.items()))
 
 
 def parse_observations(text: DataFrame) -> DataFrame:

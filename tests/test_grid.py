@@ -41,6 +41,19 @@ def test_fill_takes_the_next_observed_step(spark):
                          + [("B", s, 4.0) for s in range(11)], key=repr)
 
 
+def test_first_per_step_is_a_hash_aggregate(spark):
+    rng = random.Random(8)
+    data = [(rng.choice("AB"), rng.randrange(200), float(i), 1.0, "", "") for i in range(500)]
+    obs = observations(spark, data).repartition(4)
+    first = ob.first_per_step(obs, SMALL)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "HashAggregate" in plan
+    best = {}
+    for i, (a, m, t, *_) in enumerate(data):
+        best.setdefault((a, m // 15), []).append((m, i, t))
+    assert rows(first, "airport", "step", "temperature") == sorted(((*k, min(v)[2]) for k, v in best.items() if k[1] < 12), key=repr)
+
+
 def test_weather_of_sets(spark):
     obs = observations(spark, [
         ("A", 0, 10.0, -9999.0, "Light Rain , Snow", None), ("B,1", 0, 20.0, -9999.0, "Haze", "Hail"),
@@ -90,6 +103,39 @@ def test_nearest_equals_brute_force(spark, seed, prefix):
     assert rows(got, "cell", "donor") == rows(brute_nearest(spark, missing, donors), "cell", "donor")
 
 
+def probes(spark, missing, donors):
+    """Pairs of boxes that the search looks at."""
+    as_df = lambda names: spark.createDataFrame([(n,) for n in names], "cell string")
+    return nr.probe_counts(as_df(missing), as_df(donors))
+
+
+def test_far_donors_take_few_probes(spark):
+    rng = random.Random(6)
+    donors = ["r3" + "".join(rng.choice(BASE32) for _ in range(3)) for _ in range(500)]
+    counts = probes(spark, ["9v6kp"], donors)  # on another continent, no letter in common
+    assert len(counts) == 5 and sum(counts) <= 400 and max(counts) < 200
+    near = probes(spark, ["9v6kp"], ["9v6kr", *donors])
+    assert sum(near) <= 60
+    many = sorted({"9" + "".join(rng.choice(BASE32) for _ in range(4)) for _ in range(800)})
+    assert sum(probes(spark, many[::2], many[1::2])) < 200 * len(many[::2])
+
+
+@pytest.mark.parametrize("precision", [1, 2, 3, 4, 6, 7])
+def test_nearest_at_other_precisions(spark, precision):
+    from quartergrid.functions.geohash import column_longitude, lattice_of, row_latitude
+    rng = random.Random(precision)
+    pool = sorted({"".join(rng.choice(BASE32) for _ in range(precision)) for _ in range(40)})
+    donors, missing = pool[::3], [c for i, c in enumerate(pool) if i % 3]
+    as_df = lambda names: spark.createDataFrame([(n,) for n in names], "cell string")
+    got = nr.nearest_cells(as_df(missing), as_df(donors), precision)
+    r, c = lattice_of(F.col("cell"), precision)
+    points = as_df(pool).select("cell", row_latitude(r, precision).alias("lat"), column_longitude(c, precision).alias("lng"))
+    pairs = points.filter(F.col("cell").isin(missing)).crossJoin(points.filter(F.col("cell").isin(donors)).toDF("donor", "b", "c"))
+    km = great_circle_km(F.col("lat"), F.col("lng"), F.col("b"), F.col("c"))
+    want = pairs.groupBy("cell").agg(F.min(F.struct(km.alias("km"), "donor")).alias("m")).select("cell", "m.donor")
+    assert rows(got, "cell", "donor") == rows(want)
+
+
 def test_single_far_donor(spark):
     as_df = lambda names: spark.createDataFrame([(n,) for n in names], "cell string")
     assert rows(nr.nearest_cells(as_df(["9v6kp"]), as_df(["r3gx2"])), "donor") == [("r3gx2",)]
@@ -147,6 +193,18 @@ def parts(spark):
     return held, sets, weather, grid
 
 
+def test_stretching_uses_the_whole_cluster():
+    for blocks, slots in ((2772, 8), (50_000, 8), (10**9, 4000), (3, 8), (0, 8)):
+        tasks = gr.stretch_tasks(blocks, slots)
+        assert tasks == max(1, blocks) if blocks < slots else tasks % slots == 0
+        assert blocks / tasks <= gr.BLOCKS_PER_TASK
+
+
+def test_grid_rows_are_spread(spark, parts):
+    sizes = [r["count"] for r in parts[3].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism
+
+
 def test_grid_equals_joined_grid(spark, parts):
     held, sets, weather, grid = parts
     steps = ev.registered_cells(held).withColumn(

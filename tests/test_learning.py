@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,11 +39,61 @@ def poi(spark, cells):
                                  "cell string, " + ", ".join(f"{f} int" for f in POI_FIELDS))
 
 
+def random_texts(spark, n=400):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(["the", rng.choice(words), "unknown"]) for _ in range(rng.randrange(0, 30))) for _ in range(60)]
+    events = [(f"c{rng.randrange(7)}", rng.choice([*texts, None])) for _ in range(n)]
+    table = {w: [rng.random() for _ in range(3)] for w in [*words, "the", "unused"]}
+    return events, table
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_cell_means_by_brute_force(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(tv, "DICTIONARY_BYTES", 0)
+        monkeypatch.setattr(tv, "HELD_CELLS", 2)
+        monkeypatch.setattr(tv, "BLOCKS", 5)
+    events, table = random_texts(spark)
+    want = {}
+    for cell, text in events:
+        known = [table[w] for w in (text or "").split() if w in table]
+        if known:
+            want.setdefault(cell, []).append([sum(v) / len(known) for v in zip(*known)])
+    df = spark.createDataFrame(events, "cell string, description string").repartition(4)
+    vectors = spark.createDataFrame(list(table.items()), "word string, vec array<double>")
+    got = {r.cell: r.vec for r in tv.cell_means(df, vectors, 3).collect()}
+    assert set(got) == set(want)
+    for cell, means in want.items():
+        assert got[cell] == pytest.approx([sum(v) / len(means) for v in zip(*means)])
+    assert tv.cell_means(df.filter("false"), vectors, 3).count() == 0
+    assert tv.cell_means(df, vectors.filter("false"), 3).count() == 0
+
+
+def test_dictionary_numbers_words_of_a_block(spark):
+    words = spark.createDataFrame([(f"w{i}", [1.0]) for i in range(5000)], "word string, vec array<double>")
+    ids = [r.id for r in tv.dictionary(words).collect()]
+    by_block = {}
+    for i in ids:
+        by_block.setdefault(i >> tv.PLACE_BITS, []).append(i & ((1 << tv.PLACE_BITS) - 1))
+    assert all(sorted(v) == list(range(len(v))) for v in by_block.values()) and len(by_block) > 900
+
+
 def test_poi_scaling(spark):
     got = dict(rows(ft.poi_vectors(poi(spark, ["a", "b", "c"]))))
     assert got == {"a": [0.0] * 13 + [0.5], "b": [0.5] * 14, "c": [1.0] * 13 + [0.5]}
 
 
+def test_poi_scaling_starts_no_job(spark):
+    table = poi(spark, ["a", "b", "c"])
+    group = "poi-scaling"
+    spark.sparkContext.setJobGroup(group, group)
+    scaled = ft.poi_vectors(table)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
+    assert scaled.count() == 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_cell_codes_are_dense_and_alphabetical(spark):
     names = ["9v6kp", "9v6kr", "9q5b3", "9vaaa", "dhxyz", "s0000", "9q5b2"]
     df = spark.createDataFrame([(n,) for n in names + names[:2]], "cell string")
@@ -130,6 +183,57 @@ def test_fit_and_score(spark):
     assert ml.class_metrics(scored).first().accuracy == 1.0
 
 
+def grouped_examples(spark):
+    """Three groups of other sizes and slopes, with dependent and constant features."""
+    rng = random.Random(11)
+    data = []
+    for city, n, slope in (("Austin", 900, 1.0), ("Dallas", 300, -2.0), ("Houston", 120, 0.3)):
+        for _ in range(n):
+            x, y, flag = rng.gauss(3, 2), rng.gauss(0, 40), rng.random() < 0.3
+            odds = slope * (x - 3) + 0.02 * y + (0.8 if flag else 0.0) - 0.5
+            data.append((city, [x, y, float(flag), float(not flag), 7.0, x + y], int(rng.random() < 1 / (1 + math.exp(-odds)))))
+    return spark.createDataFrame(data, "city string, feature array<double>, label int").repartition(5)
+
+
+def test_groups_are_fitted_like_one_by_one(spark):
+    df = grouped_examples(spark)
+    got = {r.city: r for r in ml.fit_groups(df, "city").collect()}
+    for city in ("Austin", "Dallas", "Houston"):
+        own = ml.fit(df.filter(F.col("city") == city), maxIter=1000, tol=1e-12)
+        assert got[city].coefficients == pytest.approx(own.coefficients.toArray().tolist(), abs=1e-4)
+        assert got[city].intercept == pytest.approx(own.intercept, abs=1e-4)
+        assert got[city].passes < 12
+    scored = ml.score_groups(ml.fit_groups(df, "city"), df, "city")
+    by_city = {r.city: r for r in ml.class_metrics(scored, "city").collect()}
+    for city, row in by_city.items():
+        one = df.filter(F.col("city") == city)
+        want = ml.class_metrics(ml.score(ml.fit(one, maxIter=1000, tol=1e-12), one)).first()
+        assert (row.accuracy, row.weighted_recall, row.weighted_f1) == pytest.approx(tuple(want))
+
+
+def test_groups_with_one_class_separable_classes_or_no_key(spark):
+    data = [("one", [1.0, float(i)], 0) for i in range(5)] + [(None, [1.0, 1.0], 1)]
+    data += [("apart", [0.0, float(i)], int(i > 9)) for i in range(20)] + [("single", [1.0, 2.0], 1)]
+    df = spark.createDataFrame(data, "city string, feature array<double>, label int").repartition(3)
+    models = ml.fit_groups(df, "city")
+    got = {r.city: r for r in models.collect()}
+    assert set(got) == {"one", "apart", "single"}
+    assert (got["one"].coefficients, got["one"].intercept) == ([0.0, 0.0], -math.inf)
+    assert (got["single"].coefficients, got["single"].intercept) == ([0.0, 0.0], math.inf)
+    scored = ml.score_groups(models, df, "city")
+    assert scored.count() == 26 and scored.filter("label != prediction").count() == 0
+    assert ml.fit_groups(df.filter("false"), "city").count() == 0
+
+
+def test_groups_are_summed_in_parts(spark, monkeypatch):
+    df = grouped_examples(spark)
+    want = rows(ml.fit_groups(df, "city"))
+    monkeypatch.setattr(ml, "SUM_ROW", 3)
+    monkeypatch.setattr(ml, "HELD_GROUPS", 1)
+    for a, b in zip(rows(ml.fit_groups(df, "city")), want):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1]) and a[2] == pytest.approx(b[2])
+
+
 def test_cell_means_at_full_width(spark):
     from quartergrid.operators import text_vectors as tv
     words = {w: [float((i * 31 + ord(w)) % 17) for i in range(100)] for w in "abcd"}

@@ -1,5 +1,7 @@
 """Raw files in, stage tables and a model out."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,13 +78,28 @@ def test_weather_files_named_by_airport(spark, tmp_path):
     assert first.temperature == 80.0
 
 
-def test_weather_files_with_other_headers_stop_the_job(spark, tmp_path):
-    names = "Date,Hour,Temp,WindChill,Humd,Pressure,Visib,WindSpeed,WindDir,Precipitation,Events,Conditions"
-    swapped = names.replace("Temp,WindChill", "WindChill,Temp")
-    for code, head in (("KA", names), ("KB", swapped)):
-        (tmp_path / f"{code}.csv").write_text(f"{head}\n2018-06-01,1:53 PM,80,70,40,29.9,10,5,N,0,,Clear\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        readers.read_observations(spark, str(tmp_path)).collect()
+def test_weather_files_with_headers_of_their_own(spark, tmp_path):
+    names = "Date,Hour,Temp,WindChill,Humd,Pressure,Visib,WindSpeed,WindDir,Precipitation,Events,Conditions".split(",")
+    row = dict(zip(names, "2018-06-01,1:53 PM,80,70,40,29.9,10,5,N,0,Hail,Clear".split(",")))
+    rng = random.Random(2)
+    orders = [names, *(rng.sample(names, len(names)) for _ in range(30))]
+    orders[3] = ["Station", "Date", *names[1:], "More"]
+    orders[4] = [c for c in names if c not in ("Events", "Humd")]
+    for i, order in enumerate(orders):
+        head = ",".join(f'"{c}"' if i == 5 else c for c in order) + ("\r" if i == 6 else "")
+        lines = [",".join(row.get(c, "x") for c in order)] * (2 + i)
+        (tmp_path / f"K{i:02}.csv").write_text("\n" * (i == 7) + "\n".join([("\uFEFF" if i == 8 else "") + head, *lines]) + "\n")
+    (tmp_path / "K99.csv").write_text("")
+    text = readers.read_observations(spark, str(tmp_path))
+    assert text._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    read = text.drop("obs_id").groupBy(*(c for c in text.columns if c != "obs_id")).count().collect()
+    assert {r.airport: r["count"] for r in read} == {f"K{i:02}": 2 + i for i in range(31)}
+    for r in read:
+        for c in names:
+            lacks = r.airport == "K04" and c in ("Events", "Humd")
+            assert c == "WindDir" or r[{"Events": "events", "Conditions": "conditions"}.get(c, c)] == (None if lacks else row[c]), (r, c)
+    rejects = readers.parse_observations(text).filter("reject is not null")
+    assert {r.airport for r in rejects.collect()} == {"K04"}
 
 
 def test_duplicates(spark):
