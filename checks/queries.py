@@ -430,7 +430,7 @@ def grid_project(spark, sf_dir):
 
 @query
 def token_vector_join(spark, sf_dir):
-    documents = si.table(spark, sf_dir, "documents")
+    documents = si.documents(spark, sf_dir)
     joined = tv.token_vectors(documents, si.word_vectors(spark, sf_dir), "doc_id", "text")
     return joined.select(
         "doc_id", "word", "uses",
@@ -440,7 +440,7 @@ def token_vector_join(spark, sf_dir):
 
 @query
 def doc_vector_mean(spark, sf_dir):
-    documents = si.table(spark, sf_dir, "documents")
+    documents = si.documents(spark, sf_dir)
     means = tv.text_means(documents, si.word_vectors(spark, sf_dir), "doc_id", "text", si.DIMS)
     return long_form(means, "doc_id", "vec")
 

@@ -81,6 +81,11 @@ def traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in many tasks: the small file is one row group, which one task reads."""
+    return table(spark, sf_dir, "documents").repartition("doc_id")
+
+
 def described_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traffic with whole documents as descriptions, every document in use."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -173,12 +178,11 @@ def poi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token without white space, with a vector from ``embeddings``."""
-    documents = table(spark, sf_dir, "documents")
     vectors = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("vec")
     )
     count = vectors.count()
-    words = documents.select(
+    words = documents(spark, sf_dir).select(
         F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")
     ).filter(~F.col("word").rlike(r"\s"))
     return (

@@ -2,22 +2,23 @@
 
 Cells lie on a lattice, whose squares are the boxes of coarser lattices up to one
 of a few hundred boxes. Pairs of boxes, one with cells that look for a donor and one
-with donors, are followed from coarse to fine. Two caps around the boxes bound the
-distance of all that is in them from below and above; a pair goes when another
-donor box is sure to be nearer. Each round splits the boxes that are left, so a
+with donors, are followed from coarse to fine. The middles of two boxes and their radii
+bound the distance of all that is in them from below and above; a pair goes when
+another donor box is sure to be nearer. Each round splits the boxes that are left, so a
 cell looks at few of them however far its donor is. The result is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import asin, cos, radians, sin, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartergrid.config import PRECISION
 from quartergrid.functions.geohash import (
-    column_longitude, great_circle_km, lattice_bits, lattice_of, row_latitude,
+    EARTH_RADIUS_KM, column_longitude, great_circle_km, lattice_bits, lattice_of, row_latitude,
 )
 
 #: Bits of the rows and columns of the coarsest lattice: at most 16 x 32 boxes.
@@ -55,22 +56,23 @@ def _point(box: str, level: int, precision: int) -> tuple[Column, Column]:
             column_longitude(_middle(F.col(f"{box}.col"), level), precision))
 
 
-def _radius(box: str, level: int, precision: int) -> Column:
-    """Distance from the middle of a box to the farthest middle of a cell in it: a corner."""
-    lat, lng = _point(box, level, precision)
-    reach = F.lit(((1 << level) - 1) / 2)
+def _radius_km(level: int, precision: int) -> float:
+    """No middle of a cell is farther from the middle of its box: half a diagonal at the equator."""
+    reach = ((1 << level) - 1) / 2
     lng_bits, lat_bits = lattice_bits(precision)
-    high, wide = reach * F.lit(180.0 / (1 << lat_bits)), reach * F.lit(360.0 / (1 << lng_bits))
-    return F.greatest(*(great_circle_km(lat, lng, lat + side * high, lng + wide) for side in (-1, 1)))
+    high, wide = radians(reach * 180.0 / (1 << lat_bits)), radians(reach * 360.0 / (1 << lng_bits))
+    return 2 * EARTH_RADIUS_KM * asin(sqrt(sin(high / 2) ** 2 + (cos(high / 2) * sin(wide / 2)) ** 2))
 
 
 def _pruned(pairs: DataFrame, level: int, precision: int) -> DataFrame:
-    """Pairs (box, near) but those with a farther ``near`` than some other of the box."""
+    """Pairs (box, near) but those with a farther ``near`` than some other of the box.
+
+    Cells of two boxes are as far apart as their middles, give or take both radii.
+    """
     km = great_circle_km(*_point("box", level, precision), *_point("near", level, precision))
-    around = _radius("box", level, precision) + _radius("near", level, precision) + SLACK_KM
-    bounds = pairs.select("box", "near", (km - around).alias("least"), (km + around).alias("most"))
-    sure = F.min("most").over(Window.partitionBy("box"))
-    return bounds.withColumn("sure", sure).filter("least <= sure").select("box", "near")
+    room = 4 * _radius_km(level, precision) + SLACK_KM
+    nearest = F.min("km").over(Window.partitionBy("box"))
+    return pairs.withColumn("km", km).withColumn("nearest", nearest).filter(F.col("km") <= F.col("nearest") + room).select("box", "near")
 
 
 def _rounds(targets: DataFrame, sources: DataFrame, precision: int) -> Iterator[tuple[DataFrame, DataFrame]]:

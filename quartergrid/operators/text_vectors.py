@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,8 +66,8 @@ PLACE_BITS = 32
 DICTIONARY_BYTES, ROW_BYTES = 64 << 20, 48
 # Beyond that, a word of all texts is met in so many tasks.
 SALTS = 16
-# Cells whose sums a task holds.
-HELD_CELLS = 20_000
+# Weights that a task gathers before it sums them; keys whose vectors it holds; a table that is multiplied at a time.
+HELD_WEIGHTS, HELD_CELLS, DENSE_CELLS = 1 << 22, 20_000, 1 << 20
 
 
 def dictionary(vectors: DataFrame) -> DataFrame:
@@ -97,22 +98,66 @@ def encoded_texts(texts: DataFrame, words: DataFrame, key: str, text: str) -> Da
     return known.groupBy(key).agg(F.collect_list("id").alias("ids"))
 
 
+def packed_weights(uses: DataFrame, key: str) -> DataFrame:
+    """(block, key, entries) from rows (ids, owners): weights of words, summed by key.
+
+    An owner is a key and ``n``, which is shared among the ids for that key. An entry
+    is the place of a word in its block and its weight. A task sums what it sees and
+    sends one row per block and key, so a key may have several rows.
+    """
+    entry = pa.struct([("place", pa.int64()), ("weight", pa.float64())])
+
+    def packed(names: dict[str, int], codes: np.ndarray, ids: np.ndarray, shares: np.ndarray) -> pa.RecordBatch:
+        block, place = ids >> PLACE_BITS, ids & ((1 << PLACE_BITS) - 1)
+        order = np.lexsort((ids, codes, block)) if len(names) >> 20 else np.argsort(block << 52 | codes << 32 | place)
+        block, codes, place = block[order], codes[order], place[order]
+        row = np.flatnonzero(_changes(block) | _changes(codes))
+        one = np.flatnonzero(_changes(block) | _changes(codes) | _changes(place))
+        values = pa.StructArray.from_arrays([pa.array(place[one]), pa.array(np.add.reduceat(shares[order], one))], fields=list(entry))
+        offsets = pa.array(np.append(np.searchsorted(one, row), len(one)).astype(np.int32))
+        known = pa.array(list(names), pa.string()).take(pa.array(codes[row]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[row]), known, pa.ListArray.from_arrays(offsets, values)], names=["block", key, "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, int] = {}
+        held: list[tuple] = []
+        total = 0
+        for batch in batches:
+            lengths, numbers = (pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in batch.columns)
+            ids, owners = (c.flatten() for c in batch.columns)
+            ids, n = ids.to_numpy(), owners.field(1).to_numpy(zero_copy_only=False)
+            text = np.repeat(np.arange(batch.num_rows), numbers)
+            sizes, begins = lengths[text].astype(np.int64), (np.cumsum(lengths) - lengths)[text]
+            for first, last in _runs(np.cumsum(sizes) // HELD_WEIGHTS):
+                some, size = slice(first, last), sizes[first:last]
+                codes = np.array([names.setdefault(k, len(names)) for k in owners.field(0).slice(first, last - first).to_pylist()], np.int64)
+                at = np.repeat(begins[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                held.append((np.repeat(codes, size), ids[at], np.repeat(n[some] / size, size)))
+                total += len(at)
+                if total > HELD_WEIGHTS:
+                    yield packed(names, *map(np.concatenate, zip(*held)))
+                    names, held, total = {}, [], 0
+        if total:
+            yield packed(names, *map(np.concatenate, zip(*held)))
+
+    return uses.select("ids", "owners").mapInArrow(
+        run, f"block long, {key} string, entries array<struct<place: long, weight: double>>")
+
+
 def block_means(weights: DataFrame, numbered: DataFrame, key: str, dims: int) -> DataFrame:
-    """(key, uses, vec) of sparse ``weights`` (key, id, weight) times ``numbered`` vectors (id, vec).
+    """(key, uses, vec) of :func:`packed_weights` times ``numbered`` vectors (id, vec).
 
     The weights of a block of words meet the vectors of the block, in a stream that
     holds one block of vectors. A row is the weighted mean of what a task has seen of
     a key, and its weight.
     """
     kinds = {key: pa.string(), "uses": pa.float64(), "vec": pa.list_(pa.float64())}
-    block, place = F.shiftright("id", PLACE_BITS), F.col("id").bitwiseAND((1 << PLACE_BITS) - 1)
-    none = F.lit(None)
-    rows = numbered.select(
-        block.alias("block"), place.alias("place"), none.cast("string").alias(key), none.cast("double").alias("weight"), "vec"
-    ).unionByName(weights.select(
-        block.alias("block"), place.alias("place"), key, "weight", none.cast("array<double>").alias("vec")))
+    block, place = F.shiftright("id", PLACE_BITS).alias("block"), F.col("id").bitwiseAND((1 << PLACE_BITS) - 1)
+    rows = weights.withColumns({"place": F.lit(None).cast("long"), "vec": F.lit(None).cast("array<double>")}).unionByName(
+        numbered.select(block, place.alias("place"), "vec"), allowMissingColumns=True)
     # Vectors come before weights: they have no key.
-    ordered = rows.filter(F.col(key).isNotNull() | F.col("vec").isNotNull()).repartition("block").sortWithinPartitions("block", key, "place")
+    ordered = rows.select("block", key, "place", "entries", "vec").repartition("block").sortWithinPartitions("block", key, "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -129,20 +174,21 @@ def block_means(weights: DataFrame, numbered: DataFrame, key: str, dims: int) ->
                 part = batch.slice(begin, end - begin)
                 if blocks[begin] != now:
                     now, vectors = blocks[begin], np.zeros((0, dims))
-                n = part.column(2).null_count  # vectors come first
+                n = part.column(1).null_count  # vectors come first
                 if n:
                     more = part.slice(0, n).column(4).flatten().to_numpy(zero_copy_only=False).reshape(n, dims)
                     vectors = np.vstack([vectors, more])
-                if n == part.num_rows:
-                    continue
-                part = part.slice(n)
-                weight = part.column(3).to_numpy()[:, None]
-                products = np.hstack([vectors[part.column(1).to_numpy()] * weight, weight])
-                keys = part.column(2).dictionary_encode()
-                starts = np.array([s for s, _ in _runs(keys.indices.to_numpy())])
-                names = keys.take(pa.array(starts)).to_pylist()
-                for name, total in zip(names, np.add.reduceat(products, starts)):
-                    held[name] = held[name] + total if name in held else total
+                step = max(1, DENSE_CELLS // max(1, len(vectors)))
+                for low in range(n, part.num_rows, step):
+                    some = part.slice(low, step)
+                    pairs = some.column(3).flatten()
+                    at, weight = (pairs.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+                    owner = np.repeat(np.arange(some.num_rows), pc.list_value_length(some.column(3)))
+                    dense = np.zeros((some.num_rows, len(vectors)))
+                    dense[owner, at] = weight
+                    totals = np.column_stack([dense @ vectors, dense.sum(axis=1)])
+                    for name, total in zip(some.column(1).to_pylist(), totals):
+                        held[name] = held[name] + total if name in held else total
                 if len(held) > HELD_CELLS:
                     yield taken()
                     held.clear()
@@ -151,10 +197,15 @@ def block_means(weights: DataFrame, numbered: DataFrame, key: str, dims: int) ->
     return ordered.mapInArrow(run, f"{key} string, uses double, vec array<double>")
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before; the first does."""
+    return np.append(True, values[1:] != values[:-1])
+
+
 def _runs(values: np.ndarray) -> list[tuple[int, int]]:
     """(begin, end) of the runs of equal neighbours."""
-    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
-    return [(b, e) for b, e in zip(edges, edges[1:]) if b < e]
+    edges = [*np.flatnonzero(_changes(values)).tolist(), len(values)] if len(values) else []
+    return list(zip(edges, edges[1:]))
 
 
 def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
@@ -163,8 +214,8 @@ def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
     Every event counts once, however long its description. Means of means are
     sums of weighted words: a word of a text weighs its share of the text's
     known words. Equal descriptions are tokenised once, into word ids; weights are
-    summed per cell and word; and the sparse table of weights is multiplied with
-    the vectors block by block. Vectors are stored, as they are read twice.
+    summed per cell and word, in each task; and the sparse table of weights is
+    multiplied with the vectors block by block. Vectors are stored, as they are read twice.
     """
     keyed = events.filter(F.col("description").isNotNull()).select(
         "cell", "description", F.unhex(F.md5("description")).alias("text_id")
@@ -173,8 +224,9 @@ def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
     uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("n"))
     words = dictionary(vectors)
     ids = encoded_texts(texts, words, "text_id", "description")
-    share = F.col("n") / F.size("ids")
-    weights = uses.join(ids, "text_id").select("cell", share.alias("share"), F.explode("ids").alias("id")).groupBy(
-        "cell", "id").agg(F.sum("share").alias("weight"))
+    owners = uses.groupBy("text_id").agg(F.collect_list(F.struct("cell", "n")).alias("owners"))  # as many as cells
+    # Few bytes and much work: not to be read in few tasks.
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weights = packed_weights(ids.join(owners, "text_id").repartition(tasks, F.xxhash64("text_id")), "cell")
     numbered = vectors.join(words, "word").select("id", "vec")
     return weighted_mean(block_means(weights, numbered, "cell", dims), "cell", dims)

@@ -53,6 +53,8 @@ def test_cell_means_by_brute_force(spark, monkeypatch, broadcast):
     if not broadcast:
         monkeypatch.setattr(tv, "DICTIONARY_BYTES", 0)
         monkeypatch.setattr(tv, "HELD_CELLS", 2)
+        monkeypatch.setattr(tv, "HELD_WEIGHTS", 50)
+        monkeypatch.setattr(tv, "DENSE_CELLS", 64)
         monkeypatch.setattr(tv, "BLOCKS", 5)
     events, table = random_texts(spark)
     want = {}
