@@ -29,19 +29,31 @@ def chrono_split(grid: DataFrame, ends: DataFrame | None = None) -> DataFrame:
     return grid.join(known, "city").withColumn("split", split).drop("last_step")
 
 
+def step_extremes(grid: DataFrame, columns=SCALED_COLUMNS) -> DataFrame:
+    """(city, step) with the least and greatest value of each column: one pass over the grid.
+
+    Small, and it tells both the last steps and, once these are known, the train ranges.
+    """
+    return grid.groupBy("city", "step").agg(
+        *(F.min(c).alias(f"{c}_least") for c in columns), *(F.max(c).alias(f"{c}_most") for c in columns))
+
+
 def train_ranges(split_grid: DataFrame, columns=SCALED_COLUMNS) -> DataFrame:
     """(city, ranges): minimum and width of each column over the train rows.
 
-    A constant column gets width 1.
+    A constant column gets width 1. Takes the grid or its :func:`step_extremes`.
     """
+    ends = {c: (f"{c}_least", f"{c}_most") if f"{c}_least" in split_grid.columns else (c, c) for c in columns}
+
     def width(c: str) -> Column:
-        span = (F.max(c) - F.min(c)).cast("double")
+        least, most = ends[c]
+        span = (F.max(most) - F.min(least)).cast("double")
         return F.when(span == 0, 1.0).otherwise(span)
 
     return (
         split_grid.filter("split = 'train'")
         .groupBy("city")
-        .agg(*(F.min(c).cast("double").alias(f"{c}_low") for c in columns),
+        .agg(*(F.min(ends[c][0]).cast("double").alias(f"{c}_low") for c in columns),
              *(width(c).alias(f"{c}_width") for c in columns))
         .select("city", F.struct(
             *(F.col(f"{c}_{part}") for c in columns for part in ("low", "width"))
@@ -143,13 +155,14 @@ def needed_rows(
 def training_examples(
     clean: DataFrame, cell_features: DataFrame, seed: int, keep_share: float = KEEP_SHARE,
     length: int = LOOKBACK, ends: DataFrame | None = None, ranges: DataFrame | None = None,
-    positives: DataFrame | None = None,
+    positives: DataFrame | None = None, dealt: bool = False,
 ) -> DataFrame:
     """(city, split, cell, step, label, feature) of all sampled examples.
 
     Only rows that a sampled row needs are shuffled, once and by cell, which
-    serves the look-back windows and the join with the features of the cell.
-    ``ends``, ``ranges`` and ``positives`` (cell, step) may be stored tables.
+    serves the look-back windows and the join with the features of the cell; none
+    if ``clean`` is a table dealt out by cell, as ``dealt`` says. ``ends``, ``ranges``
+    and ``positives`` (cell, step) may be stored tables.
     """
     split = chrono_split(clean.drop("cell_code"), ends)
     known = positives
@@ -158,8 +171,9 @@ def training_examples(
     near = needed_rows(split, known, seed, keep_share, length)
     rows = encode_hours(scale_by_train(near, ranges=train_ranges(split) if ranges is None else ranges))
     vectors = rows.select(
-        "city", "split", "cell", "step", "predicted_accident", step_vector().alias("features")
-    ).repartition("cell")
+        "city", "split", "cell", "step", "predicted_accident", step_vector().alias("features"))
+    if not dealt:
+        vectors = vectors.repartition("cell")
     kept = lookback(vectors, length, is_kept(F.col("predicted_accident"), seed, keep_share), dense=True)
     parts = ("sequence", "poi", "text")
     feature = F.concat(*parts, F.array(F.col("cell_code").cast("double")))

@@ -94,7 +94,8 @@ def stretch_tasks(blocks: int, slots: int) -> int:
 
 
 def dense_grid(
-    runs: DataFrame, places: DataFrame, weather: DataFrame, daylight: DataFrame, window: GridWindow
+    runs: DataFrame, places: DataFrame, weather: DataFrame, daylight: DataFrame, window: GridWindow,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per registered cell and step, gaps as 0.
 
@@ -104,14 +105,17 @@ def dense_grid(
     stretch. ``next_accidents`` is the accident count of the following step,
     null at the last one. ``places`` is (cell, airport_set) and any further
     columns per cell, which are carried into the grid; a stored table, as its
-    rows are counted to say in how many tasks the grid is made.
+    rows are counted to say in how many tasks the grid is made. With ``buckets`` the
+    runs are dealt out by cell into so many tasks instead, for a bucketed table.
     """
     carried = [c for c in places.columns if c not in ("cell", "airport_set")]
     total, size = window.total_steps, window.block_steps
     light = in_blocks(daylight, "city", window)
-    slots = places.sparkSession.sparkContext.defaultParallelism
-    per_cell = -(-total // size)
-    tasks = stretch_tasks(places.count() * per_cell, slots)
+    if buckets is None:
+        slots = places.sparkSession.sparkContext.defaultParallelism
+        deal = (stretch_tasks(places.count() * -(-total // size), slots), "cell", "block")
+    else:
+        deal = (buckets, "cell")
     stop = F.least(F.col("next_step"), F.lit(total))
     pieces = (
         runs.filter(F.col("step") < total)
@@ -125,7 +129,7 @@ def dense_grid(
         .join(in_blocks(weather, "airport_set", window), ["airport_set", "block"], "left")
         .join(light, ["city", "block"], "left")
         # The runs are few bytes and would be stretched in few tasks.
-        .repartition(tasks, "cell", "block")
+        .repartition(*deal)
         .withColumn("step", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)))
     )
     at = (F.col("step") - F.col("block") * size).cast("int")

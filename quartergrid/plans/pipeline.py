@@ -106,12 +106,12 @@ def set_weather(sets: DataFrame, observations: DataFrame, s: Settings) -> DataFr
 
 def raw_grid(
     spans: DataFrame, sets: DataFrame, weather: DataFrame, daylight: DataFrame,
-    codes: DataFrame, s: Settings,
+    codes: DataFrame, s: Settings, buckets: int | None = None,
 ) -> DataFrame:
     """Dense grid of an event-span table; carries the code of each cell."""
     return gr.dense_grid(
         ev.count_runs(spans, s.window), sets.join(codes, "cell", "left"), weather,
-        gr.daylight_flags(daylight, s.cities, s.window), s.window,
+        gr.daylight_flags(daylight, s.cities, s.window), s.window, buckets,
     )
 
 
@@ -188,19 +188,32 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
     stage("reject_days", gr.days_without_daylight(daylight, s.cities, s.window))
 
     codes = stage("cell_codes", ft.cell_codes(ft.usable_poi(poi), s.precision))
-    grid = stage("grid", raw_grid(spans, sets, weather, daylight, codes, s), "city")
-    clean = stage("grid_clean", gr.clean_grid(grid), "city")
+    # Look-back and features go by cell, so the grid is dealt out that way while it is
+    # still runs of steps, and stored in buckets.
+    buckets = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def bucketed(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = f"{out}/{name}"
+        return spark.table(tables.save_bucketed(df, paths[name], "cell", buckets, ("cell", "step"), "city"))
+
+    grid = bucketed("grid", raw_grid(spans, sets, weather, daylight, codes, s, buckets))
+    clean = bucketed("grid_clean", gr.clean_grid(grid))
     per_cell = stage("cell_features", ft.cell_features(cells, poi, cell_text, s.text_dims, s.precision))
-    stage("examples", training_examples(clean, per_cell, s, stage), "city", "split")
+    stage("examples", training_examples(clean, per_cell, s, stage, dealt=True), "city", "split")
     return paths
 
 
 def training_examples(
-    clean: DataFrame, per_cell: DataFrame, s: Settings, stage: Callable[..., DataFrame]
+    clean: DataFrame, per_cell: DataFrame, s: Settings, stage: Callable[..., DataFrame], dealt: bool = False,
 ) -> DataFrame:
-    """Sampled examples; ``stage`` stores a small table and reads it back."""
-    ends = stage("city_ends", ex.last_steps(clean))
-    ranges = stage("city_ranges", ex.train_ranges(ex.chrono_split(clean, ends)))
+    """Sampled examples; ``stage`` stores a small table and reads it back.
+
+    ``dealt`` says that ``clean`` is dealt out by cell. One pass over it tells where
+    cities end and the ranges of their columns, another where accidents are.
+    """
+    extremes = stage("step_extremes", ex.step_extremes(clean))
+    ends = ex.last_steps(extremes)
+    ranges = ex.train_ranges(ex.chrono_split(extremes, ends))
     positives = stage("positives", clean.filter("predicted_accident > 0").select("cell", "step"))
     return ex.training_examples(
-        clean, per_cell, s.seed, s.keep_share, s.lookback, ends, ranges, positives)
+        clean, per_cell, s.seed, s.keep_share, s.lookback, ends, ranges, positives, dealt)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,20 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_bucketed(df: DataFrame, path: str, key: str, buckets: int, sort: tuple[str, ...], *partition_by: str) -> str:
+    """Write a stage table in buckets of ``key``, sorted, and return its table name.
+
+    The files below ``path`` are parquet like those of :func:`save`. Read by the name,
+    Spark knows how they are dealt out: windows and joins by ``key`` move nothing.
+    ``df`` should come dealt out by ``repartition(buckets, key)`` or from such a table;
+    otherwise every task writes to every bucket.
+    """
+    name = f"stage_{uuid4().hex}"
+    writer = df.write.bucketBy(buckets, key).sortBy(*sort).option("path", path).mode("overwrite").format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    return name
+
+
 def published(name: str) -> str:
     return PUBLISHED_NAMES.get(name, name)
 

@@ -9,6 +9,7 @@ from quartergrid.operators import examples as ex
 from quartergrid.operators import features as ft
 from quartergrid.operators import model as ml
 from quartergrid.operators import text_vectors as tv
+from quartergrid.sources import tables
 from tests.conftest import rows
 
 
@@ -160,6 +161,33 @@ def test_needed_rows_give_the_same_sequences(spark, keep_share):
     assert rows(ex.lookback(near, 8, chosen, dense=True), *cols) == rows(ex.lookback(one, 8).filter(chosen), *cols)
 
 
+def test_lookback_over_a_table_dealt_by_cell_moves_nothing(spark, tmp_path):
+    source = series(spark, 60).drop("features").withColumn("v", F.col("step") * 1.0)
+    name = tables.save_bucketed(source.repartition(3, "cell"), f"{tmp_path}/grid", "cell", 3, ("cell", "step"), "city")
+    try:
+        stored = spark.table(name).withColumn("features", F.array("v"))
+        found = ex.lookback(stored, 8, ex.is_kept(F.col("predicted_accident"), 1, 0.2))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" in plan
+        want = ex.lookback(source.withColumn("features", F.array("v")), 8, ex.is_kept(F.col("predicted_accident"), 1, 0.2))
+        cols = ("cell", "split", "step", "sequence")
+        assert rows(found, *cols) == rows(want, *cols)
+        assert spark.read.parquet(f"{tmp_path}/grid").count() == source.count()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_ranges_from_step_extremes(spark):
+    rng = random.Random(4)
+    data = [(c, f"c{i}", s, rng.random(), float(rng.randrange(5))) for c in ("Austin", "Dallas") for i in range(3) for s in range(13)]
+    df = spark.createDataFrame(data, "city string, cell string, step long, v double, k double")
+    extremes = ex.step_extremes(df, ("v", "k"))
+    ends = ex.last_steps(extremes)
+    assert rows(ends) == rows(ex.last_steps(df))
+    got = ex.train_ranges(ex.chrono_split(extremes, ends), ("v", "k"))
+    assert rows(got) == rows(ex.train_ranges(ex.chrono_split(df), ("v", "k")))
+
+
 def test_sampling_keeps_positives_and_the_share(spark):
     df = spark.range(20000).select(
         F.lit("c").alias("cell"), F.col("id").alias("step"), (F.col("id") % 100 == 0).cast("int").alias("predicted_accident"))
