@@ -9,6 +9,7 @@ sequences get equal hashes wherever they stand; no Python loop sees a word.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -31,34 +32,45 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-_POWERS: dict[int, np.ndarray] = {}
+#: Powers are tabled for so many places; those beyond are products of two.
+PLACE_BITS = 16
 
 
-def _powers(base: int, size: int) -> np.ndarray:
-    """The first powers of ``base``; one table per base is kept and grown."""
-    held = _POWERS.get(base)
-    if held is None or len(held) < size:
-        held = np.full(1 << max(12, int(size).bit_length()), base, _U)
-        held[0] = 1
-        held = _POWERS[base] = np.multiply.accumulate(held)
-    return held[:size]
+@lru_cache(maxsize=32)
+def _powers(base: int, size: int = 1 << PLACE_BITS) -> np.ndarray:
+    """The first powers of ``base``."""
+    held = np.full(size, base, _U)
+    held[0] = 1
+    return np.multiply.accumulate(held)
 
 
-def _tables(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the seed's base and of its inverse."""
-    base = _odd(seed)
-    return _powers(base, size), _powers(pow(base, -1, 1 << 64), size)
+class Powers:
+    """Powers of a base at any places, from a table of fixed size and one number per table length."""
 
+    def __init__(self, base: int, size: int) -> None:
+        self.low = _powers(base)
+        self.high = np.full((size >> PLACE_BITS) + 1, pow(base, 1 << PLACE_BITS, 1 << 64), _U)
+        self.high[0] = 1
+        self.high = np.multiply.accumulate(self.high)
 
-def sums(values: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums that :func:`ranges` takes differences of."""
-    up, down = _tables(seed, len(values) + 1)
-    total = np.zeros(len(values) + 1, _U)
-    np.cumsum(values * up[:-1], out=total[1:])
-    return total, down
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return self.low[at & ((1 << PLACE_BITS) - 1)] * self.high[at >> PLACE_BITS]
 
 
-def ranges(table: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def sums(values: np.ndarray, seed: int) -> tuple[np.ndarray, Powers]:
+    """Running sums that :func:`ranges` takes differences of."""
+    base, size = _odd(seed), len(values) + 1
+    up = Powers(base, size)
+    total = np.zeros(size, _U)
+    for at in range(0, len(values), 1 << PLACE_BITS):  # block by block: memory beyond the result is of fixed size
+        part = values[at : at + (1 << PLACE_BITS)] * up.high[at >> PLACE_BITS]
+        out = total[at + 1 : at + 1 + len(part)]
+        np.cumsum(part * up.low[: len(part)], out=out)
+        out += total[at]
+    return total, Powers(pow(base, -1, 1 << 64), size)
+
+
+def ranges(table: tuple[np.ndarray, Powers], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the values from ``start`` to before ``end`` of each range."""
     total, down = table
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
