@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import pyarrow as pa
@@ -46,6 +47,25 @@ def of_checked_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What runs meanwhile sends fewer rows at a time to Python.
+
+    Batches are buffered several times, in and beside the heap of an executor and in
+    its workers; rows are whole texts.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null gives no bytes."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

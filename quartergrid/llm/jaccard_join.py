@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, of_checked_size, staged, text_bytes
+from quartergrid.llm.common import arrow_map, of_checked_size, sliced, small_batches, staged, text_bytes
 from quartergrid.llm.components import components
 from quartergrid.llm.hashing import Words, batches, ranges, sums
 
@@ -30,6 +30,8 @@ from quartergrid.llm.hashing import Words, batches, ranges, sums
 RARITY_BITS = 18
 #: Cells of a set's profile for the suffix filter.
 PROFILE_CELLS = 128
+#: Sets that a task remembers to have sent.
+SENT_SETS = 200_000
 _NO_WORDS = 0
 
 
@@ -104,35 +106,47 @@ def rarity(counted: DataFrame) -> np.ndarray:
 
 
 def prefix_entries(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(token, set_key, n, place): the prefix of each document's ordered set."""
+    """(token, set_key, n, place): the prefix of the ordered set of each document.
+
+    A task leaves out the sets that it has sent of late, so copies of a document cost
+    one entry per task however many there are; what is left of them is one row after
+    the next shuffle.
+    """
     known = docs.sparkSession.sparkContext.broadcast(counts)
+    types = {"token": pa.int64(), "set_key": pa.int64(), "n": pa.int32(), "place": pa.int32()}
+
+    def prefix(s: np.ndarray) -> np.ndarray:
+        """Places in ``s`` of its rarest shingles, by (count, hash); s is sorted, so ties keep that order."""
+        n = len(s)
+        long = n - -(-percent * n // 100) + 1
+        rare = known.value[_cell(s)]
+        if long >= n:
+            return np.argsort(rare, kind="stable")[:long]
+        near = np.flatnonzero(rare <= np.partition(rare, long - 1)[long - 1])
+        return near[np.argsort(rare[near], kind="stable")][:long]
 
-    def each(batch: pa.RecordBatch) -> Iterator[dict]:
-        tokens, keys, sizes, places = [], [], [], []
-        for _, s in _sets(text_bytes(batch.column(0)), size):
-            n = len(s)
-            if not n:
-                continue
-            long = n - -(-percent * n // 100) + 1
-            rare = known.value[_cell(s)]
-            if long < n:  # the least by (count, hash); s is sorted, so ties keep that order
-                edge = np.partition(rare, long - 1)[long - 1]
-                near = np.flatnonzero(rare <= edge)
-                order = near[np.argsort(rare[near], kind="stable")][:long]
-            else:
-                order = np.argsort(rare, kind="stable")[:long]
-            tokens.append(s[order])
-            keys.append(np.full(len(order), _set_key(s)))
-            sizes.append(np.full(len(order), n))
-            places.append(np.arange(len(order)))
-        if tokens:
-            yield {"token": np.concatenate(tokens).view(np.int64), "set_key": np.concatenate(keys),
-                   "n": np.concatenate(sizes), "place": np.concatenate(places)}
-
-    return arrow_map(
-        docs.select("text"), each, "token long, set_key long, n int, place int",
-        token=pa.int64(), set_key=pa.int64(), n=pa.int32(), place=pa.int32(),
-    )
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in sliced(found):
+            tokens, keys, sizes, places = [], [], [], []
+            for _, s in _sets(text_bytes(batch.column(0)), size):
+                key = _set_key(s) if len(s) else None
+                if key is None or key in sent:
+                    continue
+                if len(sent) >= SENT_SETS:
+                    sent.clear()
+                sent.add(key)
+                order = prefix(s)
+                tokens.append(s[order])
+                keys.append(np.full(len(order), key))
+                sizes.append(np.full(len(order), len(s)))
+                places.append(np.arange(len(order)))
+            if tokens:
+                columns = np.concatenate(tokens).view(np.int64), *map(np.concatenate, (keys, sizes, places))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types.values())], names=list(types))
+
+    return docs.select("text").mapInArrow(run, "token long, set_key long, n int, place int")
 
 
 def _needed(a: Column, b: Column, percent: int) -> Column:
@@ -265,13 +279,14 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     doc_id reachable over links. Texts are taken whole, lower-cased in A-Z only.
     A text of fewer than ``size`` words has one shingle, the whole; null, empty
     and blank texts have none and are their own component. Equal sets are one
-    set, so copies cost one entry. Repeated rows give repeated results. A row
+    set, so copies cost one entry per task. Repeated rows give repeated results. A row
     without doc_id is in the component of an equal set of a document with one, else
     alone, without a name. Other columns are ignored; an empty table gives an empty
     table.
     """
-    counted = staged(shingle_sets(docs, size), "shingles")
-    _, classes = similar_sets(docs, counted, size, percent)
+    with small_batches(docs.sparkSession):
+        counted = staged(shingle_sets(docs, size), "shingles")
+        _, classes = similar_sets(docs, counted, size, percent)
     rows = counted.filter("n_shingles is not null").select("doc_id", "n_shingles", "set_key")
     rooted = rows.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least")).join(
         classes.withColumnRenamed("node", "set_key"), "set_key", "left",
