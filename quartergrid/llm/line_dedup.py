@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from quartergrid.llm.common import arrow_map, of_checked_size, sliced, staged, text_bytes
 from quartergrid.llm.hashing import Words, batches, mix, ranges, sums
 
+#: Words from which on lines are compared, and compared with an edit, unless a caller says otherwise.
 MIN_WORDS = 5
 MIN_WORDS_EDITED = 8
 
@@ -79,8 +80,8 @@ def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, n, h, g, keys) of all lines of at least MIN_WORDS words.
+def line_table(docs: DataFrame, min_words: int = MIN_WORDS, min_words_edited: int = MIN_WORDS_EDITED) -> DataFrame:
+    """(doc_id, line, n, h, g, keys) of all lines of at least ``min_words`` words.
 
     ``h`` and ``g`` together name the words of a line; ``keys`` of its halves are
     null for lines too short to be compared with an edit.
@@ -89,9 +90,9 @@ def line_table(docs: DataFrame) -> DataFrame:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for begun, texts in batches(text_bytes(batch.column(1))):
             lines = _Lines(texts)
-            at = np.flatnonzero(lines.n >= MIN_WORDS)
+            at = np.flatnonzero(lines.n >= max(1, min_words))
             again = ranges(sums(lines.words, 5), lines.start[at], lines.end[at])
-            short = lines.n[at] < MIN_WORDS_EDITED
+            short = lines.n[at] < min_words_edited
             keys = {f"k{i}": pa.array(_signed(k), mask=short) for i, k in enumerate(lines.half_keys(at))}
             yield {"doc_id": ids[begun + lines.owner[at]], "line": lines.number[at], "n": lines.n[at],
                    "h": _signed(lines.hash(lines.start[at], lines.end[at])), "g": _signed(again)} | keys
@@ -198,7 +199,10 @@ def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, goes: DataFrame) -> DataFrame:
-    """Documents with n_lines, n_removed, kept_text and its hash; ``goes`` has (doc_id, n, h)."""
+    """Documents with n_lines, n_removed, kept_text and its hash; ``goes`` has (goes_id, goes).
+
+    Only documents that lose a line are dealt out; the others stay where they are.
+    """
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(found):
             counts, removed, kept_texts, digests = [], [], [], []
@@ -218,29 +222,36 @@ def _without(docs: DataFrame, goes: DataFrame) -> DataFrame:
                 names=[*names, "n_lines", "n_removed", "kept_text", "kept_sha256"])
 
     names = [c for c in docs.columns if c != "text"]
-    joined = docs.join(goes, F.col("doc_id").cast("long") == F.col("goes_id"), "left")
-    rows = joined.select(*(F.col(f"`{c}`") for c in names), "text", "goes")
+    ids = of_checked_size(staged(goes.select(F.col("goes_id").alias("touched_id")), "touched"))
+    of_id = F.col("doc_id").cast("long") == F.col("touched_id")
+    touched = docs.join(ids, of_id, "left_semi").join(goes, F.col("doc_id").cast("long") == F.col("goes_id"))
+    rows = touched.select(*(F.col(f"`{c}`") for c in names), "text", "goes")
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-2])
-    return rows.mapInArrow(run, schema + ", n_lines long, n_removed long, kept_text string, kept_sha256 string")
+    changed = rows.mapInArrow(run, schema + ", n_lines long, n_removed long, kept_text string, kept_sha256 string")
+    whole = docs.join(ids, of_id, "left_anti").select(
+        *(F.col(f"`{c}`") for c in names), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept_text"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return whole.withColumn("n_lines", F.when(F.col("kept_text").isNull(), 0).otherwise(F.col("n_lines")).cast("long")).unionByName(changed)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_edited: int = MIN_WORDS_EDITED) -> DataFrame:
     """Every document with its other columns and (n_lines, n_removed, kept_text, kept_sha256).
 
     Lines are what ``\\n`` separates; their words stand between ASCII white space
     and are compared lower-cased in A-Z. A line goes when an earlier line, by
-    doc_id and then by its place, has the same words, or, if both have at least 8
+    doc_id and then by its place, has the same words, or, if both have at least ``min_words_edited``
     words, differs in one word that is inserted, deleted or replaced. Lines of
-    fewer than 5 words stay. All is judged on the input. A null text has no lines
+    fewer than ``min_words`` words, and those without a word, stay. All is judged on the input. A null text has no lines
     and stays null; an empty text is one empty line. A row without doc_id is
     before and after no other and loses nothing. Rows that repeat a doc_id share
     its lines by number: a line goes from all of them or from none. Columns called
     like a result are replaced; an empty table gives an empty table.
     """
-    docs = docs.drop("n_lines", "n_removed", "kept_text", "kept_sha256", "goes", "goes_id")
+    docs = docs.drop("n_lines", "n_removed", "kept_text", "kept_sha256", "goes", "goes_id", "touched_id")
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
         "doc_id is not null and text is not null")
-    lines = staged(line_table(known), "lines")
+    lines = staged(line_table(known, min_words, min_words_edited), "lines")
     distinct = staged(lines.groupBy("h", "g").agg(
         _earliest(), *(F.min(k).alias(k) for k in ("k0", "k1", "k2", "k3"))), "distinct_lines")
     near = staged(_near_earlier(known, distinct), "near").withColumn("near", F.lit(True))
@@ -248,4 +259,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     goes = lines.select("doc_id", "line", "h", "g").join(fates, ["h", "g"]).filter(
         F.coalesce("near", F.lit(False)) | (F.struct("doc_id", "line") != F.col("first")))
     listed = goes.groupBy(F.col("doc_id").alias("goes_id")).agg(F.collect_set("line").alias("goes"))
-    return _without(docs, listed)
+    return _without(docs, staged(listed, "goes"))

@@ -5,15 +5,15 @@ from quartergrid.llm.line_dedup import dedup_lines, one_edit
 from .cases import awkward, by_id, docs, prose
 
 
-def brute(texts):
+def brute(texts, least=5):
     seen, out = [], {}
     for doc_id, t in sorted(texts):
         kept = []
         for line in t.split("\n"):
             w = [x.encode() for x in line.lower().split()]
-            again = len(w) >= 5 and any(
+            again = len(w) >= least and any(
                 w == s or (min(len(w), len(s)) >= 8 and one_edit(w, s)) for s in seen)
-            if len(w) >= 5:
+            if len(w) >= least:
                 seen.append(w)
             if not again:
                 kept.append(line)
@@ -21,6 +21,13 @@ def brute(texts):
     return out
 
 
+def test_lines_of_any_length(spark):
+    texts = [(1, "注意事项\nplain words of the first one here\n\nok"), (2, "注意事项\nok\n\nanother line that is long enough now"), (3, "OK\n \n\t")]
+    got = {r["doc_id"]: r["kept_text"] for r in dedup_lines(docs(spark, texts), 1).collect()}
+    assert got == brute(texts, 1)
+    assert got[2] == "\nanother line that is long enough now" and got[3] == " \n\t"
+
+
 def test_one_edit():
     a = b"a b c d".split()
     assert one_edit(a, a) and one_edit(a, b"a b c".split()) and one_edit(a, b"x b c d".split())
