@@ -5,7 +5,7 @@ occurs, so of its shingles one, the rarest in the corpus, must be found: with a
 containment of 1 the necessary prefix is a single token. Documents give the
 places of all item shingles in one pass; the counts of these order the shingles.
 Places of rarest shingles that leave room for the window before and after them
-are verified word by word.
+are verified against all words of the window.
 """
 
 from __future__ import annotations
@@ -32,13 +32,19 @@ def _shingle(size: int, *parts: Column) -> Column:
     return F.xxhash64(F.lit(size), *parts[:size])
 
 
-def _shingles(rows: DataFrame, size: int, *carried: str) -> DataFrame:
-    """(carried, place, shingle) of every run of ``size`` of the column ``words``."""
+def _shingles(rows: DataFrame, sizes: list[int], *carried: str) -> DataFrame:
+    """(carried, place, size, shingle) of every run of each of ``sizes`` words of the column ``words``."""
     shifted = [F.col("words").alias("w1")] + [
-        F.slice("words", k, F.greatest(F.size("words"), F.lit(1))).alias(f"w{k}") for k in range(2, size + 1)]
+        F.slice("words", k, F.greatest(F.size("words"), F.lit(1))).alias(f"w{k}") for k in range(2, max(sizes) + 1)]
     each = rows.select(*carried, F.posexplode(F.arrays_zip(*shifted)).alias("place", "run"))
-    parts = [F.col(f"run.w{k}") for k in range(1, size + 1)]
-    return each.filter(parts[-1].isNotNull()).select(*carried, "place", _shingle(size, *parts).alias("shingle"))
+    runs = [
+        F.when(F.col(f"run.w{size}").isNotNull(), F.struct(
+            F.lit(size).alias("size"), _shingle(size, *(F.col(f"run.w{k}") for k in range(1, size + 1))).alias("shingle")))
+        for size in sizes
+    ]
+    if len(runs) > 1:
+        return each.select(*carried, "place", F.inline(F.array_compact(F.array(*runs))))
+    return each.select(*carried, "place", runs[0].alias("r")).filter("r is not null").select(*carried, "place", "r.size", "r.shingle")
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -52,16 +58,17 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
         "window_id", F.md5(F.array_join("words", " "))).distinct()
 
 
-def _matches(texts: DataFrame, shingles: DataFrame) -> DataFrame:
-    """(text_id, n, size, place, shingle): where item shingles stand in the texts."""
-    sizes = [r[0] for r in shingles.select("size").distinct().collect()]  # 1 to SHINGLE
-    found = None
-    for size in sorted(sizes):
-        wanted = staged(shingles.filter(F.col("size") == size).select("shingle").distinct(), "item_shingles")
-        places = _shingles(texts, size, "text_id", "n").join(of_checked_size(wanted), "shingle")
-        part = places.select("text_id", "n", F.lit(size).alias("size"), "place", "shingle")
-        found = part if found is None else found.unionByName(part)
-    return found
+def _matches(texts: DataFrame, shingles: DataFrame) -> DataFrame | None:
+    """(text_id, n, size, place, shingle): where item shingles stand in the texts.
+
+    Equal texts give equal rows, which are one row after a sum in their tasks.
+    """
+    sizes = sorted(r[0] for r in shingles.select("size").distinct().collect())  # 1 to SHINGLE
+    if not sizes:
+        return None
+    wanted = staged(shingles.select("size", "shingle").distinct(), "item_shingles")
+    places = _shingles(texts, sizes, "text_id", "n").join(of_checked_size(wanted), ["size", "shingle"])
+    return places.select("text_id", "n", "size", "place", "shingle").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -80,8 +87,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     parts = None
     for size in range(1, SHINGLE + 1):
         fits = F.size("words") >= size if size == SHINGLE else F.size("words") == size
-        part = _shingles(distinct.filter(fits), size, "window_id").select(
-            "window_id", F.lit(size).alias("size"), "place", "shingle")
+        part = _shingles(distinct.filter(fits), [size], "window_id")
         parts = part if parts is None else parts.unionByName(part)
     shingles = staged(parts, "window_shingles")
 
@@ -99,15 +105,19 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         F.min(F.struct(F.coalesce("hits", F.lit(0)).alias("hits"), "size", "shingle", "place")).alias("p"))
     prefix = staged(rarest.filter("p.hits > 0").join(distinct, "window_id").select(
         F.col("p.size").alias("size"), F.col("p.shingle").alias("shingle"), F.col("p.place").alias("inside"),
-        "window_id", F.size("words").alias("k"), F.array_join("words", " ").alias("needed")), "prefixes")
+        "window_id", F.size("words").alias("k")), "prefixes")
     start = F.col("place") - F.col("inside")
     near = found.join(prefix, ["size", "shingle"]).withColumn("start", start).filter(
         (F.col("start") >= 0) & (F.col("start") + F.col("k") <= F.col("n")))
     candidates = staged(near.groupBy("text_id").agg(
-        F.collect_set(F.struct("start", "k", "needed", "window_id")).alias("tries")), "candidates")
-
-    same = F.filter("tries", lambda c: F.array_join(F.slice("words", c["start"] + 1, c["k"]), " ") == c["needed"])
-    verified = split.drop("n").join(candidates, "text_id").select("text_id", same.alias("hits")).filter(
+        F.collect_set(F.struct("start", "k", "window_id")).alias("tries")), "candidates")
+
+    # Few texts have a candidate: only those leave their place. A window is known by
+    # the hash of its words.
+    few = of_checked_size(candidates.select("text_id"))
+    tried = split.drop("n").join(few, "text_id", "left_semi").join(candidates, "text_id")
+    here = lambda c: F.md5(F.array_join(F.slice("words", c["start"] + 1, c["k"]), " "))
+    verified = tried.select("text_id", F.filter("tries", lambda c: here(c) == c["window_id"]).alias("hits")).filter(
         F.size("hits") > 0)
     covered = F.transform("hits", lambda c: F.sequence(c["start"], c["start"] + c["k"] - 1))
     hits = staged(verified.select(
