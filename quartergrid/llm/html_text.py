@@ -47,45 +47,75 @@ LEFT_OUT_WORDS = frozenset(
     "promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe toolbar widget widgets".split())
 
+#: Words that make a class the state of an element and not its role: with-sidebar, no-comments.
+STATE_WORDS = frozenset("no not with without has enabled disabled open closed off on show hide".split())
+#: Elements that may hold the text although a word of theirs says otherwise, and what never does.
+TEXT_TAGS = frozenset(("article", "main"))
+TEXT_WORDS = frozenset("article body content entry main page post story text".split())
+READER_WORDS = frozenset("comment comments disqus replies reply respond".split())
+SHOWN, DOUBTFUL, HIDDEN = range(3)
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_BLANK = re.compile(r"[\x20\x09-\x0D]+")
+_BLANK = re.compile(r"\s+")
 
 
 @lru_cache(maxsize=4096)
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """(tag with its classes, numbers generalised; whether the element is left out)."""
+def _label(tag: str, attributes: str) -> tuple[str, int]:
+    """(tag with its classes, numbers generalised; SHOWN, DOUBTFUL or HIDDEN).
+
+    An element is hidden by its tag, or by a word of its class, id or role unless
+    that is a state. It is doubtful, to be shown if most text of the page is in it,
+    if tag or words also call it the text.
+    """
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(attributes)} if attributes else {}
-    named = " ".join(found.values())
-    left_out = tag in LEFT_OUT or any(w.lower() in LEFT_OUT_WORDS for w in _WORD.findall(named))
     classes = sorted(set(re.sub(r"\d+", "#", found.get("class", "")).split()))
-    return ".".join([tag, *classes]), left_out and tag not in ("html", "body")
+    label = ".".join([tag, *classes])
+    if tag in ("html", "body"):
+        return label, SHOWN
+    if tag in LEFT_OUT:
+        return label, HIDDEN
+    names = [{w.lower() for w in _WORD.findall(name)} for value in found.values() for name in value.split()]
+    against = [words for words in names if words & LEFT_OUT_WORDS and not words & STATE_WORDS]
+    if not against:
+        return label, SHOWN
+    called_text = tag in TEXT_TAGS or any(words & TEXT_WORDS for words in names)
+    return label, DOUBTFUL if called_text and not any(words & READER_WORDS for words in against) else HIDDEN
 
 
 class _Page:
-    """The text blocks of a page with the paths of the containers around them."""
+    """The text blocks of a page and the tree of the containers around them.
+
+    Containers and doubtful elements are numbered as they open; each knows the one
+    around it, so a block is a text and one number, however deep it stands.
+    """
 
     def __init__(self, html: str) -> None:
         self.html = html
-        self.open: list[tuple[str, bool]] = []  # tag, left out
-        self.around: list[int] = []  # paths of the open containers
+        self.open: list[tuple[str, bool, bool]] = []  # tag, hidden, numbered
         self.paths: list[int] = [0]
         self.count: Counter[str] = Counter()
         self.hidden = 0
         self.text: list[str] = []
         self.linked = 0
-        #: (text, characters in links, paths of containers from the outermost in)
-        self.blocks: list[tuple[str, int, tuple[int, ...]]] = []
+        #: Of each numbered element: the one around it, its path if it is a container, whether it is in doubt.
+        self.around: list[int] = [-1]
+        self.path: list[int | None] = [None]
+        self.doubtful: list[bool] = [False]
+        self.here = [0]
+        #: (text, characters in links, number of the innermost element)
+        self.blocks: list[tuple[str, int, int]] = []
         self._read()
+        self._drop_doubtful()
 
     def _flush(self) -> None:
         if self.text:
-            text = _BLANK.sub(" ", unescape("".join(self.text))).strip(" ")
+            text = _BLANK.sub(" ", unescape("".join(self.text))).strip()
             if text:
-                self.blocks.append((text, self.linked, tuple(self.around)))
+                self.blocks.append((text, min(self.linked, len(text)), self.here[-1]))
             self.text, self.linked = [], 0
 
     def _add(self, text: str) -> None:
@@ -94,13 +124,40 @@ class _Page:
             if self.count["a"]:
                 self.linked += len(text)
 
+    def _push(self, tag: str, attributes: str) -> None:
+        label, state = _label(tag, attributes)
+        self.count[tag] += 1
+        self.hidden += state == HIDDEN
+        self.paths.append(xxhash.xxh64_intdigest(label, seed=self.paths[-1]))
+        numbered = tag in CONTAINERS or state == DOUBTFUL
+        self.open.append((tag, state == HIDDEN, numbered))
+        if numbered:
+            self.around.append(self.here[-1])
+            self.path.append(self.paths[-1] if tag in CONTAINERS else None)
+            self.doubtful.append(state == DOUBTFUL)
+            self.here.append(len(self.around) - 1)
+
     def _pop(self) -> None:
-        tag, left_out = self.open.pop()
+        tag, hidden, numbered = self.open.pop()
         self.paths.pop()
         self.count[tag] -= 1
-        self.hidden -= left_out
-        if tag in CONTAINERS:
-            self.around.pop()
+        self.hidden -= hidden
+        if numbered:
+            self.here.pop()
+
+    def _drop_doubtful(self) -> None:
+        """Keep the blocks of doubtful elements only if most text that is no link is there."""
+        if not any(self.doubtful):
+            return
+        plain = [0] * len(self.around)
+        for text, linked, at in self.blocks:
+            plain[at] += len(text) - linked
+        for at in range(len(plain) - 1, 0, -1):  # elements come after what is around them
+            plain[self.around[at]] += plain[at]
+        shown = [True] * len(plain)
+        for at in range(1, len(plain)):
+            shown[at] = shown[self.around[at]] and (not self.doubtful[at] or 2 * plain[at] > plain[0])
+        self.blocks = [b for b in self.blocks if shown[b[2]]]
 
     def _close(self, tags: set[str] | frozenset[str], scope: set[str] | frozenset[str] = frozenset()) -> None:
         """End the nearest open element of ``tags``, unless one of ``scope`` is nearer.
@@ -112,7 +169,7 @@ class _Page:
         for i in range(len(self.open) - 1, -1, -1):
             tag = self.open[i][0]
             if tag in tags:
-                if any(t in BLOCK for t, _ in self.open[i:]):
+                if any(t in BLOCK for t, *_ in self.open[i:]):
                     self._flush()
                 while len(self.open) > i:
                     self._pop()
@@ -132,13 +189,7 @@ class _Page:
             self._close(*CLOSES[tag])
         if tag in VOID:
             return
-        label, left_out = _label(tag, attributes)
-        self.open.append((tag, left_out))
-        self.count[tag] += 1
-        self.hidden += left_out
-        self.paths.append(xxhash.xxh64_intdigest(label, seed=self.paths[-1]))
-        if tag in CONTAINERS:
-            self.around.append(self.paths[-1])
+        self._push(tag, attributes)
 
     def _read(self) -> None:
         html, at, end = self.html, 0, len(self.html)
@@ -170,18 +221,30 @@ class _Page:
     def best(self) -> tuple[int, int] | None:
         """(score, path) of the best container; the one met first among equals."""
         scores: dict[int, int] = {}
-        for text, linked, around in self.blocks:
-            own = len(text) - 2 * min(linked, len(text))
-            for share, path in zip((4, 2, 1), around[::-1]):
-                scores[path] = scores.get(path, 0) + share * own
+        for text, linked, at in self.blocks:
+            shares = iter((4, 2, 1))
+            while at >= 0:
+                if self.path[at] is not None:
+                    share = next(shares, 0)
+                    if not share:
+                        break
+                    scores[self.path[at]] = scores.get(self.path[at], 0) + share * (len(text) - 2 * linked)
+                at = self.around[at]
         top = max(scores, key=scores.__getitem__, default=None)
         return None if top is None or scores[top] <= 0 else (scores[top], top)
 
+    def _inside(self, path: int | None) -> list[str]:
+        """The blocks in containers of a path."""
+        inside = [False] * len(self.around)
+        for at in range(1, len(inside)):
+            inside[at] = inside[self.around[at]] or path is not None and self.path[at] == path
+        return [text for text, _, at in self.blocks if inside[at]]
+
     def text_of(self, path: int | None) -> str:
         """Blocks in containers of ``path``, or of the page's best one."""
-        inside = [t for t, _, around in self.blocks if path is not None and path in around]
+        inside = self._inside(path)
         if not inside and (own := self.best()):
-            inside = [t for t, _, around in self.blocks if own[1] in around]
+            inside = self._inside(own[1])
         return "\n".join(inside)
 
 
@@ -227,8 +290,8 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """One row per page: (page_id, url, text, n_chars).
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-    and reader comments are left out. Character references are decoded, ASCII
-    white space in a block becomes one space, blocks are trimmed and joined by
+    and reader comments are left out. Character references are decoded, white
+    space in a block becomes one space, that of Unicode too, blocks are trimmed and joined by
     ``\\n``. A null or empty html, or one without text, gives an empty text. Pages
     whose url is null or names no host decide for themselves. Unclosed tags end
     with what holds them. Repeated rows get a row each and vote each; other

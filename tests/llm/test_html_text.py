@@ -1,6 +1,10 @@
+import random
+import tracemalloc
+from html.parser import HTMLParser
+
 import pytest
 
-from quartergrid.llm.html_text import extract_main_text
+from quartergrid.llm.html_text import _Page, extract_main_text
 
 
 def pages(spark, rows):
@@ -33,7 +37,7 @@ def test_parts_around_and_inside_are_left_out(spark, container):
 def test_blocks_white_space_and_references(spark):
     html = ("<article><h1> A \n title </h1><p>one<br>two &amp; <b>th</b>ree &lt;p&gt; &eacute;&#x263A;&nbsp;x<p>unclosed <i>italic"
             "<ul><li>first<li>second</ul>tail 1 < 2</article><footer>no")
-    assert text(spark, html) == "A title\none two & three <p> é☺\xa0x\nunclosed italic\nfirst\nsecond\ntail 1 < 2"
+    assert text(spark, html) == "A title\none two & three <p> é☺ x\nunclosed italic\nfirst\nsecond\ntail 1 < 2"
 
 
 def test_pages_of_a_host_agree(spark):
@@ -54,6 +58,104 @@ def test_a_page_without_the_path_uses_its_own(spark):
     assert got[7] == got[0] != ""
 
 
+@pytest.mark.parametrize("begin, end", [
+    ('<div class="content with-sidebar">', "</div>"), ('<main class="post no-comments">', "</main>"),
+    ('<article class="post share-enabled">', "</article>"), ('<div id="main" class="form-page">', "</div>"),
+    ('<div class="header-fixed page">', "</div>"), ('<article role="main" class="promo">', "</article>"),
+])
+def test_an_article_whose_classes_name_other_parts(spark, begin, end):
+    article = "<p>The article goes on about its subject for quite some time.</p>" * 6
+    around = '<div class="sidebar">On the side</div><section class="comments"><article class="comment"><p>A reader</p></article></section>'
+    assert text(spark, f"<body>{around}{begin}{article}{end}{around}</body>") == "\n".join(
+        ["The article goes on about its subject for quite some time."] * 6)
+
+
+def test_long_comments_stay_out(spark):
+    html = ('<article class="post"><p>A short article of some words.</p></article><section class="comments">'
+            + '<article class="comment"><p>A long answer of a reader, who goes on and on about it all.</p></article>' * 9 + "</section>")
+    assert text(spark, html) == "A short article of some words."
+
+
+class _Blocks(HTMLParser):
+    """Blocks of a well-formed page with all tags around them, by the standard parser."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.open, self.blocks, self.now = [], [], []
+        self.feed(html)
+        self.end()
+
+    def end(self):
+        said = " ".join("".join(t for t, _ in self.now).split())
+        if said:
+            self.blocks.append((said, min(len(said), sum(len(t) for t, link in self.now if link)), list(self.open)))
+        self.now = []
+
+    def handle_starttag(self, tag, attributes):
+        if tag not in ("a", "b"):
+            self.end()
+        self.open.append((tag, dict(attributes).get("class", "")))
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b"):
+            self.end()
+        self.open.pop()
+
+    def handle_data(self, data):
+        if not any(tag == "nav" or c == "menu" for tag, c in self.open):
+            self.now.append((data, any(tag == "a" for tag, _ in self.open)))
+
+
+def by_brute_force(html):
+    """The blocks in the containers of the best path, every path tried for every block."""
+    found = []
+    for said, linked, around in _Blocks(html).blocks:
+        chain = [".".join([t, *sorted(set(c.split()))]) for t, c in around]
+        paths = [">".join(chain[: i + 1]) for i, (t, _) in enumerate(around) if t in ("div", "section", "article", "body")]
+        found.append((said, len(said) - 2 * linked, paths))
+    scores = {}
+    for _, own, paths in found:
+        for share, path in zip((4, 2, 1), paths[::-1]):
+            scores[path] = scores.get(path, 0) + share * own
+    best = max(scores, key=scores.get, default=None)
+    if best is None or scores[best] <= 0:
+        return ""
+    return "\n".join(said for said, _, paths in found if best in paths)
+
+
+def random_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randrange(1, 5)):
+        kind = rng.random()
+        if depth < 5 and kind < 0.5:
+            tag = rng.choice(["div", "section", "article", "nav", "div"])
+            name = rng.choice(["", "x", "y z", "x" if tag == "article" else "menu"])
+            out.append(f'<{tag} class="{name}">{random_page(rng, depth + 1)}</{tag}>')
+        elif kind < 0.85:
+            words = " ".join(rng.choice(["alpha", "be&amp;ta", "<b>gamma</b>", "<a>delta link</a>", "\n"]) for _ in range(rng.randrange(12)))
+            out.append(f"<p>{words}</p>")
+        else:
+            out.append(rng.choice(["loose text ", "<a>only a link</a> ", " "]))
+    return "".join(out)
+
+
+def test_pages_by_brute_force(spark):
+    rng = random.Random(12)
+    rows = [(i, None, f"<body>{random_page(rng)}</body>") for i in range(400)]
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, rows)).collect()}
+    for i, _, html in rows:
+        assert got[i] == by_brute_force(html), html
+
+
+def test_deep_nesting_takes_little_memory():
+    html = "<body>" + "<div>x" * 20_000 + "</div>" * 20_000
+    tracemalloc.start()
+    page = _Page(html)
+    assert tracemalloc.get_traced_memory()[1] < 50e6 and len(page.blocks) == 20_000
+    tracemalloc.stop()
+    assert page.text_of(None)
+
+
 def test_awkward_rows(spark):
     deep = "<div>" * 20_000 + "deep text" + "</div>" * 20_000
     rows = [(1, "http://a/", None), (2, None, ""), (None, "x", "<p>loose"), (4, "http://a/", "plain text"),
