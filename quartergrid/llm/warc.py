@@ -85,6 +85,16 @@ def _fields(header: bytes) -> dict[str, str]:
     return {name.decode("latin-1").lower(): value.decode("utf-8", "replace") for name, _, value in pairs}
 
 
+def _number(text: str) -> int | None:
+    """A length; no file is as long as one of more than 18 digits says."""
+    return int(text) if len(text) <= 18 and text.isascii() and text.isdigit() else None
+
+
+def _page(name: str) -> str:
+    """The page of a record id of this writer; ids of others name none."""
+    return name[len(_ID) + 1 : -1] if name.startswith(f"<{_ID}") and name.endswith(">") else ""
+
+
 def parse(rest: bytes) -> dict | None:
     """What follows a version line, or None if no record can begin there.
 
@@ -93,19 +103,18 @@ def parse(rest: bytes) -> dict | None:
     """
     header, sep, body = rest.partition(b"\r\n\r\n")
     fields = _fields(header)
-    length = fields.get("content-length", "")
-    if not sep or not (length.isascii() and length.isdigit()) or "warc-type" not in fields:
+    length = _number(fields.get("content-length", ""))
+    if not sep or length is None or "warc-type" not in fields:
         return None
-    out = {"size": len(VERSION) + len(header) + 4 + int(length) + len(RECORD_END), "type": fields["warc-type"],
-           "page": fields.get("warc-record-id", "")[len(_ID) + 1 : -1],
-           "refers": fields.get("warc-refers-to", "")[len(_ID) + 1 : -1],
+    out = {"size": len(VERSION) + len(header) + 4 + length + len(RECORD_END), "type": fields["warc-type"],
+           "page": _page(fields.get("warc-record-id", "")), "refers": _page(fields.get("warc-refers-to", "")),
            "url": fields.get("warc-target-uri"),
            "digest": fields.get("warc-payload-digest", "").removeprefix("sha1:")}
-    block = body[: int(length)]
-    if len(block) == int(length) and body[int(length) :] == RECORD_END.encode():
+    block = body[:length]
+    if len(block) == length and body[length:] == RECORD_END.encode():
         http, _, payload = block.partition(b"\r\n\r\n")
         if out["type"] == "revisit":
-            out |= {"bytes": int(_fields(http).get("content-length", 0)), "payload": None}
+            out |= {"bytes": _number(_fields(http).get("content-length", "")) or 0, "payload": None}
         else:
             out |= {"bytes": len(payload), "digest": sha1(payload).hexdigest(), "payload": payload}
     return out
@@ -181,7 +190,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     (file, offset, page_id, url, payload_bytes, payload_digest, record_type,
     refers_to[, payload]). The digest of a response is taken from its payload, that
     of a revisit and its length from its header; a revisit has no payload. Version
-    lines inside payloads begin no record. Files that don't begin with a record
+    lines inside payloads begin no record, whatever lengths they claim. The page_id
+    is null for records of other writers, the length of a revisit 0 if it is no number. Files that don't begin with a record
     have none; no archive gives an empty table.
     """
     chunks = staged(_chunks(spark, path, raw=False, payload=False), "chunks")
@@ -199,8 +209,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         whole = whole.join(payloads, ["file", "offset"])
     if not broken.isEmpty():
         whole = whole.unionByName(_joined(spark, path, placed, true, broken, bases, with_payload))
-    page = F.when(F.col("page") != "", F.col("page").cast("long"))
-    refers = F.when(F.col("refers") != "", F.col("refers").cast("long"))
+    page = F.when(F.col("page") != "", F.col("page").try_cast("long"))
+    refers = F.when(F.col("refers") != "", F.col("refers").try_cast("long"))
     return whole.select(
         "file", "offset", page.alias("page_id"), "url",
         F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),

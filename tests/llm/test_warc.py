@@ -60,6 +60,30 @@ def test_revisits(spark):
     assert sum(r[4] == "revisit" for r in result) == 3
 
 
+@pytest.mark.parametrize("length", ["9" * 20, "9" * 5000, "9" * 18, "-1", "", "1e3", "٣", "0x10"])
+def test_payloads_with_impossible_lengths(spark, small_splits, length):
+    fake = f"{VERSION}WARC-Type: response\r\nContent-Length: {length}\r\n\r\n"
+    rows = [(1, "u", f"before {fake}"), (2, "u", fake * 3), (3, "u", "plain"), (4, "u", f"x{fake}\r\n\r\n" + "y" * 5000)]
+    assert got(round_trip(spark, rows)) == expected(rows)
+
+
+def test_archives_of_other_writers(spark):
+    def record(kind, name, block, more=""):
+        return (f"{VERSION}WARC-Type: {kind}\r\nWARC-Record-ID: {name}\r\n{more}Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n")
+
+    http = "HTTP/1.1 200 OK\r\n\r\n"
+    text = record("warcinfo", "<urn:uuid:12345678-1234-1234-1234-123456789012>", "software: x")
+    text += record("response", "<urn:other:123456789>", f"{http}<p>one")
+    text += record("revisit", "<urn:x-page:abc>", "HTTP/1.1 200 OK\r\nContent-Length: many\r\n\r\n", "WARC-Refers-To: <urn:uuid:5>\r\n")
+    text += record("response", "<urn:x-page:77>", f"{http}two")
+    folder = scratch(spark, "foreign")
+    spark.createDataFrame([(text.removesuffix("\r\n\r\n"),)], "value string").coalesce(1).write.option("lineSep", "\r\n\r\n").text(folder)
+    found = read_archives(spark, folder).orderBy("offset").collect()
+    assert [(r["record_type"], r["page_id"], r["refers_to"], r["payload_bytes"]) for r in found][1:] == [
+        ("response", None, None, 6), ("revisit", None, None, 0), ("response", 77, None, 3)]
+    assert len(found) == 4 and found[0]["page_id"] is None
+
+
 def test_awkward_rows(spark):
     rows = [(1, None, None), (2, "x\r\nContent-Length: 7", ""), (3, "u", "z" * 2_000_000), (3, "u", "z" * 2_000_000)]
     by = {(r[0], r[2]) for r in got(round_trip(spark, rows))}
