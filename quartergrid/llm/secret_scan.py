@@ -13,8 +13,10 @@ from __future__ import annotations
 import builtins
 import keyword
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -70,17 +72,30 @@ def _compressor() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False, write_dict_id=False)
 
 
-def novelty(text: str, start: int, end: int, known: list[tuple[int, int]] = []) -> tuple[int, float]:
+class Known:
+    """Spans in order of start, found by place."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()) -> None:
+        self.spans = sorted(spans)
+        self.starts = [a for a, _ in self.spans]
+        self.reach = list(accumulate((b for _, b in self.spans), max))  # the farthest end up to each span
+
+    def between(self, begin: int, end: int) -> list[tuple[int, int]]:
+        """The spans that may meet the text from ``begin`` to before ``end``."""
+        return self.spans[bisect_right(self.reach, begin) : bisect_left(self.starts, end)]
+
+
+def novelty(text: str, start: int, end: int, known: Known = Known()) -> tuple[int, float]:
     """(bytes that text[start:end] adds to what is around it, the same per character).
 
     Copies of it after ``end`` and in the spans of ``known`` are blanked out.
     """
     own = text[start:end]
     before = text[max(0, start - AROUND) : start]
-    if known and own in before:
+    if known.spans and own in before:
         at, parts = max(0, start - AROUND), []
-        for a, b in known:
-            if at < b and a < start:
+        for a, b in known.between(at, start):
+            if at < b:
                 a, b = max(a, at), min(b, start)
                 parts += [text[at:a], text[a:b].replace(own, " ")]
                 at = b
@@ -103,14 +118,14 @@ def find(text: str) -> list[Span]:
             if len(m[group]) >= least:
                 out.append(Span(kind, m.start(), m.end(), None))
     if any(w in plain for w in SENSITIVE_WORDS):
-        known = sorted((s.start, s.end) for s in out)
+        known = Known([(s.start, s.end) for s in out])
         words = [m.span() for m in SENSITIVE.finditer(text)]
         if words:
             out += _novel(text, words, known)
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
-def _novel(text: str, words: list[tuple[int, int]], known: list[tuple[int, int]]) -> Iterator[Span]:
+def _novel(text: str, words: list[tuple[int, int]], known: Known) -> Iterator[Span]:
     near = after = 0
     places: dict[str, list[tuple[int, int]]] = {}
     secrets: dict[str, float] = {}
@@ -118,9 +133,9 @@ def _novel(text: str, words: list[tuple[int, int]], known: list[tuple[int, int]]
         start, end = m.span()
         while near < len(words) and words[near][1] <= start:
             near += 1
-        while after < len(known) and known[after][1] <= start:
+        while after < len(known.spans) and known.spans[after][1] <= start:
             after += 1
-        if after < len(known) and known[after][0] < end:
+        if after < len(known.spans) and known.spans[after][0] < end:
             continue  # found by a pattern
         string = m[0]
         if ORDINARY.fullmatch(string) and not (

@@ -1,7 +1,8 @@
 import random
 import re
+import time
 
-from quartergrid.llm.secret_scan import find, novelty, scan_secrets
+from quartergrid.llm.secret_scan import Known, find, novelty, scan_secrets
 
 from .cases import awkward, by_id, docs
 
@@ -44,6 +45,27 @@ def test_novelty_tells_keys_from_names():
     assert novelty(key, 6, 6 + len(KEY))[1] > 0.72 > novelty(name, 6, len(name) - 4)[1]
 
 
+def test_known_spans_by_place():
+    rng = random.Random(3)
+    spans = [(a, a + rng.randrange(1, 60)) for a in (rng.randrange(500) for _ in range(80))]
+    known = Known(spans)
+    for _ in range(300):
+        begin = rng.randrange(520)
+        end = begin + rng.randrange(60)
+        assert {s for s in spans if begin < s[1] and s[0] < end} <= set(known.between(begin, end))
+
+
+def test_a_long_text_of_many_spans_takes_linear_time():
+    def seconds(lines):
+        rng = random.Random(9)
+        text = "".join(f"password = k{rng.randrange(10**9)}x auth {rng.randbytes(12).hex()[:20]}Q\n" for _ in range(lines))
+        began = time.process_time()
+        assert len(find(text)) > lines
+        return time.process_time() - began
+
+    assert seconds(16_000) < 8 * seconds(4_000) + 1
+
+
 def test_awkward_rows(spark):
     got = by_id(scan_secrets(awkward(spark, "token: abcdef1")))
     assert got[1] == got[2] == got[3] == [{"secrets": []}]
