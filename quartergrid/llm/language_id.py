@@ -34,31 +34,57 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def _parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(code points, number of the text of each) in parts of bounded size."""
+def _overlap(text: str, at: int) -> int:
+    """Where a part that goes on at ``at`` must begin to hold the n-grams that end after it.
+
+    Runs of what is no letter count as one character.
+    """
+    need = MAX_N - 1
+    while at > 0 and need:
+        at -= 1
+        need -= text[at].isalpha() or at == 0 or text[at - 1].isalpha()
+    return at
+
+
+def _parts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(code points, number of the text of each, whether the part before had it) of texts with letters.
+
+    Parts are of bounded size; those of a long text overlap, so that no n-gram is lost.
+    """
     held: list[np.ndarray] = []
     owners: list[int] = []
+    before: list[int] = []
     size = 0
+
+    def part() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = [len(h) for h in held]
+        old = np.concatenate([np.arange(n) < b for n, b in zip(sizes, before)])
+        return np.concatenate(held), np.repeat(owners, sizes), old
+
     for i, text in enumerate(texts):
+        if not any(map(str.isalpha, text)):
+            continue
+        text = text.lower()
         for at in range(0, len(text), BATCH_CHARS):
-            # Parts overlap so that no n-gram of a long text is lost.
-            part = text[max(0, at - MAX_N + 1) if at else 0 : at + BATCH_CHARS].lower()
-            held.append(np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32))
+            begin = _overlap(text, at)
+            held.append(np.frombuffer(text[begin : at + BATCH_CHARS].encode("utf-32-le", "surrogatepass"), np.uint32))
             owners.append(i)
-            size += len(part)
+            before.append(at - begin)
+            size += len(held[-1])
             if size >= BATCH_CHARS:
-                yield np.concatenate(held), np.repeat(owners, [len(h) for h in held])
-                held, owners, size = [], [], 0
+                yield part()
+                held, owners, before, size = [], [], [], 0
     if held:
-        yield np.concatenate(held), np.repeat(owners, [len(h) for h in held])
+        yield part()
 
 
 def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bucket, number of the text) of n-grams, grouped by text within each part.
 
-    Texts without a letter have none.
+    Texts without a letter have none. N-grams that end in what a part has from the
+    one before are counted there.
     """
-    for points, owner in _parts(texts):
+    for points, owner, old in _parts(texts):
         letter = _letters()[points]
         x = np.where(letter, points, np.uint32(32))
         same = np.empty(len(owner), bool)
@@ -66,10 +92,7 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         space = ~letter
         keep = np.ones(len(x), bool)
         keep[1:] = ~(space[1:] & space[:-1] & same[1:])
-        x, owner = x[keep], owner[keep]
-        lettered = np.bincount(owner, weights=x != 32, minlength=len(texts)) > 0
-        keep = lettered[owner]
-        x, owner = x[keep], owner[keep]
+        x, owner, old = x[keep], owner[keep], old[keep]
         h = np.zeros(len(x), np.uint32)
         for n in range(1, MAX_N + 1):
             if len(x) < n:
@@ -77,7 +100,7 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             h = h[: len(x) - n + 1] + x[n - 1 :] * _FACTORS[n - 1]
             mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) + np.uint32(n)
             mixed = (mixed ^ (mixed >> np.uint32(12))) * np.uint32(0x297A2D39)
-            inside = owner[: len(h)] == owner[n - 1 :]
+            inside = (owner[: len(h)] == owner[n - 1 :]) & ~old[n - 1 :]
             yield (mixed >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)[inside], owner[: len(h)][inside]
 
 

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -62,6 +63,15 @@ def test_long_texts_in_parts(spark, monkeypatch):
     assert set(parts) == set(whole) and sum((parts - whole).values()) < 40
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_parts_count_each_ngram_once(monkeypatch, size):
+    rng = random.Random(size)
+    texts = ["".join(rng.choice("ab cé-1İ\n") for _ in range(rng.randrange(60))) for _ in range(40)] + ["---- a", "a" + "-" * 99 + "b"]
+    whole = [Counter(grams(t)) for t in texts]
+    monkeypatch.setattr(li, "BATCH_CHARS", size)
+    assert [Counter(grams(t)) for t in texts] == whole
+
+
 def test_awkward_rows(spark):
     got = by_id(li.identify_languages(awkward(spark, EN), F.lit(False)))
     assert got[1] == got[2] == got[3] == [{"held_out": False, "lang_pred": "und", "score": 0.0}]
