@@ -11,7 +11,7 @@ is judged.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ SAMPLING = {"chars_per_token": 0.6, "token_entropy": 0.3, "byte_share": 0.5}
 HIGH_SIDE = {"chars_per_token": 3.0, "token_entropy": 3.0, "byte_share": 1.0}
 #: Quartiles of few members are unsure: their fence is longer by the factor 1 + FEW / members.
 FEW = 4
-#: A group with fewer different texts is judged by the quartiles of the next wider group.
+#: The quartiles of a group weigh as much as those of the next wider group when it has so many different texts.
 OWN_BAND = 50
 #: First and last code point of letters, by script.
 SCRIPTS = (
@@ -159,10 +159,11 @@ def bands(measured: DataFrame) -> DataFrame:
     """One row per group: its ``band``, and the ``slope`` of the entropy per octave of tokens.
 
     A band has the quartiles of each measure, the entropy without its slope, the
-    typical number of tokens and how many members it stems from. It is that of
-    the first of these groups with OWN_BAND texts: language, script and size class;
-    language and script; script; all texts. In the last two a language and script is
-    one member, however many texts it has, or part of one below OWN_BAND. Texts that fail the base rules
+    typical number of tokens and how many members it stems from. Groups are language,
+    script and size class; language and script; script; all texts. The values of a
+    group of n texts count n / (n + OWN_BAND), those of the wider groups the rest, so
+    no number of texts makes a band jump. In the last two a language and script is
+    one member, or a part of one in the same way. Texts that fail the base rules
     found no band. Equal measurements count once, so copies of a text don't narrow
     a band. The quartiles are exact on values rounded to three places, which bounds
     what an aggregate holds.
@@ -176,7 +177,7 @@ def bands(measured: DataFrame) -> DataFrame:
         "token_entropy", F.round(F.col("token_entropy") - F.col("slope") * _octaves(), 3))
     language = ["g_lang", "g_script"]
     # Weights in units of a millionth of a text.
-    share = F.least(F.lit(1.0), F.lit(float(OWN_BAND)) / F.count(F.lit(1)))
+    share = F.lit(float(OWN_BAND)) / (OWN_BAND + F.count(F.lit(1)))
     sizes = of_checked_size(staged(levelled.groupBy(*language).agg(
         F.greatest(F.lit(1), F.round(1e6 * share)).cast("long").alias("weight")), "weights"), 100_000)
     weighted = levelled.join(sizes, language)
@@ -185,10 +186,18 @@ def bands(measured: DataFrame) -> DataFrame:
     wider = _quartiles(levelled, language, 1, texts, one)
     script = _quartiles(weighted, ["g_script"], 2, languages, F.col("weight"))
     everything = _quartiles(weighted, [], 3, languages, F.col("weight"))
-    found = F.coalesce(
-        *(F.when(F.col(f"texts{i}") >= OWN_BAND, F.col(f"band{i}")) for i in range(3)), F.col("band3"))
-    return own.join(wider, language).join(script, "g_script").crossJoin(everything).crossJoin(slope).select(
-        *language, "g_size", found.alias("band"), "slope")
+
+    def blended(field: Callable[[str], Column]) -> Column:
+        value = field("band3")
+        for i in (2, 1, 0):
+            trust = F.col(f"texts{i}") / (F.col(f"texts{i}") + OWN_BAND)
+            value = trust * field(f"band{i}") + (1 - trust) * value
+        return value
+
+    values = [blended(lambda band, m=m: F.col(band)[m]).alias(m) for m in ("members", "typical")]
+    values += [F.array(*(blended(lambda band, m=m, i=i: F.col(band)[f"q_{m}"][i]) for i in range(3))).alias(f"q_{m}") for m in SAMPLING]
+    return own.join(wider, language).join(script, "g_script").crossJoin(F.broadcast(everything)).crossJoin(
+        F.broadcast(slope)).select(*language, "g_size", F.struct(*values).alias("band"), "slope")
 
 
 def _within(m: str) -> Column:
