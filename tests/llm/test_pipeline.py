@@ -32,7 +32,7 @@ def test_decisions_take_effect(spark, kept):
         return sorted(r[0] for r in df.select("doc_id").collect())
 
     assert ids(kept["quality_rules"]) == ids(quality_verdicts(kept["documents"]).filter("kept"))
-    lines = {r["doc_id"]: r["kept_text"] for r in dedup_lines(kept["quality_rules"]).collect()}
+    lines = {r["doc_id"]: r["kept_text"] for r in dedup_lines(kept["quality_rules"], 1).collect()}
     after = {r["doc_id"]: r["text"] for r in kept["line_dedup"].collect()}
     assert after == {k: t for k, t in lines.items() if t.split()}
     assert ids(kept["jaccard_join"]) == ids(
@@ -63,7 +63,7 @@ def test_empty_and_awkward_documents(spark):
 
 
 def test_run_equals_brute_force(spark, tmp_path):
-    """Small tables: no group has a band, so the first stage is its base rules."""
+    """Texts of like words: bands are wide, so the first stage is its base rules."""
     import random
 
     import public_tokenizers
@@ -89,7 +89,7 @@ def test_run_equals_brute_force(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
 
     left = [(i, t) for i, t in texts if not base(t)["base_failed"]]
-    left = [(i, t) for i, t in lines(left).items() if t.split()]
+    left = [(i, t) for i, t in lines(left, 1).items() if t.split()]
     same = classes(left, 5, 80)
     left = [(i, t) for i, t in left if same[i][0]["component_id"] == i]
     found = hits(left, items)
