@@ -13,12 +13,13 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartergrid.llm.best_fit_packing import pack_documents
-from quartergrid.llm.common import of_checked_size, staged, table
+from quartergrid.llm.common import of_checked_size, small_batches, staged, table
 from quartergrid.llm.decontamination import contamination
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.line_dedup import dedup_lines
@@ -49,11 +50,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document or line has.
+    """Documents without lines that an earlier document or line has, however short.
 
     A document that loses all its words this way goes.
     """
-    left = dedup_lines(docs.select(*COLUMNS))
+    left = dedup_lines(docs.select(*COLUMNS), min_words=1)
     emptied = (F.col("n_removed") > 0) & ~F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")
     return left.filter(~F.coalesce(emptied, F.lit(False))).select(
         "doc_id", F.col("kept_text").alias("text"), "lang", "source",
@@ -89,12 +90,22 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack_documents(docs, with_ids=False, added=True)
 
 
+def _in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, with whole texts sent to Python few at a time: executors keep what earlier stages grew to."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules),
-    ("line_dedup", line_dedup),
-    ("jaccard_join", jaccard_join),
-    ("decontamination", decontamination),
-    ("best_fit_packing", best_fit_packing),
+    ("quality_rules", _in_small_batches(quality_rules)),
+    ("line_dedup", _in_small_batches(line_dedup)),
+    ("jaccard_join", _in_small_batches(jaccard_join)),
+    ("decontamination", _in_small_batches(decontamination)),
+    ("best_fit_packing", _in_small_batches(best_fit_packing)),
 ]
 
 #: Tokenisers and packing are beyond SQL; tests/llm holds brute-force versions.
