@@ -15,6 +15,7 @@ only pairs across two classes are joined after that. No link is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,18 @@ from quartergrid.llm.common import arrow_map, of_checked_size, sliced, small_bat
 from quartergrid.llm.components import components
 from quartergrid.llm.hashing import Words, batches, ranges, sums
 
-#: Shingle counts are kept in so many cells (2 ** 18 numbers, 1 MB when broadcast).
-#: They only order shingles: a shared cell costs time, never a pair.
+#: Shingles are counted in so many cells (2 ** 18 numbers, 2 MB when broadcast), and the
+#: frequent ones each for itself. Counts only order shingles: a shared cell costs time,
+#: never a pair.
 RARITY_BITS = 18
+#: Shingles that a task counts each for itself, and those it takes in at a time.
+TASK_SHINGLES = 1 << 16
+CHUNK_SHINGLES = 1 << 19
+#: At most so many frequent shingles are broadcast (16 bytes each).
+FREQUENT_SHINGLES = 1 << 18
 #: Cells of a set's profile for the suffix filter.
 PROFILE_CELLS = 128
-#: Sets that a task remembers to have sent.
+#: Sets that a task remembers to have met.
 SENT_SETS = 200_000
 _NO_WORDS = 0
 
@@ -67,14 +74,48 @@ def _profile(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles & np.uint64(PROFILE_CELLS - 1)).astype(np.int64), minlength=PROFILE_CELLS)
 
 
+class Frequent:
+    """The shingles that a task has seen often, a mergeable Misra-Gries summary.
+
+    Each is held with a count at most n / TASK_SHINGLES too low, n being all shingles
+    seen; one that is not held was seen no more often than that.
+    """
+
+    def __init__(self) -> None:
+        self.token, self.hits = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.new: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, shingles: np.ndarray) -> None:
+        self.new.append(shingles)
+        self.size += len(shingles)
+        if self.size >= CHUNK_SHINGLES:
+            self.fold()
+
+    def fold(self) -> None:
+        every = np.concatenate([self.token, *self.new])
+        weight = np.concatenate([self.hits, np.ones(self.size, np.int64)])
+        self.new, self.size = [], 0
+        order = np.argsort(every, kind="stable")
+        every, weight = every[order], weight[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(every)), bool), every[1:] != every[:-1])))
+        self.token = every[first]
+        self.hits = np.add.reduceat(weight, first) if len(first) else weight
+        over = len(first) - TASK_SHINGLES
+        if over > 0:
+            self.hits = self.hits - np.partition(self.hits, over - 1)[over - 1]
+            self.token, self.hits = self.token[self.hits > 0], self.hits[self.hits > 0]
+
+
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Two kinds of rows in one pass over the texts.
+    """Three kinds of rows in one pass over the texts.
 
-    Per document (doc_id, n_shingles, set_key, profile), set_key null for an
-    empty set; and per task (cell, hits), the counts that order shingles.
+    Per document (doc_id, n_shingles, set_key, profile), set_key null for an empty
+    set; and per task (cell, hits) and (token, hits), the counts that order shingles.
+    Sets that a task has met of late are not counted again.
     """
     kinds = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_key": pa.int64(),
-             "profile": pa.list_(pa.int32()), "cell": pa.int32(), "hits": pa.int64()}
+             "profile": pa.list_(pa.int32()), "cell": pa.int32(), "token": pa.int64(), "hits": pa.int64()}
 
     def rows(size: int, **columns) -> pa.RecordBatch:
         full = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in kinds.items()]
@@ -82,60 +123,110 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(1 << RARITY_BITS, np.int64)
+        frequent, met = Frequent(), Lately()
         for batch in found:
             n, keys, profiles = [], [], []
             for _, s in _sets(text_bytes(batch.column(1)), size):
                 n.append(len(s))
                 keys.append(_set_key(s) if len(s) else None)
                 profiles.append(_profile(s))
-                np.add.at(hits, _cell(s), 1)
+                if len(s) and met.is_new(keys[-1]):
+                    np.add.at(hits, _cell(s), 1)
+                    frequent.add(s)
             yield rows(len(n), doc_id=batch.column(0), n_shingles=n, set_key=keys, profile=profiles)
         cells = np.flatnonzero(hits)
         yield rows(len(cells), cell=cells, hits=hits[cells])
+        frequent.fold()
+        yield rows(len(frequent.token), token=frequent.token.view(np.int64), hits=frequent.hits)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key long, profile array<int>, cell int, hits long")
+        run, "doc_id long, n_shingles long, set_key long, profile array<int>, cell int, token long, hits long")
 
 
-def rarity(counted: DataFrame) -> np.ndarray:
-    """Shingles per cell over all documents: a table of fixed size."""
-    out = np.zeros(1 << RARITY_BITS, np.int64)
-    for cell, hits in counted.filter("cell is not null").groupBy("cell").agg(F.sum("hits")).collect():
-        out[cell] = hits
-    return out
+class Lately:
+    """The sets that a task has met of late."""
+
+    def __init__(self) -> None:
+        self.keys: set[int] = set()
 
+    def is_new(self, key: int) -> bool:
+        if key in self.keys:
+            return False
+        if len(self.keys) >= SENT_SETS:
+            self.keys.clear()
+        self.keys.add(key)
+        return True
 
-def prefix_entries(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
+
+class Rarity(NamedTuple):
+    """Orders shingles: those of no note by the counts of their cells, then frequent ones by their own."""
+
+    cells: np.ndarray  # hits of each cell without those of its frequent shingles
+    token: np.ndarray  # frequent shingles, sorted
+    hits: np.ndarray
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        out = self.cells[_cell(shingles)]
+        if len(self.token):
+            at = np.minimum(np.searchsorted(self.token, shingles), len(self.token) - 1)
+            out = np.where(self.token[at] == shingles, self.hits[at], out)
+        return out
+
+
+def rarity(counted: DataFrame) -> Rarity:
+    """The order of shingles over all documents, in tables of bounded size."""
+    cells = np.zeros(1 << RARITY_BITS, np.int64)
+    for cell, hits in counted.filter("cell is not null").groupBy("cell").agg(F.sum("hits")).collect():
+        cells[cell] = hits
+    summed = staged(
+        counted.filter("token is not null").groupBy("token").agg(F.sum("hits").alias("hits")).filter("hits > 1"),
+        "frequent")
+    # The least level of hits, an eighth of a power of two, from which on there are few enough.
+    level = F.floor(F.log2(F.col("hits").cast("double")) * 8).cast("int")
+    least, total = None, 0
+    for at, n in sorted(summed.groupBy(level).count().collect(), reverse=True):  # at most 8 x 63 rows
+        total += n
+        if total > FREQUENT_SHINGLES:
+            break
+        least = at
+    if least is None:
+        return Rarity(cells, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    held = summed.filter(level >= least).toArrow()
+    token, hits = held.column("token").to_numpy().view(np.uint64), held.column("hits").to_numpy()
+    order = np.argsort(token)
+    token, hits = token[order], hits[order]
+    np.subtract.at(cells, _cell(token), hits)
+    return Rarity(cells, token, hits + cells.max())
+
+
+def prefix_entries(docs: DataFrame, size: int, percent: int, order: Rarity) -> DataFrame:
     """(token, set_key, n, place): the prefix of the ordered set of each document.
 
     A task leaves out the sets that it has sent of late, so copies of a document cost
     one entry per task however many there are; what is left of them is one row after
     the next shuffle.
     """
-    known = docs.sparkSession.sparkContext.broadcast(counts)
+    known = docs.sparkSession.sparkContext.broadcast(order)
     types = {"token": pa.int64(), "set_key": pa.int64(), "n": pa.int32(), "place": pa.int32()}
 
     def prefix(s: np.ndarray) -> np.ndarray:
         """Places in ``s`` of its rarest shingles, by (count, hash); s is sorted, so ties keep that order."""
         n = len(s)
         long = n - -(-percent * n // 100) + 1
-        rare = known.value[_cell(s)]
+        rare = known.value.of(s)
         if long >= n:
             return np.argsort(rare, kind="stable")[:long]
         near = np.flatnonzero(rare <= np.partition(rare, long - 1)[long - 1])
         return near[np.argsort(rare[near], kind="stable")][:long]
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent = Lately()
         for batch in sliced(found):
             tokens, keys, sizes, places = [], [], [], []
             for _, s in _sets(text_bytes(batch.column(0)), size):
                 key = _set_key(s) if len(s) else None
-                if key is None or key in sent:
+                if key is None or not sent.is_new(key):
                     continue
-                if len(sent) >= SENT_SETS:
-                    sent.clear()
-                sent.add(key)
                 order = prefix(s)
                 tokens.append(s[order])
                 keys.append(np.full(len(order), key))

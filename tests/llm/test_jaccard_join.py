@@ -1,7 +1,10 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
+from quartergrid.llm import jaccard_join
 from quartergrid.llm.components import components
 from quartergrid.llm.jaccard_join import jaccard_classes
 
@@ -76,3 +79,48 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+@pytest.mark.parametrize("kept,chunk", [(20, 50), (5, 7), (1000, 300), (1, 1)])
+def test_frequent_shingles_are_held_with_bounded_error(monkeypatch, kept, chunk):
+    monkeypatch.setattr(jaccard_join, "TASK_SHINGLES", kept)
+    monkeypatch.setattr(jaccard_join, "CHUNK_SHINGLES", chunk)
+    rng = np.random.default_rng(kept)
+    seen, frequent = Counter(), jaccard_join.Frequent()
+    for _ in range(60):
+        one = np.unique(rng.zipf(1.3, 40).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        seen.update(one.tolist())
+        frequent.add(one)
+    frequent.fold()
+    held = dict(zip(frequent.token.tolist(), frequent.hits.tolist()))
+    assert len(held) <= kept
+    slack = sum(seen.values()) / (kept + 1)
+    for token, n in seen.items():
+        assert n - slack <= held.get(token, 0) <= n
+    empty = jaccard_join.Frequent()
+    empty.fold()
+    assert not len(empty.token)
+
+
+def test_frequent_shingles_come_last_by_their_own_counts(spark, monkeypatch):
+    common = " ".join(f"c{i}" for i in range(12))
+    texts = [(i, f"{common} " + " ".join(f"w{i}x{j}" for j in range(8))) for i in range(60)]
+    counted = jaccard_join.staged(jaccard_join.shingle_sets(docs(spark, texts), 5), "shingles")
+    order = jaccard_join.rarity(counted)
+    found = dict(jaccard_join._sets([t.encode() for _, t in texts], 5))
+    shared = np.intersect1d(found[0], found[1])
+    own = np.setdiff1d(found[0], shared)
+    assert len(shared) == 8 and order.of(shared).min() > order.of(own).max()
+    assert set(shared.tolist()) == set(order.token.tolist())
+    entries = jaccard_join.prefix_entries(docs(spark, texts), 5, 80, order)
+    assert entries.groupBy("token").count().filter("count > 1").count() == 0
+    monkeypatch.setattr(jaccard_join, "FREQUENT_SHINGLES", 3)  # more of one count than may be held: none is
+    assert not len(jaccard_join.rarity(counted).token)
+
+
+def test_copies_count_once_per_task(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    counted = jaccard_join.staged(jaccard_join.shingle_sets(docs(spark, [text] * 500).coalesce(1), 5), "shingles")
+    assert counted.filter("token is not null").groupBy().max("hits").first()[0] == 1
+    entries = jaccard_join.prefix_entries(docs(spark, [text] * 500).coalesce(1), 5, 80, jaccard_join.rarity(counted))
+    assert entries.count() == 26 - 21 + 1
