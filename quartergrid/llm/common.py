@@ -35,16 +35,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-#: Stored tables of a few narrow columns are broadcast up to so many rows.
-BROADCAST_ROWS = 2_000_000
+#: Stored tables are broadcast up to so many bytes as they lie in memory.
+BROADCAST_BYTES = 64 << 20
+#: What a row takes in a broadcast table beside its values, and a value of fixed size.
+ROW_BYTES = 32
+VALUE_BYTES = 8
 
 
-def of_checked_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored narrow table, marked for broadcast if it has few enough rows.
+def bytes_in_memory(df: DataFrame) -> int:
+    """An estimate from the count of rows and the lengths of texts and nested values."""
+    size, fixed = F.lit(0).cast("long"), ROW_BYTES
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.octet_length(F.to_json(F.struct(name)))
+        fixed += VALUE_BYTES
+    n, more = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n * fixed + (more or 0)
+
+
+def of_checked_size(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast if it takes at most ``limit`` bytes of memory.
 
     Beyond that it is joined by a shuffle, with the same result.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if bytes_in_memory(df) <= limit else df
 
 
 @contextmanager

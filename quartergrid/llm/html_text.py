@@ -299,7 +299,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     known = pages.select("page_id", "url", "html").withColumn("host", F.when(host != "", host))
-    winners = of_checked_size(staged(winning_paths(known), "paths"), 500_000)
+    winners = of_checked_size(staged(winning_paths(known), "paths"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

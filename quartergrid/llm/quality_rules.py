@@ -223,7 +223,7 @@ def judge(measured: DataFrame) -> DataFrame:
     for m in SAMPLING:
         inside = inside & F.coalesce(_within(m), F.lit(False))
     keyed = measured.select("*", *_group())
-    known = of_checked_size(staged(bands(measured), "bands"), 100_000)
+    known = of_checked_size(staged(bands(measured), "bands"))
     return keyed.join(known, ["g_lang", "g_script", "g_size"], "left").select(
         *measured.columns, failed.alias("base_failed"), (~failed & inside).alias("kept"),
     )

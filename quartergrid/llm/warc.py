@@ -27,7 +27,6 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 MIN_REVISIT_BYTES = 1000
 _ID = "urn:x-page:"
-_COPY_ROWS = 500_000
 
 
 def _line(name: str, value: Column) -> Column:
@@ -45,7 +44,7 @@ def records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, date: str = "1
             F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1").select("digest", "keeper"), "copies",
     )
-    placed = named.join(of_checked_size(copies, _COPY_ROWS), "digest", "left")
+    placed = named.join(of_checked_size(copies), "digest", "left")
     revisit = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
 
     def urn(name: str) -> Column:
@@ -228,7 +227,7 @@ def _joined(spark, path, placed, true, broken, bases, with_payload: bool) -> Dat
     ).select("file", "offset", "record"), "parts")
     raw = _chunks(spark, path, raw=True, payload=False).join(bases, ["file", "block"]).select(
         "file", (F.col("base") + F.col("local")).alias("offset"), "raw")
-    held = raw.join(of_checked_size(parts, _COPY_ROWS), ["file", "offset"]).groupBy("file", "record").agg(
+    held = raw.join(of_checked_size(parts), ["file", "offset"]).groupBy("file", "record").agg(
         F.array_sort(F.collect_list(F.struct("offset", "raw"))).alias("parts"))
     names = [n for n, _, _ in _FACTS]
 

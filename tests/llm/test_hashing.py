@@ -28,3 +28,14 @@ def test_words_hash_alike_wherever_they_stand():
     words = Words([b"alpha " * 40_000 + b"beta", b"beta alpha"])
     assert len(set(words.hash.tolist())) == 2 and words.hash[40_000] == words.hash[40_001]
     assert words.first.tolist() == [0, 40_001, 40_003]
+
+
+def test_tables_are_broadcast_by_bytes(spark):
+    from quartergrid.llm.common import bytes_in_memory, of_checked_size
+
+    few = spark.range(100)
+    assert bytes_in_memory(few) == 4000 and bytes_in_memory(few.filter("false")) == 0
+    wide = few.selectExpr("id", "repeat('x', 1000) as s", "array(id, id) as a", "cast(null as string) as n")
+    assert 100_000 < bytes_in_memory(wide) < 120_000
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(of_checked_size(wide)) and not hinted(of_checked_size(wide, 10_000))
