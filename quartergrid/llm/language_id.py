@@ -4,7 +4,8 @@ Texts are lower-cased, everything that is no letter becomes one space, and the
 n-grams of 1 to ``MAX_N`` characters are hashed into a fixed number of buckets.
 Training sums n-grams per language and bucket over all labelled texts. The model
 is a matrix of log probabilities, buckets by languages, broadcast to executors
-that score whole batches of texts with sparse sums in numpy.
+that score whole batches of texts with sparse sums in numpy, in one pass for each
+block of languages.
 """
 
 from __future__ import annotations
@@ -12,16 +13,20 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quartergrid.llm.common import staged
+
 BUCKET_BITS = 16
 MAX_N = 3
-#: The matrix has 2 ** BUCKET_BITS numbers per language; more languages are refused.
-MAX_LANGUAGES = 256
+#: Languages whose part of the matrix, 2 ** BUCKET_BITS numbers each, is held at a time.
+BLOCK_LANGUAGES = 256
 #: Characters that are hashed together; a longer text is summed in parts.
 BATCH_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -104,12 +109,19 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield (mixed >> np.uint32(32 - BUCKET_BITS)).astype(np.int64)[inside], owner[: len(h)][inside]
 
 
-def train(labelled: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, log probabilities by language and bucket, log priors).
+class Model(NamedTuple):
+    """Languages in order of name, log probabilities by language and bucket, log priors."""
+
+    names: list[str]
+    weights: np.ndarray
+    priors: np.ndarray
+
+
+def counts(labelled: DataFrame) -> DataFrame:
+    """(lang, bucket, n): n-grams of all labelled texts; bucket -1 counts the texts.
 
-    ``labelled`` has ``text`` and ``lang``; rows without either are left out.
-    Counts are summed per task, then over all, and smoothed by one. What comes
-    to the driver has at most 2 ** BUCKET_BITS rows per language.
+    ``labelled`` has ``text`` and ``lang``; rows without either are left out. Counts
+    are summed per task, then over all.
     """
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -130,20 +142,34 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
                 "bucket": pa.array(np.append(what, -1), pa.int32()), "n": pa.array(np.append(some[what], n), pa.int64())})
 
     known = labelled.select("text", F.col("lang").cast("string")).filter("text is not null and lang is not null")
-    if known.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    summed = known.mapInArrow(run, "lang string, bucket int, n long")
-    table = summed.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    lang = table.column(0).to_pylist()
-    names = sorted(set(lang))
-    at = np.array([names.index(x) for x in lang], np.int64)
-    bucket, n = table.column(1).to_numpy(), table.column(2).to_numpy()
-    counts, docs = np.ones((len(names), 1 << BUCKET_BITS)), np.zeros(len(names))
-    is_doc = bucket < 0
-    docs[at[is_doc]] = n[is_doc]
-    counts[at[~is_doc], bucket[~is_doc]] += n[~is_doc]
-    weights = np.log(counts / counts.sum(axis=1, keepdims=True)) if names else counts
-    return names, weights.astype(np.float32), np.log(docs / docs.sum()) if names else docs
+    return staged(known.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
+        F.sum("n").alias("n")), "ngrams")
+
+
+def models(counted: DataFrame, size: int = BLOCK_LANGUAGES) -> Iterator[Model]:
+    """The model in blocks of ``size`` languages, smoothed by one; priors are over all languages.
+
+    The driver holds one block at a time, beside the number of texts of each language.
+    """
+    texts = sorted((r["lang"], r["n"]) for r in counted.filter("bucket < 0").select("lang", "n").collect())
+    total = sum(n for _, n in texts)
+    for begin in range(0, len(texts), size):
+        names = [name for name, _ in texts[begin : begin + size]]
+        rows = counted.filter(F.col("lang").between(names[0], names[-1]) & (F.col("bucket") >= 0)).toArrow()
+        number = pc.index_in(rows.column("lang"), pa.array(names, pa.string())).to_numpy()
+        n = np.ones((len(names), 1 << BUCKET_BITS), np.float64)
+        n[number, rows.column("bucket").to_numpy()] += rows.column("n").to_numpy()
+        weights = np.log(n / n.sum(axis=1, keepdims=True))
+        yield Model(names, weights.astype(np.float32), np.log([n / total for _, n in texts[begin : begin + size]]))
+
+
+def train(labelled: DataFrame) -> Model:
+    """All blocks of the model as one, for few languages."""
+    parts = list(models(counts(labelled)))
+    if not parts:
+        return Model([], np.ones((0, 1 << BUCKET_BITS), np.float32), np.zeros(0))
+    return Model(sum((p.names for p in parts), []), np.concatenate([p.weights for p in parts]),
+                 np.concatenate([p.priors for p in parts]))
 
 
 def scores(texts: list[str], weights: np.ndarray, priors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,28 +187,59 @@ def scores(texts: list[str], weights: np.ndarray, priors: np.ndarray) -> tuple[n
     return lettered, total
 
 
-def predict(docs: DataFrame, names: list[str], weights: np.ndarray, priors: np.ndarray, *carried: str) -> DataFrame:
-    """(carried, lang_pred, score) of the column ``text`` of every row."""
-    model = docs.sparkSession.sparkContext.broadcast((weights, priors))
+def _scored(rows: DataFrame, model: Model, carried: list[str], keep_text: bool) -> DataFrame:
+    """(carried[, text], lang_pred, top, mass) after one more block of languages.
+
+    ``top`` is the log probability of the best language yet, ``mass`` the sum of all
+    relative to it. ``rows`` has these columns too, but before the first block.
+    """
+    known = rows.sparkSession.sparkContext.broadcast(model)
+    later = "top" in rows.columns
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, weights, priors = known.value
         for batch in found:
-            texts = [t or "" for t in batch.column(len(carried)).to_pylist()]
-            lettered, total = scores(texts, *model.value)
-            best, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if names and len(texts):
-                top = total.argmax(axis=1)
-                odds = np.exp(total - total.max(axis=1, keepdims=True))
-                share = np.where(lettered, 1 / odds.sum(axis=1), 0.0)
-                best = [names[i] if yes else UNKNOWN for i, yes in zip(top, lettered)]
-            columns = [batch.column(i) for i in range(len(carried))]
+            text = batch.column("text")
+            lettered, total = scores([t or "" for t in text.to_pylist()], weights, priors)
+            most = total.argmax(axis=1)
+            top = total.max(axis=1)
+            mass = np.exp(total - top[:, None]).sum(axis=1)
+            best = [names[i] if yes else UNKNOWN for i, yes in zip(most, lettered)]
+            if later:
+                was, held = batch.column("top").to_numpy(), batch.column("mass").to_numpy()
+                old = batch.column("lang_pred").to_pylist()
+                high = np.maximum(was, top)
+                mass = held * np.exp(was - high) + mass * np.exp(top - high)
+                best = [new if b > a else one for a, b, one, new in zip(was, top, old, best)]
+                top = high
+            mass = np.where(lettered, mass, np.inf)
+            columns = [batch.column(c) for c in carried] + [text] * keep_text
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(best, pa.string()), pa.array(share, pa.float64())],
-                names=[*carried, "lang_pred", "score"])
+                [*columns, pa.array(best, pa.string()), pa.array(top), pa.array(mass)],
+                names=[*carried, *["text"] * keep_text, "lang_pred", "top", "mass"])
 
+    taken = rows.select(*carried, "text", *(["lang_pred", "top", "mass"] if later else []))
+    kinds = dict(taken.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*carried, *["text"] * keep_text])
+    return taken.mapInArrow(run, f"{schema}, lang_pred string, top double, mass double")
+
+
+def predict(docs: DataFrame, counted: DataFrame, *carried: str, size: int = BLOCK_LANGUAGES) -> DataFrame:
+    """(carried, lang_pred, score) of the column ``text`` of every row.
+
+    ``counted`` is from :func:`counts`. One pass over the texts for each ``size``
+    languages; between passes the rows are stored, so a task holds one block.
+    """
+    n = counted.filter("bucket < 0").count()
     rows = docs.select(*carried, "text")
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-1]) + ", lang_pred string, score double"
-    return rows.mapInArrow(run, schema)
+    if not n:
+        return rows.select(*carried, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    for i, model in enumerate(models(counted, size)):
+        last = (i + 1) * size >= n
+        rows = _scored(rows, model, list(carried), keep_text=not last)
+        if not last:
+            rows = staged(rows, "scored")
+    return rows.select(*carried, "lang_pred", (1 / F.col("mass")).alias("score"))
 
 
 def identify_languages(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -196,5 +253,5 @@ def identify_languages(docs: DataFrame, held_out: Column) -> DataFrame:
     doc_id stays; other columns are ignored; an empty table gives an empty table.
     """
     split = docs.select("doc_id", held_out.alias("held_out"), "text", "lang")
-    model = train(split.filter(~F.coalesce("held_out", F.lit(False))))
-    return predict(split, *model, "doc_id", "held_out")
+    counted = counts(split.filter(~F.coalesce("held_out", F.lit(False))))
+    return predict(split, counted, "doc_id", "held_out")

@@ -80,3 +80,24 @@ def test_awkward_rows(spark):
     assert {r["lang_pred"] for rows in none.values() for r in rows} == {"und"}
     assert li.identify_languages(awkward(spark).filter("false"), F.lit(False)).count() == 0
     assert np.isfinite(li.train(docs(spark, [None, "a"]))[1]).all()
+
+
+def test_any_number_of_languages_in_blocks(spark):
+    rng = random.Random(11)
+    names = [f"l{i:02}" for i in range(9)]
+    rows = []
+    for i in range(90):
+        letters = "abcdefghijklmnopqrstuvwxyz"[i % 9 : i % 9 + 9]
+        rows.append((i, " ".join("".join(rng.choices(letters, k=5)) for _ in range(12))))
+    df = docs(spark, rows + [(90, ""), (91, None), (92, "1 2")], names)
+    counted = li.counts(df.filter("doc_id < 90"))
+    whole = {r["doc_id"]: r for r in li.predict(df, counted, "doc_id").collect()}
+    assert {whole[i]["lang_pred"] for i in (90, 91, 92)} == {"und"}
+    assert sum(whole[i]["lang_pred"] == names[i % 9] for i in range(90)) > 80
+    for size in (1, 2, 4, 9):
+        parts = {r["doc_id"]: r for r in li.predict(df, counted, "doc_id", size=size).collect()}
+        assert {i: r["lang_pred"] for i, r in parts.items()} == {i: r["lang_pred"] for i, r in whole.items()}
+        for i, r in parts.items():
+            assert r["score"] == pytest.approx(whole[i]["score"], rel=1e-9)
+    joined = li.train(df.filter("doc_id < 90"))
+    assert joined.names == names and np.exp(joined.priors).sum() == pytest.approx(1)
