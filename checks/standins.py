@@ -6,14 +6,16 @@ of the raw inputs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartergrid.config import CITIES as ALL_CITIES
 from quartergrid.config import POI_FIELDS, GridWindow
-from quartergrid.functions.text import tokens
+from quartergrid.functions.text import arrow_tokens, lowered
 from quartergrid.operators.events import locate
 from quartergrid.plans.pipeline import Settings
 from quartergrid.session import use_utc
@@ -182,11 +184,14 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", F.col("embedding").cast("array<double>").alias("vec")
     )
     count = vectors.count()
-    words = documents(spark, sf_dir).select(
-        F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")
-    ).filter(~F.col("word").rlike(r"\s"))
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words of each batch, once: many fewer rows than tokens."""
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([arrow_tokens(batch.column(0))[0].unique()], names=["word"])
+
+    words = documents(spark, sf_dir).select(lowered(F.col("text")).alias("text")).mapInArrow(distinct, "word string")
     return (
-        words.distinct().withColumn("vec_id", token_hash(F.col("word")) % count)
+        words.distinct().filter(~F.col("word").rlike(r"\s")).withColumn("vec_id", token_hash(F.col("word")) % count)
         .join(vectors, "vec_id")
         .select("word", "vec")
     )
