@@ -449,7 +449,7 @@ def cell_vectors(spark, sf_dir):
     described = pl.extract(si.described_traffic(spark, sf_dir), S, S.text_period)
     words = staged(spark, si.word_vectors(spark, sf_dir), "words")
     poi = staged(spark, si.poi(spark, sf_dir), "poi")
-    return pl.text_vectors(described, poi, words, S)
+    return pl.text_vectors(described, poi, words, S, lambda name, df: staged(spark, df, name))
 
 
 @query

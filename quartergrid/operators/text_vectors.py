@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from quartergrid.functions.text import token_rows
+from quartergrid.functions.text import arrow_tokens, lowered
 
 
 def only_known_cells(events: DataFrame, poi: DataFrame) -> DataFrame:
@@ -18,15 +19,124 @@ def only_known_cells(events: DataFrame, poi: DataFrame) -> DataFrame:
     return events.join(poi.select("cell"), "cell", "left_semi")
 
 
+# Tokens that a task gathers before it counts them, and bytes of text that it splits at a time.
+HELD_WEIGHTS, HELD_BYTES = 1 << 21, 4 << 20
+
+
+def _dealt(texts: DataFrame, key: str, text: str, parts: int) -> DataFrame:
+    """(part, key, text): lower-cased texts dealt out by key, equal keys in one part and side by side."""
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    rows = texts.select(part.alias("part"), key, F.col(text).alias("text"))
+    dealt = rows.repartitionById(parts, "part").sortWithinPartitions("part", key)
+    return dealt.select("part", key, lowered(F.col("text")).alias("text"))
+
+
+def _counted(words: list[pa.Array], owners: list[np.ndarray], uses: list[np.ndarray]) -> tuple:
+    """(list of words, place of a word in it, owner, uses), by word and owner, each pair once."""
+    coded = pa.concat_arrays(words).dictionary_encode()
+    pair = coded.indices.to_numpy().astype(np.int64) << 32 | np.concatenate(owners)
+    order = np.argsort(pair)
+    pair = pair[order]
+    one = np.flatnonzero(_changes(pair))
+    return coded.dictionary, pair[one] >> 32, pair[one] & 0xFFFFFFFF, np.add.reduceat(np.concatenate(uses)[order], one)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Array, np.ndarray, np.ndarray]]:
+    """(part, keys so far in it, words, number of the key of each word, ones) from rows of :func:`_dealt`."""
+    part, keys = None, []
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = _changes(batch.column(0).to_numpy()).cumsum() * (sizes.sum() // HELD_BYTES + 1) + sizes.cumsum() // HELD_BYTES
+        for first, last in _runs(cuts):
+            now, names = batch.column(0)[first].as_py(), batch.column(1).slice(first, last - first).to_pylist()
+            if now != part:
+                part, keys = now, []
+            numbers = np.empty(last - first, np.int64)
+            for i, name in enumerate(names):
+                if not keys or not (keys[-1] == name or (keys[-1] != keys[-1] and name != name)):
+                    keys.append(name)
+                numbers[i] = len(keys) - 1
+            words, counts = arrow_tokens(batch.column(2).slice(first, last - first))
+            yield part, keys, words, np.repeat(numbers, counts), np.ones(len(words), np.int64)
+
+
+def _lists(words: pa.Array, place: np.ndarray, *columns: pa.Array) -> list[pa.Array]:
+    """One row per word, with the values of its owners as lists."""
+    row = np.flatnonzero(_changes(place))
+    offsets = pa.array(np.append(row, len(place)).astype(np.int32))
+    return [words.take(pa.array(place[row])), *(pa.ListArray.from_arrays(offsets, c) for c in columns)]
+
+
+def postings(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(word, keys, uses): the keys of the texts that use a word, and how often each does.
+
+    A task counts what it gathers and sends one row per word, so a word has several
+    rows. A key and a word meet in one row only, however many texts share the key.
+    """
+    spark = texts.sparkSession
+    kind = texts.schema[key].dataType
+    dealt = _dealt(texts, key, text, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        total, kept, part, keys = 0, 0, None, []
+        types: list[pa.DataType] = []
+
+        def counted(whole: bool) -> Iterator[pa.RecordBatch]:
+            """Send what is held; but for the end of a part, the last key may go on and stays."""
+            nonlocal held, total, kept
+            words, place, owner, uses = _counted(*zip(*held))
+            stays = np.zeros(len(owner), bool) if whole else owner == len(keys) - 1
+            held, total = [], 0
+            if stays.any():
+                held = [(words.take(pa.array(place[stays])), owner[stays], uses[stays])]
+                total = int(stays.sum())
+            kept, goes = total, ~stays
+            if goes.any():
+                low = int(owner[goes].min())  # few of a part's keys are held at a time
+                names = pa.array(keys[low : int(owner[goes].max()) + 1], types[0]).take(pa.array(owner[goes] - low))
+                yield pa.RecordBatch.from_arrays(
+                    _lists(words, place[goes], names, pa.array(uses[goes])), names=["word", "keys", "uses"])
+
+        def seen() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                types[:] = [batch.column(1).type]
+                yield batch
+
+        for now, names, *some in _numbered(seen()):
+            if now != part and held:
+                yield from counted(True)
+            part, keys = now, names
+            if len(some[0]):
+                held.append(tuple(some))
+                total += len(some[0])
+            if total > max(HELD_WEIGHTS, 2 * kept):
+                yield from counted(False)
+        if held:
+            yield from counted(True)
+
+    return dealt.mapInArrow(run, StructType([
+        StructField("word", StringType()), StructField("keys", ArrayType(kind)), StructField("uses", ArrayType(LongType()))]))
+
+
+def _owners(found: DataFrame, key: str, *rest: str) -> DataFrame:
+    """(word, key, uses) and ``rest``: a row for each key of :func:`postings`."""
+    each = F.inline(F.arrays_zip("keys", "uses")).alias(key, "uses")
+    return found.select("word", each, *rest)
+
+
 def token_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, word, uses): repeats are counted before anything is shuffled."""
-    words = token_rows(texts, key, text)
-    return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("uses"))
+    """(word, key, uses): repeats are counted before anything is shuffled."""
+    return _owners(postings(texts, key, text), key)
 
 
 def token_vectors(texts: DataFrame, vectors: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, word, uses, vec) of the known tokens; unknown tokens vanish."""
-    return token_counts(texts, key, text).join(vectors, "word")
+    """(word, key, uses, vec) of the known tokens; unknown tokens vanish.
+
+    A word meets its vector with all the keys that a task has seen use it.
+    """
+    found = postings(texts, key, text).join(vectors, "word")
+    return _owners(found, key, *(c for c in vectors.columns if c != "word"))
 
 
 # Dimensions that are summed side by side: an aggregate of more columns is not compiled.
@@ -50,24 +160,142 @@ def weighted_mean(rows: DataFrame, key: str, dims: int) -> DataFrame:
     return whole.select(key, F.slice(F.flatten(F.col("chunks.means")), 1, dims).alias("vec"))
 
 
-def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str, dims: int) -> DataFrame:
+# Numbers that a task sums at a time: sums of texts, products with vectors.
+HELD_CELLS, DENSE_CELLS = 1 << 23, 1 << 17
+# A list of words up to so many bytes is sent to every executor; with each word goes a row of a hash table.
+DICTIONARY_BYTES, ROW_BYTES = 64 << 20, 48
+
+
+def text_means(texts: DataFrame, vectors: DataFrame, key: str, text: str, dims: int, stored: bool = False) -> DataFrame:
     """(key, vec): mean vector of a text's known tokens, repeats included.
 
-    A text without any known token has no row.
+    A text without any known token has no row. Texts are dealt out in groups, as few
+    as the sums of a group fit a task. A word travels with its vector once to each
+    group that uses it, along with the numbers of the texts in the group; the group's
+    task adds it to their sums as it comes. So what moves grows with the texts, and
+    with the words of a group only once. ``stored`` says that texts and vectors are
+    stored tables; then unknown words are dropped before they move, if the list of
+    words is small.
     """
-    return weighted_mean(token_vectors(texts, vectors, key, text), key, dims)
+    spark = texts.sparkSession
+    texts = texts.select(key, text).filter(F.col(text).isNotNull())
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(spark.sparkContext.defaultParallelism, -(-texts.count() // max(1, HELD_CELLS // (dims + 1))))
+    share = -(-tasks // groups)  # parts of a group
+    found = _group_postings(_dealt(texts, key, text, groups * share), share)
+    if stored:
+        words = vectors.select("word")
+        size = words.agg(F.sum(F.octet_length("word") + ROW_BYTES)).first()[0] or 0
+        if size <= DICTIONARY_BYTES:
+            found = found.join(F.broadcast(words), "word", "left_semi")
+    parts = F.collect_list(F.struct("numbers", "uses"))
+    by_word = found.repartition("word").groupBy("word", "group").agg(parts.alias("parts"))
+    exact = F.when(F.size("vec") == dims, F.col("vec")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.get("vec", i)))
+    used = by_word.join(vectors.select("word", exact.alias("vec")), "word").select(
+        "group", F.flatten("parts.numbers").alias("numbers"), F.flatten("parts.uses").alias("uses"), "vec")
+    part = F.pmod(F.xxhash64(key), F.lit(groups * share)).cast("int")
+    place = F.row_number().over(Window.partitionBy("part").orderBy(key)) - 1
+    keys = texts.select(key).distinct().select(part.alias("part"), key).select(
+        F.expr(f"int(part div {share})").alias("group"), (place * share + F.col("part") % share).alias("number"), key)
+    rows = keys.unionByName(used, allowMissingColumns=True).select("group", "number", key, "numbers", "uses", "vec")
+    return _group_means(rows.repartitionById(groups, "group"), key, dims)
+
+
+def _group_postings(dealt: DataFrame, share: int) -> DataFrame:
+    """(group, word, numbers, uses) of rows of :func:`_dealt`, ``share`` parts to a group.
+
+    The keys of a part are numbered in their order; keys of a group have different numbers.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        total, part = 0, None
+
+        def counted() -> pa.RecordBatch:
+            words, place, owner, uses = _counted(*zip(*held))
+            numbers = pa.array((owner * share + part % share).astype(np.int32))
+            lists = _lists(words, place, numbers, pa.array(uses.astype(np.int32)))
+            group = pa.array(np.full(len(lists[0]), part // share, np.int32))
+            return pa.RecordBatch.from_arrays([group, *lists], names=["group", "word", "numbers", "uses"])
+
+        for now, _, *some in _numbered(batches):
+            if held and (now != part or total > HELD_WEIGHTS):
+                yield counted()
+                held, total = [], 0
+            part = now
+            if len(some[0]):
+                held.append(tuple(some))
+                total += len(some[0])
+        if held:
+            yield counted()
+
+    return dealt.mapInArrow(run, "group int, word string, numbers array<int>, uses array<int>")
+
+
+def _group_means(rows: DataFrame, key: str, dims: int) -> DataFrame:
+    """(key, vec) from the texts of a group (number, key) and its words (numbers, uses, vec), in any order."""
+    def added(table: np.ndarray, at: np.ndarray, owner: np.ndarray, uses: np.ndarray, values: np.ndarray) -> None:
+        """Add the values of the owners, times uses, to the rows of the table; ``at`` is sorted."""
+        step = max(1, DENSE_CELLS // (dims + 1))
+        for low in range(0, len(at), step):
+            some = slice(low, low + step)
+            one = np.flatnonzero(_changes(at[some]))
+            table[at[some][one]] += np.add.reduceat(values[owner[some]] * uses[some, None], one)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # By group: sums and weights, weights of missing values if there are any, and the texts.
+        sums: dict[int, np.ndarray] = {}
+        gaps: dict[int, np.ndarray] = {}
+        texts: dict[int, list] = {}
+
+        def grown(tables: dict[int, np.ndarray], group: int, size: int) -> np.ndarray:
+            table = tables.get(group, np.zeros((0, dims + 1)))
+            if len(table) < size:
+                table = np.vstack([table, np.zeros((max(size, len(table) * 5 // 4) - len(table), dims + 1))])
+                tables[group] = table
+            return table
 
-# Parts that the list of words is cut into, for the product with their vectors.
-BLOCKS = 1024
-# Bits of an id that number the words of a block.
-PLACE_BITS = 32
-# A list of words up to so many bytes is sent to every executor; with each word goes a row of a hash table.
-DICTIONARY_BYTES, ROW_BYTES = 64 << 20, 48
-# Beyond that, a word of all texts is met in so many tasks.
-SALTS = 16
-# Weights that a task gathers before it sums them; keys whose vectors it holds; a table that is multiplied at a time.
-HELD_WEIGHTS, HELD_CELLS, DENSE_CELLS = 1 << 22, 20_000, 1 << 20
+        for batch in batches:
+            groups = batch.column(0).to_numpy()
+            for group in np.unique(groups).tolist():
+                mine = batch.filter(pa.array(groups == group))
+                is_text = pc.is_valid(mine.column(1))
+                texts.setdefault(group, []).append(mine.filter(is_text).select([1, 2]))
+                words = mine.filter(pc.invert(is_text))
+                if not words.num_rows:
+                    continue
+                flat = words.column(5).flatten()
+                vectors = np.ones((words.num_rows, dims + 1))
+                vectors[:, :dims] = pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False).reshape(-1, dims)
+                missing = pc.is_null(flat).to_numpy(zero_copy_only=False).reshape(-1, dims) if flat.null_count else None
+                owner = np.repeat(np.arange(words.num_rows), pc.list_value_length(words.column(3)))
+                at, uses = (words.column(i).flatten().to_numpy(zero_copy_only=False) for i in (3, 4))
+                order = np.argsort(at, kind="stable")
+                at, owner, uses = at[order], owner[order], uses[order]
+                table = grown(sums, group, int(at[-1]) + 1)
+                added(table, at, owner, uses, vectors)
+                if missing is not None:
+                    added(grown(gaps, group, len(table))[:, :dims], at, owner, uses, missing)
+        for group, table in sums.items():
+            for named in texts[group]:
+                for low in range(0, named.num_rows, 10_000):
+                    some = named.slice(low, 10_000)
+                    at = some.column(0).to_numpy()
+                    known = at < len(table)
+                    known[known] = table[at[known], -1] > 0
+                    at, names = at[known], some.column(1).filter(pa.array(known))
+                    weight = table[at, -1:]
+                    values = (table[at, :dims] / weight).ravel()
+                    lost = (grown(gaps, group, len(table))[at, :dims] == weight).ravel() if group in gaps else None
+                    offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * dims)
+                    vec = pa.ListArray.from_arrays(offsets, pa.array(values, mask=lost))
+                    yield pa.RecordBatch.from_arrays([names, vec], names=[key, "vec"])
+
+    return rows.mapInArrow(run, StructType([rows.schema[key], StructField("vec", ArrayType(DoubleType()))]))
+
+
+# Blocks that the words are numbered in, and bits of an id that number the words of a block.
+BLOCKS, PLACE_BITS = 1024, 32
 
 
 def dictionary(vectors: DataFrame) -> DataFrame:
@@ -81,122 +309,6 @@ def dictionary(vectors: DataFrame) -> DataFrame:
         "word", (F.shiftleft("block", PLACE_BITS) + place).alias("id"))
 
 
-def encoded_texts(texts: DataFrame, words: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, ids): the known tokens of each text as word ids, repeats included.
-
-    Each text is split once. The list of words is broadcast if its bytes allow it;
-    if not, it is met in salted parts, so no word is a hot key.
-    """
-    tokens = token_rows(texts, key, text)
-    size = words.agg(F.sum(F.octet_length("word") + ROW_BYTES)).first()[0] or 0
-    if size <= DICTIONARY_BYTES:
-        known = tokens.join(F.broadcast(words), "word")
-    else:
-        salted = words.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        own = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
-        known = tokens.withColumn("salt", own).join(salted, ["word", "salt"])
-    return known.groupBy(key).agg(F.collect_list("id").alias("ids"))
-
-
-def packed_weights(uses: DataFrame, key: str) -> DataFrame:
-    """(block, key, entries) from rows (ids, owners): weights of words, summed by key.
-
-    An owner is a key and ``n``, which is shared among the ids for that key. An entry
-    is the place of a word in its block and its weight. A task sums what it sees and
-    sends one row per block and key, so a key may have several rows.
-    """
-    entry = pa.struct([("place", pa.int64()), ("weight", pa.float64())])
-
-    def packed(names: dict[str, int], codes: np.ndarray, ids: np.ndarray, shares: np.ndarray) -> pa.RecordBatch:
-        block, place = ids >> PLACE_BITS, ids & ((1 << PLACE_BITS) - 1)
-        order = np.lexsort((ids, codes, block)) if len(names) >> 20 else np.argsort(block << 52 | codes << 32 | place)
-        block, codes, place = block[order], codes[order], place[order]
-        row = np.flatnonzero(_changes(block) | _changes(codes))
-        one = np.flatnonzero(_changes(block) | _changes(codes) | _changes(place))
-        values = pa.StructArray.from_arrays([pa.array(place[one]), pa.array(np.add.reduceat(shares[order], one))], fields=list(entry))
-        offsets = pa.array(np.append(np.searchsorted(one, row), len(one)).astype(np.int32))
-        known = pa.array(list(names), pa.string()).take(pa.array(codes[row]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(block[row]), known, pa.ListArray.from_arrays(offsets, values)], names=["block", key, "entries"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[str, int] = {}
-        held: list[tuple] = []
-        total = 0
-        for batch in batches:
-            lengths, numbers = (pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in batch.columns)
-            ids, owners = (c.flatten() for c in batch.columns)
-            ids, n = ids.to_numpy(), owners.field(1).to_numpy(zero_copy_only=False)
-            text = np.repeat(np.arange(batch.num_rows), numbers)
-            sizes, begins = lengths[text].astype(np.int64), (np.cumsum(lengths) - lengths)[text]
-            for first, last in _runs(np.cumsum(sizes) // HELD_WEIGHTS):
-                some, size = slice(first, last), sizes[first:last]
-                codes = np.array([names.setdefault(k, len(names)) for k in owners.field(0).slice(first, last - first).to_pylist()], np.int64)
-                at = np.repeat(begins[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                held.append((np.repeat(codes, size), ids[at], np.repeat(n[some] / size, size)))
-                total += len(at)
-                if total > HELD_WEIGHTS:
-                    yield packed(names, *map(np.concatenate, zip(*held)))
-                    names, held, total = {}, [], 0
-        if total:
-            yield packed(names, *map(np.concatenate, zip(*held)))
-
-    return uses.select("ids", "owners").mapInArrow(
-        run, f"block long, {key} string, entries array<struct<place: long, weight: double>>")
-
-
-def block_means(weights: DataFrame, numbered: DataFrame, key: str, dims: int) -> DataFrame:
-    """(key, uses, vec) of :func:`packed_weights` times ``numbered`` vectors (id, vec).
-
-    The weights of a block of words meet the vectors of the block, in a stream that
-    holds one block of vectors. A row is the weighted mean of what a task has seen of
-    a key, and its weight.
-    """
-    kinds = {key: pa.string(), "uses": pa.float64(), "vec": pa.list_(pa.float64())}
-    block, place = F.shiftright("id", PLACE_BITS).alias("block"), F.col("id").bitwiseAND((1 << PLACE_BITS) - 1)
-    rows = weights.withColumns({"place": F.lit(None).cast("long"), "vec": F.lit(None).cast("array<double>")}).unionByName(
-        numbered.select(block, place.alias("place"), "vec"), allowMissingColumns=True)
-    # Vectors come before weights: they have no key.
-    ordered = rows.select("block", key, "place", "entries", "vec").repartition("block").sortWithinPartitions("block", key, "place")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-        now, vectors = None, np.zeros((0, dims))
-
-        def taken() -> pa.RecordBatch:
-            sums = list(held.values())
-            columns = [list(held), [s[-1] for s in sums], [s[:-1] / s[-1] for s in sums]]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
-
-        for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            for begin, end in _runs(blocks):
-                part = batch.slice(begin, end - begin)
-                if blocks[begin] != now:
-                    now, vectors = blocks[begin], np.zeros((0, dims))
-                n = part.column(1).null_count  # vectors come first
-                if n:
-                    more = part.slice(0, n).column(4).flatten().to_numpy(zero_copy_only=False).reshape(n, dims)
-                    vectors = np.vstack([vectors, more])
-                step = max(1, DENSE_CELLS // max(1, len(vectors)))
-                for low in range(n, part.num_rows, step):
-                    some = part.slice(low, step)
-                    pairs = some.column(3).flatten()
-                    at, weight = (pairs.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-                    owner = np.repeat(np.arange(some.num_rows), pc.list_value_length(some.column(3)))
-                    dense = np.zeros((some.num_rows, len(vectors)))
-                    dense[owner, at] = weight
-                    totals = np.column_stack([dense @ vectors, dense.sum(axis=1)])
-                    for name, total in zip(some.column(1).to_pylist(), totals):
-                        held[name] = held[name] + total if name in held else total
-                if len(held) > HELD_CELLS:
-                    yield taken()
-                    held.clear()
-        yield taken()
-
-    return ordered.mapInArrow(run, f"{key} string, uses double, vec array<double>")
-
-
 def _changes(values: np.ndarray) -> np.ndarray:
     """Whether each value differs from the one before; the first does."""
     return np.append(True, values[1:] != values[:-1])
@@ -208,25 +320,21 @@ def _runs(values: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
-def cell_means(events: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
+def cell_means(
+    events: DataFrame, vectors: DataFrame, dims: int, stage: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(cell, vec): mean of the description means of a cell.
 
-    Every event counts once, however long its description. Means of means are
-    sums of weighted words: a word of a text weighs its share of the text's
-    known words. Equal descriptions are tokenised once, into word ids; weights are
-    summed per cell and word, in each task; and the sparse table of weights is
-    multiplied with the vectors block by block. Vectors are stored, as they are read twice.
+    Every event counts once, however long its description. Equal descriptions are
+    one text with one mean, weighted in each cell by its events. Vectors should be
+    stored; ``stage`` stores the texts, which are read more than once.
     """
     keyed = events.filter(F.col("description").isNotNull()).select(
         "cell", "description", F.unhex(F.md5("description")).alias("text_id")
     )
     texts = keyed.select("text_id", "description").distinct()
-    uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("n"))
-    words = dictionary(vectors)
-    ids = encoded_texts(texts, words, "text_id", "description")
-    owners = uses.groupBy("text_id").agg(F.collect_list(F.struct("cell", "n")).alias("owners"))  # as many as cells
-    # Few bytes and much work: not to be read in few tasks.
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    weights = packed_weights(ids.join(owners, "text_id").repartition(tasks, F.xxhash64("text_id")), "cell")
-    numbered = vectors.join(words, "word").select("id", "vec")
-    return weighted_mean(block_means(weights, numbered, "cell", dims), "cell", dims)
+    if stage:
+        texts = stage("texts", texts)
+    uses = keyed.groupBy("cell", "text_id").agg(F.count(F.lit(1)).alias("uses"))
+    means = text_means(texts, vectors, "text_id", "description", dims, stored=True)
+    return weighted_mean(uses.join(means, "text_id"), "cell", dims)

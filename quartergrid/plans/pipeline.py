@@ -75,10 +75,12 @@ def extract_periods(traffic: DataFrame, s: Settings) -> DataFrame:
     return ev.assign_cities(marked.withColumn("period", F.explode(periods)), s.cities, unplaced=bad)
 
 
-def text_vectors(extracted: DataFrame, poi: DataFrame, vectors: DataFrame, s: Settings) -> DataFrame:
-    """(cell, vec) from the descriptions of an extract."""
+def text_vectors(
+    extracted: DataFrame, poi: DataFrame, vectors: DataFrame, s: Settings, stage: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """(cell, vec) from the descriptions of an extract; ``stage`` stores its texts and reads them back."""
     located = ev.locate(extracted, s.precision)
-    return tv.cell_means(tv.only_known_cells(located, ft.usable_poi(poi)), vectors, s.text_dims)
+    return tv.cell_means(tv.only_known_cells(located, ft.usable_poi(poi)), vectors, s.text_dims, stage)
 
 
 def event_spans(extracted: DataFrame, s: Settings) -> DataFrame:
@@ -160,7 +162,7 @@ def run(spark: SparkSession, inputs: Inputs, out: str, s: Settings = Settings())
     traffic = readers.read_traffic(spark, inputs.traffic)
     extracts = stage("extract", extract_periods(traffic, s), "period", "city")
     for_text = extracts.filter("period = 'text'").drop("period", "reject")
-    cell_text = stage("cell_text", text_vectors(for_text, poi, vectors, s))
+    cell_text = stage("cell_text", text_vectors(for_text, poi, vectors, s, stage))
 
     for_grid = extracts.filter("period = 'grid'").drop("period", "reject")
     unusable = ev.split_unusable(for_grid)[1]
