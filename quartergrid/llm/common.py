@@ -55,12 +55,65 @@ def bytes_in_memory(df: DataFrame) -> int:
     return n * fixed + (more or 0)
 
 
-def of_checked_size(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def of_checked_size(df: DataFrame, limit: int | None = None) -> DataFrame:
     """A stored table, marked for broadcast if it takes at most ``limit`` bytes of memory.
 
     Beyond that it is joined by a shuffle, with the same result.
     """
-    return F.broadcast(df) if bytes_in_memory(df) <= limit else df
+    return F.broadcast(df) if fits(df, limit) else df
+
+
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether a stored table may be broadcast."""
+    return bytes_in_memory(df) <= (BROADCAST_BYTES if limit is None else limit)
+
+
+#: A key is marked in a bitmap of so many bits for each key, and 2 ** 28 (32 MB) at most.
+BITS_PER_KEY = 32
+BITMAP_BITS = 1 << 28
+#: Bits of one row of a bitmap, as Spark's bitmap functions have it.
+ROW_BITS = 1 << 15
+
+
+def flagged(df: DataFrame, stored: DataFrame, on: list[str], flag: str) -> DataFrame:
+    """``df`` and whether the key of a row may be in ``stored``: true for all that are, and for a few others.
+
+    Keys are marked by hash in a bitmap, which is broadcast whatever their number; rows
+    stay where they are.
+    """
+    size = ROW_BITS
+    while size < min(BITMAP_BITS, stored.count() * BITS_PER_KEY):
+        size *= 2
+    place = F.pmod(F.xxhash64(*on), F.lit(size))
+    row, bit = F.shiftright(place, 15).alias("row_"), F.expr(f"bit_ % {ROW_BITS}")
+    # Dealt by row first: else every task sends bitmaps of its own.
+    marks = stored.select(row, place.alias("bit_")).repartition("row_").groupBy("row_").agg(
+        F.bitmap_construct_agg(bit).alias("marks_"))
+    byte = F.expr(f"substring(marks_, cast(bit_ % {ROW_BITS} div 8 as int) + 1, 1)")
+    is_set = F.expr("1 << cast(bit_ % 8 as int)").bitwiseAND(F.conv(F.hex(byte), 16, 10).cast("int")) != 0
+    asked = df.select("*", row, place.alias("bit_")).join(F.broadcast(marks), "row_", "left")
+    return asked.withColumn(flag, F.coalesce(is_set, F.lit(False))).drop("row_", "bit_", "marks_")
+
+
+def matching(df: DataFrame, stored: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """``df.join(stored, on, how)``, an inner or left semi join with a stored table.
+
+    If ``stored`` is too large for a broadcast, rows that can't match are left out
+    before the shuffle.
+    """
+    on = [on] if isinstance(on, str) else on
+    if fits(stored):
+        return df.join(F.broadcast(stored), on, how)
+    return flagged(df, stored, on, "may_match_").filter("may_match_").drop("may_match_").join(stored, on, how)
+
+
+def missing(df: DataFrame, stored: DataFrame, on: str) -> DataFrame:
+    """``df.join(stored, on, "left_anti")`` with a stored table; rows that can't match are not shuffled."""
+    if fits(stored):
+        return df.join(F.broadcast(stored), on, "left_anti")
+    asked = flagged(df, stored, [on], "may_match_")
+    some = asked.filter("may_match_").drop("may_match_").join(stored, on, "left_anti")
+    return asked.filter("not may_match_").drop("may_match_").unionByName(some)
 
 
 @contextmanager

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, of_checked_size, sliced, staged, text_bytes
+from quartergrid.llm.common import arrow_map, fits, flagged, matching, sliced, staged, text_bytes
 from quartergrid.llm.hashing import Words, batches, mix, ranges, sums
 
 #: Words from which on lines are compared, and compared with an edit, unless a caller says otherwise.
@@ -106,9 +106,8 @@ def line_table(docs: DataFrame, min_words: int = MIN_WORDS, min_words_edited: in
 
 def _texts_with(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """Documents that ``marks`` (doc_id, ...) names, with its columns as lists."""
-    ids = of_checked_size(staged(marks.select("doc_id").distinct(), "marked_ids"))
     rest = [F.collect_list(c).alias(c) for c in marks.columns if c != "doc_id"]
-    return docs.join(ids, "doc_id", "left_semi").join(marks.groupBy("doc_id").agg(*rest), "doc_id")
+    return matching(docs, staged(marks.groupBy("doc_id").agg(*rest), "marked"), "doc_id")
 
 
 def _variant_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -159,20 +158,25 @@ def _words_of(docs: DataFrame, marks: DataFrame) -> DataFrame:
         doc_id=pa.int64(), line=pa.int32(), words=pa.binary())
 
 
-def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(h) of distinct lines with an earlier line one edit away."""
-    long = distinct.filter("k0 is not null")
-    keys = long.select("h", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    met = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low != high")
-    sharing = keys.join(met.select("key"), "key").select("h").distinct()
-    marks = long.select("h", "first.doc_id").join(sharing, "h").select("doc_id", "h")
+def _near_earlier(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(h) of lines with an earlier line one edit away."""
+    long = lines.filter("k0 is not null").select(
+        "h", "g", "doc_id", "line", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
+    met = long.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low != high")
+    # All copies of a line have its keys, so the earliest of those that share is that of all.
+    sharing = matching(long, staged(met.select("key"), "shared_halves"), "key", "left_semi")
+    marks = sharing.groupBy("h", "g").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "h")
     rows = staged(_variant_rows(docs, staged(marks, "sharing")), "variants")
+    lines = staged(rows.select("h", "doc_id", "line").distinct(), "sharing_lines")
+    # A rest that nothing else has, variant or line, is let go by its hash alone.
+    rests = rows.select("v").unionByName(lines.select(F.col("h").alias("v")))
+    twice = rests.groupBy("v").count().filter("count > 1").select("v")
+    rows = staged(matching(rows, staged(twice, "met_rests"), "v", "left_semi"), "met_variants")
 
     # Replaced words: the same rest with the gap at the same place.
     group = rows.groupBy("v", "place").agg(_earliest(), F.max(F.struct("doc_id", "line")).alias("last"))
     replaced = rows.join(group.filter("first != last"), ["v", "place"]).select("h", "doc_id", "line", "first")
     # A word more or less: the rest is a line itself.
-    lines = rows.select("h", "doc_id", "line").distinct()
     one_less = rows.select("v", F.struct("doc_id", "line").alias("first"), F.col("h").alias("longer")).join(
         lines.withColumnRenamed("h", "v"), "v")
     longer_first = one_less.select(F.col("v").alias("h"), "doc_id", "line", "first")
@@ -222,13 +226,18 @@ def _without(docs: DataFrame, goes: DataFrame) -> DataFrame:
                 names=[*names, "n_lines", "n_removed", "kept_text", "kept_sha256"])
 
     names = [c for c in docs.columns if c != "text"]
-    ids = of_checked_size(staged(goes.select(F.col("goes_id").alias("touched_id")), "touched"))
-    of_id = F.col("doc_id").cast("long") == F.col("touched_id")
-    touched = docs.join(ids, of_id, "left_semi").join(goes, F.col("doc_id").cast("long") == F.col("goes_id"))
+    own = docs.withColumn("goes_id", F.col("doc_id").cast("long"))
+    if fits(goes):
+        touched = own.join(F.broadcast(goes), "goes_id")
+        rest = own.join(F.broadcast(goes), "goes_id", "left_anti")
+    else:  # a document that is only taken for one that loses a line has nothing listed
+        asked = flagged(own, goes, ["goes_id"], "touched_")
+        touched = asked.filter("touched_").join(goes, "goes_id", "left")
+        rest = asked.filter("not touched_")
     rows = touched.select(*(F.col(f"`{c}`") for c in names), "text", "goes")
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-2])
     changed = rows.mapInArrow(run, schema + ", n_lines long, n_removed long, kept_text string, kept_sha256 string")
-    whole = docs.join(ids, of_id, "left_anti").select(
+    whole = rest.select(
         *(F.col(f"`{c}`") for c in names), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept_text"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -248,15 +257,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_edited: i
     its lines by number: a line goes from all of them or from none. Columns called
     like a result are replaced; an empty table gives an empty table.
     """
-    docs = docs.drop("n_lines", "n_removed", "kept_text", "kept_sha256", "goes", "goes_id", "touched_id")
+    docs = docs.drop("n_lines", "n_removed", "kept_text", "kept_sha256", "goes", "goes_id")
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
         "doc_id is not null and text is not null")
     lines = staged(line_table(known, min_words, min_words_edited), "lines")
-    distinct = staged(lines.groupBy("h", "g").agg(
-        _earliest(), *(F.min(k).alias(k) for k in ("k0", "k1", "k2", "k3"))), "distinct_lines")
-    near = staged(_near_earlier(known, distinct), "near").withColumn("near", F.lit(True))
-    fates = staged(distinct.select("h", "g", "first").join(near, "h", "left"), "fates")
-    goes = lines.select("doc_id", "line", "h", "g").join(fates, ["h", "g"]).filter(
-        F.coalesce("near", F.lit(False)) | (F.struct("doc_id", "line") != F.col("first")))
+    again = lines.groupBy("h", "g").agg(_earliest(), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    again = staged(again.select("h", "g", "first"), "repeated")
+    near = staged(_near_earlier(known, lines), "near")
+    goes = matching(lines.select("doc_id", "line", "h"), near, "h", "left_semi").select("doc_id", "line").unionByName(
+        matching(lines.select("doc_id", "line", "h", "g"), again, ["h", "g"])
+        .filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line"))
     listed = goes.groupBy(F.col("doc_id").alias("goes_id")).agg(F.collect_set("line").alias("goes"))
     return _without(docs, staged(listed, "goes"))

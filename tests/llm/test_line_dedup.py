@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from quartergrid.llm import common, line_dedup
 from quartergrid.llm.line_dedup import dedup_lines, one_edit
 
 from .cases import awkward, by_id, docs, prose
@@ -67,3 +70,27 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(docs(spark, [(1, "a")]).filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_lines_alone_are_not_carried_on(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    rng = random.Random(8)
+    base = [prose(rng, 20, 10**9) for _ in range(300)]
+    texts = [(2 * i, " ".join(w)) for i, w in enumerate(base)]
+    texts += [(2 * i + 1, " ".join([*w[:15], "edit", *w[16:]] if i % 10 == 0 else w[:15] + prose(rng, 5, 10**9)))
+              for i, w in enumerate(base)]
+    stored = {}
+
+    def record(df, name):
+        stored[name] = common.staged(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(line_dedup, "staged", record)
+    got = {r["doc_id"]: r["kept_text"] for r in dedup_lines(docs(spark, texts)).collect()}
+    assert got == brute(texts)
+    # All lines share a half; no deletion variant but those of the thirty pairs meets another.
+    sizes = {k: v.count() for k, v in stored.items()}
+    assert sizes.pop("lines") == 600 and sizes.pop("variants") == sizes.pop("sharing") * 20 == 12_000
+    assert sizes.pop("met_variants") == 60
+    assert sizes["repeated"] == 0 and sizes["goes"] == 30
