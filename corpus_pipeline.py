@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartergrid.llm.best_fit_packing import pack_documents
-from quartergrid.llm.common import of_checked_size, small_batches, staged, table
+from quartergrid.llm.common import missing, of_checked_size, small_batches, staged, table
 from quartergrid.llm.decontamination import contamination
 from quartergrid.llm.jaccard_join import jaccard_classes
 from quartergrid.llm.line_dedup import dedup_lines
@@ -68,7 +68,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     others = jaccard_classes(docs, size=5, percent=80).filter("component_id < doc_id")
     bad = staged(others.select("doc_id").distinct(), "near_copies")
-    left = docs.join(of_checked_size(bad), "doc_id", "left_anti").select(*COLUMNS)
+    left = missing(docs, bad, "doc_id").select(*COLUMNS)
     many = left.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
     many = staged(many, "repeated_ids")
     if many.isEmpty():

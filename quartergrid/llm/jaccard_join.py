@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, of_checked_size, sliced, small_batches, staged, text_bytes
+from quartergrid.llm.common import arrow_map, matching, of_checked_size, sliced, small_batches, staged, text_bytes
 from quartergrid.llm.components import components
 from quartergrid.llm.hashing import Words, batches, ranges, sums
 
@@ -252,10 +252,17 @@ def _may_link(percent: int) -> Column:
     return (F.least(n, n2) * 100 >= F.greatest(n, n2) * percent) & (left >= _needed(n, n2, percent))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(set_key), stored, of the sets in stored pairs."""
+    return staged(pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct(), "ends")
+
+
 def _suffix_filter(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose profiles leave room for the overlap they need."""
+    """Stored pairs whose profiles leave room for the overlap they need."""
+    held = matching(profiles.select("set_key", "n", "profile"), _ends(pairs), "set_key", "left_semi")
+
     def side(name: str) -> DataFrame:
-        return profiles.select(
+        return held.select(
             F.col("set_key").alias(name), F.col("profile").alias(f"p_{name}"), F.col("n").alias(f"n_{name}"))
 
     met = F.zip_with("p_a", "p_b", lambda x, y: F.least(x, y))
@@ -271,11 +278,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, owner: DataFrame, size: int, perc
 
     ``owner`` has one document per set; only the sets of pairs are built.
     """
-    wanted = pairs.select(F.col("a").alias("set_key")).unionByName(
-        pairs.select(F.col("b").alias("set_key"))).distinct()
-    chosen = staged(wanted.join(owner, "set_key").select("doc_id", F.col("set_key").alias("wanted")), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        of_checked_size(chosen), "doc_id")
+    chosen = matching(owner.select("set_key", "doc_id"), _ends(pairs), "set_key", "left_semi")
+    chosen = staged(chosen.select("doc_id", F.col("set_key").alias("wanted")), "wanted")
+    texts = matching(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chosen, "doc_id")
 
     def build(batch: pa.RecordBatch) -> Iterator[dict]:
         keys, sets = [], []
@@ -324,18 +329,19 @@ def similar_sets(
         ), "owners",
     )
     entries = staged(prefix_entries(docs, size, percent, rarity(counted)), "prefixes")
-    multiple = entries.groupBy("token").agg(
-        F.min("set_key").alias("low"), F.max("set_key").alias("high")).filter("low != high").select("token")
-    common = entries.join(multiple, "token").dropDuplicates(["token", "set_key"])
+    # A shingle that stands in one prefix only is let go by its hash alone.
+    twice = staged(entries.groupBy("token").count().filter("count > 1").select("token"), "met_twice")
     # The hub of a token: the set with the fewest rarer shingles. All of this is
     # dealt by token once.
-    hubs = common.groupBy("token").agg(F.min(F.struct("place", "n", "set_key")).alias("hub"))
-    shared = staged(common.join(hubs, "token"), "shared")
+    common = matching(entries, twice, "token", "left_semi").repartition("token").dropDuplicates(["token", "set_key"])
+    hubs = common.groupBy("token").agg(
+        F.min(F.struct("place", "n", "set_key")).alias("hub"), F.count(F.lit(1)).alias("sets"))
+    shared = staged(common.join(hubs.filter("sets > 1").drop("sets"), "token"), "shared")
     spokes = shared.filter("set_key != hub.set_key").select(
         "set_key", "n", "place", F.col("hub.set_key").alias("k2"),
         F.col("hub.n").alias("n2"), F.col("hub.place").alias("place2"),
     ).filter(_may_link(percent)).select(*_ordered(F.col("set_key"), F.col("k2"))).distinct()
-    tried = staged(_suffix_filter(spokes, owner, percent), "spokes")
+    tried = staged(_suffix_filter(staged(spokes, "near_hubs"), owner, percent), "spokes")
     found = staged(_verify(tried, docs, owner, size, percent), "hub_links")
     first = of_checked_size(staged(components(found).withColumnRenamed("node", "set_key"), "hub_classes"))
 
@@ -356,7 +362,8 @@ def similar_sets(
     in_order = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("set_key") < F.col("k2")))
     across = left.join(other, ["token", "band"]).filter(in_order & (F.col("class") != F.col("class2"))).filter(
         _may_link(percent)).select(*_ordered(F.col("set_key"), F.col("k2"))).distinct()
-    new = staged(_suffix_filter(across.join(tried, ["a", "b"], "left_anti"), owner, percent), "across")
+    untried = staged(across.join(tried, ["a", "b"], "left_anti"), "untried")
+    new = staged(_suffix_filter(untried, owner, percent), "across")
     links = found.unionByName(_verify(new, docs, owner, size, percent))
     links = staged(links, "set_links")
     return links, components(links)

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from quartergrid.llm import jaccard_join
+from quartergrid.llm import common, jaccard_join
 from quartergrid.llm.components import components
 from quartergrid.llm.jaccard_join import jaccard_classes
 
@@ -124,3 +124,29 @@ def test_copies_count_once_per_task(spark):
     assert counted.filter("token is not null").groupBy().max("hits").first()[0] == 1
     entries = jaccard_join.prefix_entries(docs(spark, [text] * 500).coalesce(1), 5, 80, jaccard_join.rarity(counted))
     assert entries.count() == 26 - 21 + 1
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_shingles_of_one_set_are_not_carried_on(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    rng = random.Random(9)
+    texts = []
+    for i in range(60):
+        base = prose(rng, 60, 10**9)
+        texts.append((3 * i, " ".join(base)))
+        if i % 6 == 0:
+            texts.append((3 * i + 1, " ".join([*base[:30], "edit", *base[31:]])))
+            texts.append((3 * i + 2, " ".join(base)))
+    stored = {}
+
+    def record(df, name):
+        stored[name] = common.staged(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(jaccard_join, "staged", record)
+    assert by_id(jaccard_classes(docs(spark, texts), 5, 80)) == brute(texts, 5, 80)
+    entries = stored["prefixes"].dropDuplicates(["token", "set_key"])
+    shared = entries.groupBy("token").count().filter("count > 1")
+    assert shared.select("token").subtract(stored["met_twice"]).count() == 0
+    assert stored["shared"].count() == shared.groupBy().sum("count").first()[0] < entries.count() / 4
+    assert stored["ends"].count() == 0  # of the last pairs; those of hubs come before
