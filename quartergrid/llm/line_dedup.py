@@ -4,9 +4,10 @@ Two lines are one word edit apart if and only if they agree after at most one
 word is deleted from each, at the same place or from the longer one only. So
 every line emits its deletion variants as hashed keys, and equal keys meet. Only
 lines that share a half with another line emit any: of two halves, one edit
-leaves one whole. Each key is reduced to its earliest line, so a line or variant
-that is everywhere is one row, and each line is verified, word by word, against
-the one earliest line it met.
+leaves one whole. Keys that occur once are let go before their lines move. Each
+key is reduced to its earliest line, so a line or variant that is everywhere is
+one row, and each line is verified, word by word, against the one earliest line
+it met.
 """
 
 from __future__ import annotations
