@@ -13,14 +13,13 @@ it met.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartergrid.llm.common import arrow_map, fits, flagged, matching, sliced, staged, text_bytes
+from quartergrid.llm.common import arrow_map, fits, flagged, matching, small_batches, staged, text_bytes
 from quartergrid.llm.hashing import Words, batches, mix, ranges, sums
 
 #: Words from which on lines are compared, and compared with an edit, unless a caller says otherwise.
@@ -206,43 +205,33 @@ def _near_earlier(docs: DataFrame, lines: DataFrame) -> DataFrame:
 def _without(docs: DataFrame, goes: DataFrame) -> DataFrame:
     """Documents with n_lines, n_removed, kept_text and its hash; ``goes`` has (goes_id, goes).
 
-    Only documents that lose a line are dealt out; the others stay where they are.
+    Only documents that lose a line may be dealt out; the others stay where they are. No
+    text goes to Python: what runs this plan may have any size of batches.
     """
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(found):
-            counts, removed, kept_texts, digests = [], [], [], []
-            for text, gone in zip(batch.column(-2).cast(pa.binary()).to_pylist(), batch.column(-1).to_pylist()):
-                lines = [] if text is None else text.split(b"\n")
-                out = set(gone or ())
-                kept = [line for i, line in enumerate(lines) if i not in out] if out else lines
-                joined = b"\n".join(kept)
-                counts.append(len(lines))
-                removed.append(len(lines) - len(kept))
-                kept_texts.append(None if text is None else joined)
-                digests.append(sha256(joined).hexdigest())
-            columns = [batch.column(i) for i in range(batch.num_columns - 2)]
-            yield pa.RecordBatch.from_arrays([
-                *columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-                pa.array(kept_texts, pa.binary()).cast(pa.string()), pa.array(digests)],
-                names=[*names, "n_lines", "n_removed", "kept_text", "kept_sha256"])
-
-    names = [c for c in docs.columns if c != "text"]
+    names = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     own = docs.withColumn("goes_id", F.col("doc_id").cast("long"))
     if fits(goes):
-        touched = own.join(F.broadcast(goes), "goes_id")
-        rest = own.join(F.broadcast(goes), "goes_id", "left_anti")
+        asked = own.join(F.broadcast(goes), "goes_id", "left")
     else:  # a document that is only taken for one that loses a line has nothing listed
-        asked = flagged(own, goes, ["goes_id"], "touched_")
-        touched = asked.filter("touched_").join(goes, "goes_id", "left")
-        rest = asked.filter("not touched_")
-    rows = touched.select(*(F.col(f"`{c}`") for c in names), "text", "goes")
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes[:-2])
-    changed = rows.mapInArrow(run, schema + ", n_lines long, n_removed long, kept_text string, kept_sha256 string")
-    whole = rest.select(
-        *(F.col(f"`{c}`") for c in names), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept_text"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
-    return whole.withColumn("n_lines", F.when(F.col("kept_text").isNull(), 0).otherwise(F.col("n_lines")).cast("long")).unionByName(changed)
+        flags = flagged(own, goes, ["goes_id"], "touched_")
+        rest = flags.filter("not touched_").withColumn("goes", F.lit(None).cast(goes.schema["goes"].dataType))
+        asked = flags.filter("touched_").join(goes, "goes_id", "left").unionByName(rest)
+
+    def of_lines(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("goes"))
+        return F.struct(
+            F.size(lines).cast("long").alias("all_lines_"),
+            F.when(F.col("goes").isNotNull(), F.transform(stay, lambda i: F.get(lines, i))).alias("kept_lines_"))
+
+    # Generated, so that a text is split once, whatever filters name; a null text gives nulls.
+    split = F.when(F.col("text").isNotNull(), F.array(F.split("text", "\n")))
+    rows = asked.select(*names, "text", F.inline_outer(F.transform(split, of_lines)))
+    kept_text = F.when(F.col("kept_lines_").isNull(), F.col("text")).otherwise(F.array_join("kept_lines_", "\n"))
+    n_kept = F.when(F.col("kept_lines_").isNull(), F.col("all_lines_")).otherwise(F.size("kept_lines_"))
+    return rows.select(
+        *names, F.coalesce("all_lines_", F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.col("all_lines_") - n_kept, F.lit(0)).cast("long").alias("n_removed"), kept_text.alias("kept_text"),
+        F.sha2(F.coalesce(kept_text, F.lit("")), 256).alias("kept_sha256"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_edited: int = MIN_WORDS_EDITED) -> DataFrame:
@@ -261,12 +250,14 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_words_edited: i
     docs = docs.drop("n_lines", "n_removed", "kept_text", "kept_sha256", "goes", "goes_id")
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
         "doc_id is not null and text is not null")
-    lines = staged(line_table(known, min_words, min_words_edited), "lines")
-    again = lines.groupBy("h", "g").agg(_earliest(), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    again = staged(again.select("h", "g", "first"), "repeated")
-    near = staged(_near_earlier(known, lines), "near")
-    goes = matching(lines.select("doc_id", "line", "h"), near, "h", "left_semi").select("doc_id", "line").unionByName(
-        matching(lines.select("doc_id", "line", "h", "g"), again, ["h", "g"])
-        .filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line"))
-    listed = goes.groupBy(F.col("doc_id").alias("goes_id")).agg(F.collect_set("line").alias("goes"))
-    return _without(docs, staged(listed, "goes"))
+    with small_batches(docs.sparkSession):  # all that sends texts to Python is run here
+        lines = staged(line_table(known, min_words, min_words_edited), "lines")
+        again = lines.groupBy("h", "g").agg(_earliest(), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+        again = staged(again.select("h", "g", "first"), "repeated")
+        near = staged(_near_earlier(known, lines), "near")
+        goes = matching(lines.select("doc_id", "line", "h"), near, "h", "left_semi").select("doc_id", "line").unionByName(
+            matching(lines.select("doc_id", "line", "h", "g"), again, ["h", "g"])
+            .filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line"))
+        listed = goes.groupBy(F.col("doc_id").alias("goes_id")).agg(F.collect_set("line").alias("goes"))
+        listed = staged(listed, "goes")
+    return _without(docs, listed)

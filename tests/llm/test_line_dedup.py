@@ -1,4 +1,5 @@
 import random
+from hashlib import sha256
 
 import pytest
 
@@ -94,3 +95,34 @@ def test_lines_alone_are_not_carried_on(spark, monkeypatch, limit):
     assert sizes.pop("lines") == 600 and sizes.pop("variants") == sizes.pop("sharing") * 20 == 12_000
     assert sizes.pop("met_variants") == 60
     assert sizes["repeated"] == 0 and sizes["goes"] == 30
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_texts_go_to_python_in_small_batches_only(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    line = "one two three four five six seven eight"
+    many = "\n".join(f"line number {i} of the many of one text" for i in range(20_000))
+    texts = [(1, f"\n{line}\n\n"), (2, f"{line}\n\n{line}"), (3, line), (4, None), (5, ""), (6, many), (7, f"{many}\né stays"), (8, None)]
+    name, held = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+
+    def record(df, stage):
+        held[stage] = int(spark.conf.get(name))
+        return common.staged(df, stage)
+
+    monkeypatch.setattr(line_dedup, "staged", record)
+    before = spark.conf.get(name)
+    out = dedup_lines(docs(spark, [*texts, (1, None)]))
+    assert {"lines", "variants", "words", "near", "goes"} <= set(held) and max(held.values()) <= 1000
+    assert spark.conf.get(name) == before
+    # What runs later, in batches of any size, has no Python in it.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "Python" not in plan
+    got = by_id(out.filter("n_removed >= 0"))
+    assert {r["kept_text"] for r in got[1]} == {None, f"\n{line}\n\n"}
+    # All lines of the long text but its first one are one edit from an earlier one.
+    kept = {k: got[k][0]["kept_text"] for k in range(2, 9)}
+    assert kept == {2: "", 3: "", 4: None, 5: "", 6: many.split("\n")[0], 7: "é stays", 8: None}
+    counts = {k: (got[k][0]["n_lines"], got[k][0]["n_removed"]) for k in range(2, 9)}
+    assert counts == {2: (3, 2), 3: (1, 1), 4: (0, 0), 5: (1, 0), 6: (20_000, 19_999), 7: (20_001, 20_000), 8: (0, 0)}
+    assert got[4][0]["kept_sha256"] == got[3][0]["kept_sha256"] == sha256(b"").hexdigest()
+    assert got[7][0]["kept_sha256"] == sha256("é stays".encode()).hexdigest()
